@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, url_filter
+from . import exact_dedup, mixing, sentence_pieces, token_files, url_filter
+from .common import new_folder, text_table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
@@ -22,6 +23,23 @@ def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return joined.withColumn("quality_weight", weight).drop("label_id", "label_quality")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "tokens")
+    token_files.write_tokens(text_table(table(spark, sf_dir, "documents")), path, tokenizer_path("word_bpe_49k.json"))
+    return token_files.summary(token_files.read_tokens(spark, path))
+
+
+def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentence_pieces.encode_decode(text_table(table(spark, sf_dir, "documents")), tokenizer_path("piece_bpe_32k.model"))
+    return sentence_pieces.digests(coded)
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_quality(spark, table(spark, sf_dir, "documents").select("doc_id", "source", "text"), sf_dir)
     return mixing.mix(docs, quality_col="quality_weight").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -66,5 +84,5 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {"op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
 SQL = {"op3_mix_sources": SQL_3, "op6_url_filter": SQL_6, "op9_exact_dedup": SQL_9}
