@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sentence_pieces, token_files, url_filter
+from . import exact_dedup, mixing, sentence_pieces, token_files, top_k, toxicity, url_filter
 from .common import new_folder, text_table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -50,6 +50,15 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = text_table(table(spark, sf_dir, "documents"))
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest").withColumnRenamed("id", "doc_id")
 
@@ -79,10 +88,19 @@ m AS (SELECT *, (SELECT max_by(rh || rp, length(rh || rp)) FROM r WHERE (host =
 SELECT page_id, host, path, rule, coalesce((SELECT v FROM r WHERE rh || rp = rule), 'allow') AS verdict FROM m
 """
 
+SQL_7 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c AS (SELECT vec_id, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM v),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sum(q.x * c.x)::BIGINT AS score FROM c AS q JOIN c ON q.i = c.i AND q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id GROUP BY 1, 2),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""
+
 SQL_9 = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
-SQL = {"op3_mix_sources": SQL_3, "op6_url_filter": SQL_6, "op9_exact_dedup": SQL_9}
+QUERIES = {"op4_toxicity": op4_toxicity, "op7_top_k": op7_top_k, "op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
+SQL = {"op7_top_k": SQL_7, "op3_mix_sources": SQL_3, "op6_url_filter": SQL_6, "op9_exact_dedup": SQL_9}
