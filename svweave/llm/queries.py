@@ -89,8 +89,8 @@ SELECT page_id, host, path, rule, coalesce((SELECT v FROM r WHERE rh || rp = rul
 """
 
 SQL_7 = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 c AS (SELECT vec_id, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM v),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sum(q.x * c.x)::BIGINT AS score FROM c AS q JOIN c ON q.i = c.i AND q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id GROUP BY 1, 2),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
