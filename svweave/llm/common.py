@@ -190,57 +190,10 @@ def windows_inside(ends: np.ndarray, k: int, n: int) -> np.ndarray:
     return np.cumsum(ok[:-1]) > 0
 
 
-# --- fingerprints that recur ------------------------------------------------------------------------------------------
-
-_SIX = 6
-
-
-def six_bytes(h: np.ndarray) -> bytes:
-    """48-bit numbers, packed."""
-    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SIX]).tobytes()
-
-
-def from_six(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // _SIX, 8), np.uint8)
-    out[:, :_SIX] = np.frombuffer(raw, np.uint8).reshape(-1, _SIX)
-    return out.view("<u8").reshape(-1)
-
-
+#: Fingerprints keep 48 bits.
 FORTY_EIGHT = np.uint64((1 << 48) - 1)
 
 
-def recurring(prints: DataFrame, buckets: int) -> DataFrame:
-    """By pack, which of its fingerprints recur: rows ``pack, bucket, once, many`` to ``pack, found``.
-
-    ``once`` and ``many`` are sorted 48-bit fingerprints that the pack holds once and more often. A bucket is a slice of
-    the fingerprints' range and holds about a pack's worth of them, so a frequent one costs a row a pack, not a document.
-    """
-
-    def within(_key, t: pa.Table) -> pa.Table:
-        packs_, parts, often = t.column("pack").to_numpy(), [], []
-        for once, many in zip(t.column("once").to_pylist(), t.column("many").to_pylist()):
-            often.append(from_six(many))
-            parts.append(np.concatenate([from_six(once), often[-1]]))
-        every = np.sort(np.concatenate(parts))
-        hot = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *often]))
-        found = [p[np.isin(p, hot)] for p in parts]
-        rows = [(k, six_bytes(f)) for k, f in zip(packs_.tolist(), found) if len(f)]
-        return pa.table({"pack": pa.array([r[0] for r in rows], pa.int64()), "found": pa.array([r[1] for r in rows], pa.binary())})
-
-    return prints.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(within, "pack long, found binary")
-
-
-def print_rows(pack: int, h: np.ndarray, counts: np.ndarray, buckets: int) -> list[tuple[int, int, bytes, bytes]]:
-    """Rows for :func:`recurring` of a pack's distinct sorted fingerprints."""
-    bucket = ((h >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
-    rows = []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        one = counts[a:b] < 2
-        rows.append((pack, int(bucket[a]), six_bytes(h[a:b][one]), six_bytes(h[a:b][~one])))
-    return rows
-
-
 def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)

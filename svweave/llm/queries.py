@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sentence_pieces, token_files, top_k, toxicity, url_filter
+from . import exact_dedup, mixing, sentence_pieces, substring_dedup, token_files, top_k, toxicity, url_filter
 from .common import new_folder, text_table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -29,6 +29,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(text_table(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tokens")
     token_files.write_tokens(text_table(table(spark, sf_dir, "documents")), path, tokenizer_path("word_bpe_49k.json"))
@@ -102,5 +107,5 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op4_toxicity": op4_toxicity, "op7_top_k": op7_top_k, "op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op7_top_k": op7_top_k, "op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
 SQL = {"op7_top_k": SQL_7, "op3_mix_sources": SQL_3, "op6_url_filter": SQL_6, "op9_exact_dedup": SQL_9}
