@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sentence_pieces, substring_dedup, token_files, top_k, toxicity, url_filter
+from . import exact_dedup, mixing, sentence_pieces, substring_dedup, suffix_dedup, token_files, top_k, toxicity, url_filter
 from .common import new_folder, text_table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -68,6 +68,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest").withColumnRenamed("id", "doc_id")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.suffix_dedup(text_table(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 SQL_3 = r"""
 WITH q AS (SELECT doc_id AS qid, max(quality) AS quality FROM labels GROUP BY doc_id),
 d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -107,5 +112,5 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op7_top_k": op7_top_k, "op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {"op10_suffix_dedup": op10_suffix_dedup, "op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op7_top_k": op7_top_k, "op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
 SQL = {"op7_top_k": SQL_7, "op3_mix_sources": SQL_3, "op6_url_filter": SQL_6, "op9_exact_dedup": SQL_9}

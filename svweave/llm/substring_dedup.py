@@ -3,8 +3,7 @@
 The corpus is a graph whose edges are windows of ``length`` words. Edges that share a minimizer form paths; a Spark window
 over the minimizer shows where every document follows the same path: such a path doesn't branch and is one compacted edge.
 Where paths branch they are split into their edges again, and a second pass over the edges' digests finds each one's first
-source coordinate (document, place). Back in the documents, words under edges that start earlier elsewhere are removed,
-and long removed spans are verified against the words at their source coordinates.
+source coordinate (document, place). Back in the documents, words under edges that start earlier elsewhere are removed.
 """
 
 from __future__ import annotations
