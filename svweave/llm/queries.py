@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sentence_pieces, substring_dedup, suffix_dedup, token_files, top_k, toxicity, url_filter
+from . import exact_dedup, jaccard_join, mixing, sentence_pieces, substring_dedup, suffix_dedup, token_files, top_k, toxicity, url_filter
 from .common import new_folder, text_table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -64,6 +64,10 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.search(table(spark, sf_dir, "embeddings"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(text_table(table(spark, sf_dir, "documents")), shingle=3, percent=90)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest").withColumnRenamed("id", "doc_id")
 
@@ -112,5 +116,5 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op10_suffix_dedup": op10_suffix_dedup, "op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op7_top_k": op7_top_k, "op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {"op8_jaccard_join": op8_jaccard_join, "op10_suffix_dedup": op10_suffix_dedup, "op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op7_top_k": op7_top_k, "op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
 SQL = {"op7_top_k": SQL_7, "op3_mix_sources": SQL_3, "op6_url_filter": SQL_6, "op9_exact_dedup": SQL_9}

@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import NO_ID, doc_batches, range_hashes, byte_values, window_hashes
+from .common import doc_batches, range_hashes, byte_values, window_hashes
 
 WINDOW, STRIDE = 64, 48
 TRAIN_TOXIC, TRAIN_CLEAN, EPOCHS, BATCH, RATE, SEED = 800, 1600, 7, 64, 0.01, 11
@@ -301,13 +302,22 @@ def score(df: DataFrame, network: Network) -> DataFrame:
 
     Null and empty texts, and those of spaces alone, get one low score. Null ids and repeated rows are scored like others.
     """
-    weights = network.w
+    scored = annotate(df.select("doc_id", "text"), network, "text", "score")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def annotate(df: DataFrame, network: Network, text_col: str, score_col: str) -> DataFrame:
+    """All columns of ``df`` and ``score_col``, which must be a name of its own."""
+    weights, at = network.w, df.columns.index(text_col)
+    if score_col in df.columns:
+        raise ValueError(f"the input has a column {score_col} already")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(weights)
-        for ids, texts in doc_batches(batches):
-            s = net.document_scores(texts)
-            yield pa.RecordBatch.from_arrays([pa.array([None if i == NO_ID else i for i in ids.tolist()], pa.int64()), pa.array(s.astype(np.float64))], ["doc_id", "score"])
+        for b in batches:
+            if len(b):
+                rows = pa.RecordBatch.from_arrays([pa.array(range(len(b)), pa.int64()), b.column(at)], ["row", "text"])
+                scores = np.concatenate([net.document_scores(texts) for _, texts in doc_batches([rows])])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores.astype(np.float64))], [*b.schema.names, score_col])
 
-    scored = df.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(score_col, T.DoubleType())]))
