@@ -185,8 +185,8 @@ def windows_inside(ends: np.ndarray, k: int, n: int) -> np.ndarray:
     ok = np.zeros(n + 1, np.int64)
     starts = np.concatenate([[0], ends[:-1]])
     last = np.maximum(ends - k + 1, starts)
-    np.add.at(ok, starts, 1)
-    np.add.at(ok, last, -1)
+    np.add.at(ok, np.minimum(starts, n), 1)
+    np.add.at(ok, np.minimum(last, n), -1)
     return np.cumsum(ok[:-1]) > 0
 
 
