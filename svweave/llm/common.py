@@ -129,10 +129,17 @@ def range_hashes(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarr
 
 
 def window_hashes(values: np.ndarray, k: int) -> np.ndarray:
-    if len(values) < k:
+    """Hash of each ``k`` neighbouring values; its upper bits depend on all of them, its lower bits are poorer."""
+    n = len(values) - k + 1
+    if n <= 0:
         return np.zeros(0, np.uint64)
-    at = np.arange(len(values) - k + 1)
-    return range_hashes(values, at, at + k)
+    up, down = powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.multiply(values, up[1:], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    out = sums[k:] - sums[:-k]
+    out *= down[:n]
+    return out
 
 
 def byte_values(body: bytes) -> np.ndarray:
@@ -161,8 +168,8 @@ def word_values(body: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarra
 _AT = np.uint64((1 << 24) - 1)
 
 
-def minimizers(h: np.ndarray, width: int, slice_size: int = 1 << 22) -> np.ndarray:
-    """For each run of ``width`` neighbouring hashes the place of the smallest (40 bits count; ties: leftmost).
+def minimizers(h: np.ndarray, width: int, slice_size: int = 1 << 18) -> np.ndarray:
+    """For each run of ``width`` neighbouring hashes the place of the smallest (upper 40 bits count; ties: leftmost).
 
     Equal runs choose the same offset wherever they stand, so what recurs has recurring choices.
     """
@@ -170,13 +177,15 @@ def minimizers(h: np.ndarray, width: int, slice_size: int = 1 << 22) -> np.ndarr
     out = np.empty(max(n, 0), np.int64)
     for at in range(0, max(n, 0), slice_size):
         part = h[at : min(at + slice_size, n) + width - 1]
-        low = (part & ~_AT) | np.arange(len(part), dtype=np.uint64)
+        low = part & ~_AT
+        low |= np.arange(len(part), dtype=np.uint64)
         span = 1
         while span < width:
             step = min(span, width - span)
             low = np.minimum(low[:-step], low[step:])
             span += step
-        out[at : at + len(low)] = (low & _AT).astype(np.int64) + at
+        low &= _AT
+        np.add(low.view(np.int64), at, out=out[at : at + len(low)])
     return out
 
 

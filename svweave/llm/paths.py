@@ -66,7 +66,9 @@ class Spec:
         first, last, prints = first[keep], last[keep], prints[keep]
         lo, hi = windows[first], windows[last] + 1
         digest = range_hashes(u.values, lo, hi + self.length - 1)
-        _, entry = np.unique(np.stack([prints, digest], 1).view([("a", "u8"), ("b", "u8")]).ravel(), return_inverse=True)
+        order = np.lexsort((digest, prints))
+        entry = np.empty(len(order), np.int64)
+        entry[order] = np.cumsum(fresh_rows(prints[order], digest[order])) - 1
         return Paths(lo, hi, prints, digest, doc[first], entry)
 
 
@@ -82,6 +84,15 @@ class Paths:
     entry: np.ndarray
 
 
+def fresh_rows(*columns: np.ndarray) -> np.ndarray:
+    """Whether each row of sorted columns differs from the one before."""
+    fresh = np.ones(len(columns[0]), bool)
+    fresh[1:] = False
+    for c in columns:
+        fresh[1:] |= c[1:] != c[:-1]
+    return fresh
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64)
 
@@ -122,12 +133,12 @@ def recurring(table: DataFrame, spec: Spec, across: bool) -> DataFrame:
     def prints(row: dict) -> Iterator[list[np.ndarray]]:
         u = spec.units(row["ids"], row["ends"], row["body"])
         _, at, h = spec.choices(u)
-        place = np.unique(at)
+        place = at[fresh_rows(at)] if len(at) else at
         value = mixed(h[place]) & FORTY_EIGHT
         if across:
             owner = u.ids[np.searchsorted(u.ends, place, "right")]
-            pairs = np.unique(np.stack([value, owner.view(np.uint64)], 1).view([("a", "u8"), ("b", "u8")]).ravel())
-            value = pairs["a"]
+            order = np.lexsort((owner, value))
+            value = value[order][fresh_rows(value[order], owner[order])]
         value, count = np.unique(value, return_counts=True)
         yield [signed(value * np.uint64(2) + (count > 1).astype(np.uint64)), np.full(len(value), row["pack"], np.int64)]
 

@@ -23,7 +23,7 @@ from .paths import Spec, partitioned_packs, path_rows, per_pack, recurring, sign
 
 GRAM = 24
 #: Strings of one merge (all strings of a minimizer stay together) and of one shard.
-MERGE_STRINGS, SHARD_STRINGS, BUCKET_STRINGS = 8192, 1024, 16384
+MERGE_STRINGS, SHARD_STRINGS, BUCKET_STRINGS = 2048, 512, 16384
 STRING_SCHEMA = "value long, digest long, low long, string binary"
 OUT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<bigint>"
 
@@ -62,23 +62,25 @@ def merged_intervals(text: np.ndarray, cuts: np.ndarray, depth: int) -> tuple[np
     suffix, symbol, target, dollars = [], [], [], []
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         order, bwt = shard_transform(text[a:b])
-        step = np.empty(b - a, np.int64)
+        step = np.empty(b - a, np.int32)
         step[np.argsort(bwt, kind="stable")] = np.arange(b - a)  # the row of the suffix one symbol longer
-        suffix.append(order + a)
+        suffix.append((order + a).astype(np.int32))
         symbol.append(bwt)
         target.append(step + a)
         dollars.append(np.arange(a, a + np.count_nonzero(bwt == 0)))
     suffix, symbol, target, head = (np.concatenate(x) for x in (suffix, symbol, target, dollars))
-    row, group = np.arange(len(text)), np.zeros(len(text), np.int64)
-    ends = np.arange(len(head))
+    row, group = np.arange(len(text), dtype=np.int32), np.zeros(len(text), np.int32)
+    head, ends = head.astype(np.int32), np.arange(len(head), dtype=np.int32)
     for _ in range(depth):
         s = symbol[row]
         at = np.flatnonzero(s)
         at = at[np.argsort(s[at], kind="stable")]
         s, g = s[at], group[at]
-        parted = np.concatenate([[True], (s[1:] != s[:-1]) | (g[1:] != g[:-1])])
+        parted = np.ones(len(at), np.int32)
+        np.not_equal(s[1:], s[:-1], out=parted[1:], casting="unsafe")
+        parted[1:] |= g[1:] != g[:-1]
         row = np.concatenate([head, target[row[at]]])
-        group = np.concatenate([ends, len(head) - 1 + np.cumsum(parted)])
+        group = np.concatenate([ends, np.cumsum(parted, dtype=np.int32) + np.int32(len(head) - 1)])
         if group[-1] == len(row) - 1:
             break
     return suffix[row], group
