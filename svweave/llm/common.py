@@ -69,9 +69,9 @@ PACK_SCHEMA = "pack long, ids binary, ends binary, body binary"
 
 
 def packs(df: DataFrame) -> DataFrame:
-    """Documents as a stored table of packs: ids, end offsets and the zstandard-compressed texts.
+    """Documents as packs: ids, end offsets and the zstandard-compressed texts.
 
-    The table is written once, so a pack's number names the same documents in each later join.
+    A pack's number comes from the task that reads it: write the packs once before joining anything to them.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +87,7 @@ def packs(df: DataFrame) -> DataFrame:
                 ["pack", "ids", "ends", "body"],
             )
 
-    return stored(df.select("doc_id", "text").mapInArrow(pack, PACK_SCHEMA), "packs")
+    return df.select("doc_id", "text").mapInArrow(pack, PACK_SCHEMA)
 
 
 def unpack(ids: bytes, ends: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:

@@ -184,36 +184,43 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFr
     entries = reps.select("row", "n", F.posexplode("prefix").alias("place", "token"))
     count = F.count("*").over(Window.partitionBy("token"))
     lists = stored(entries.withColumn("many", count).filter("many > 1").select("token", "row", "n", "place"), "lists")
+    marks = sets.select("row", "s0", "s1", "s2", "s3")
+    lists = stored(lists.join(marks, "row"), "lists")
 
     def fits(a: str, b: str) -> Column:
         """Neither sizes nor places rule the pair out; a skipped pair's first common token says the same elsewhere."""
         na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
         return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (F.least(na - F.col(f"{a}.place"), nb - F.col(f"{b}.place")) >= needed(na, nb, percent))
 
-    # round 1: neighbours in each list by size
-    order = Window.partitionBy("token").orderBy("n", "row")
-    entry = F.struct("row", "n", "place")
-    near = lists.select(F.lag(entry).over(order).alias("x"), entry.alias("y")).filter(F.col("x").isNotNull()).filter(fits("x", "y"))
-    near = near.select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct()
+    def apart(a: str, b: str) -> Column:
+        """Shingles that one set has and the other hasn't are at least the bits in which their parity signatures differ."""
+        bits = [F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(4)]
+        na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+        return bits[0] + bits[1] + bits[2] + bits[3] <= na + nb - 2 * needed(na, nb, percent)
+
+    # round 1: neighbours in each list by size, and by signature, where near copies stand together
+    entry = F.struct("row", "n", "place", "s0", "s1", "s2", "s3")
+    before = [F.lag(entry).over(Window.partitionBy("token").orderBy(*by, "row")) for by in (["n"], ["s0", "s1"], ["s2", "s3"])]
+    near = lists.select(entry.alias("y"), *(w.alias(f"x{k}") for k, w in enumerate(before)))
+    near = near.select(F.explode(F.array("x0", "x1", "x2")).alias("x"), "y").filter(F.col("x").isNotNull())
+    near = near.filter(fits("x", "y") & apart("x", "y")).select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct()
     texts, sizes = sets.select("row", "body"), sets.select("row", "n")
     first = linked(overlaps(near, texts, shingle), sizes, percent)
     found = components(first)
 
     # round 2: pairs whose components differ, by size blocks of each list
     label = found.select(F.col("node").alias("row"), F.col("root").alias("hub"))
-    marks = sets.select("row", "s0", "s1", "s2", "s3")
     known = lists.join(label, "row", "left").withColumn("hub", F.coalesce("hub", "row"))
     at = Window.partitionBy("token")
     mixed_lists = known.withColumn("lo", F.min("hub").over(at)).withColumn("hi", F.max("hub").over(at)).filter("lo < hi").drop("lo", "hi")
     base = np.log(100 / percent)
-    mixed_lists = stored(mixed_lists.join(marks, "row").withColumn("block", F.floor(F.log("n") / base).cast("int")), "mixed")
+    mixed_lists = stored(mixed_lists.withColumn("block", F.floor(F.log("n") / base).cast("int")), "mixed")
     cols = ["row", "n", "place", "hub", "s0", "s1", "s2", "s3"]
     x = mixed_lists.select("token", "block", F.struct(*cols).alias("x"))
     y = mixed_lists.select("token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"), F.struct(*cols).alias("y"))
-    apart = sum((F.bit_count(F.col(f"x.s{k}").bitwiseXOR(F.col(f"y.s{k}"))) for k in range(1, 4)), F.bit_count(F.col("x.s0").bitwiseXOR(F.col("y.s0"))))
     nx, ny = F.col("x.n"), F.col("y.n")
     ahead = (nx < ny) | ((nx == ny) & (F.col("x.row") < F.col("y.row")))
-    cross = x.join(y, ["token", "block"]).filter(ahead & (F.col("x.hub") != F.col("y.hub")) & fits("x", "y") & (apart <= nx + ny - 2 * needed(nx, ny, percent)))
+    cross = x.join(y, ["token", "block"]).filter(ahead & (F.col("x.hub") != F.col("y.hub")) & fits("x", "y") & apart("x", "y"))
     cross = stored(cross.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"), nx.alias("na"), ny.alias("nb"), F.col("x.hub").alias("ha"), F.col("y.hub").alias("hb")).distinct(), "cross")
     to_hub = cross.select(F.col("a").alias("x"), F.col("ha").alias("h")).union(cross.select("b", "hb")).filter("x <> h").distinct()
     hubs = cross.select(F.least("ha", "hb").alias("x"), F.greatest("ha", "hb").alias("h")).distinct()

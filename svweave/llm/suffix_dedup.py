@@ -149,7 +149,7 @@ def suffix_dedup(docs: DataFrame, length: int = 50) -> DataFrame:
     at, same = Window.partitionBy("value"), Window.partitionBy("value", "digest")
     here = F.struct("id", "pack", "entry")
     paths = stored(
-        path_rows(table, found, spec).withColumn("branches", F.min("digest").over(at) != F.max("digest").over(at))
+        path_rows(table, found, spec).drop("place").withColumn("branches", F.min("digest").over(at) != F.max("digest").over(at))
         .withColumn("total", F.sum("n").over(at)).withColumn("low", F.min("id").over(at)).withColumn("owner", F.min(here).over(same))
         .filter("total > 1").select("value", "digest", "id", "pack", "entry", "branches", "low", F.col("owner.id").alias("own"), (F.col("owner") == here).alias("leads")),
         "paths",
