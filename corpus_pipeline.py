@@ -10,39 +10,47 @@ from svweave.llm.common import new_folder, text_table
 from svweave.llm.queries import table, tokenizer_path, with_quality
 
 
-def kept_by(docs: DataFrame, decided: DataFrame, **names: F.Column) -> DataFrame:
+def free_name(name: str, docs: DataFrame) -> str:
+    """``name``, or with underscores where ``docs`` has such a column."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
+def kept_by(docs: DataFrame, decided: DataFrame, id_col: str, **names: F.Column) -> DataFrame:
     """Rows of ``docs`` that ``decided`` names by id and the expressions ``names``; the columns stay those of ``docs``."""
-    right = decided.select("keep_doc", *names).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("keep_doc"))
+    right = decided.select(id_col, *names).distinct()
+    same = docs["doc_id"].eqNullSafe(right[id_col])
     for name, expression in names.items():
-        same = same & (expression == F.col(name))
+        same = same & (expression == right[name])
     return docs.join(right, same, "left_semi")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; empty and null texts score low and stay."""
     network = toxicity.fit(text_table(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
-    return toxicity.annotate(docs, network, "text", "toxicity_score").filter("toxicity_score < 0.5").drop("toxicity_score")
+    score = free_name("toxicity_score", docs)
+    return toxicity.annotate(docs, network, "text", score).filter(F.col(score) < 0.5).drop(score)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id; rows that repeat id and text stay together."""
-    judged = exact_dedup.exact_dedup(docs, keep="smallest").filter("kept").select(F.col("id").alias("keep_doc"), "text_sha256")
-    return kept_by(docs, judged, text_sha256=F.sha2(F.coalesce("text", F.lit("")), 256))
+    judged = exact_dedup.exact_dedup(docs, keep="smallest").filter("kept")
+    return kept_by(docs, judged, "id", text_sha256=F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each component of five-word shingle similarity of 0.8 or more."""
     judged = jaccard_join.jaccard_join(text_table(docs), shingle=5, percent=80)
-    return kept_by(docs, judged.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep_doc")))
+    return kept_by(docs, judged.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep_doc")), "keep_doc")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, or up to three times."""
-    weighed = with_quality(spark, docs.select("doc_id", "source", "text"), sf_dir)
-    taken = mixing.mix(weighed, quality_col="quality_weight").groupBy(F.col("id").alias("mix_doc")).agg(F.max("epochs").alias("mix_epochs")).filter("mix_epochs > 0")
-    repeated = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("mix_doc"))).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_epochs")))
-    return repeated.select(*docs.columns)
+    weighed = with_quality(spark, mixing.measure(docs), sf_dir)
+    taken = mixing.mix(weighed, quality_col="quality_weight").groupBy("id").agg(F.max("epochs").alias("epochs")).filter("epochs > 0")
+    copies = taken.select("id", F.explode(F.sequence(F.lit(1), "epochs")))
+    return docs.join(copies, docs["doc_id"].eqNullSafe(copies["id"])).select(*(docs[c] for c in docs.columns))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,24 +41,28 @@ def water_level(sources: DataFrame, max_epochs: int = 3) -> DataFrame:
     ).select("source", "source_size", "n_rows", "target")
 
 
-def sampling_key(seed: int, id_: F.Column, text: F.Column, quality: F.Column) -> F.Column:
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(id_.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))))
+def measure(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """``id, source, size, text_md5``: what the mix needs of each row, without its text."""
+    text = F.col(text_col).cast("string")
+    return df.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), text_size(text).alias("size"), F.md5(F.coalesce(text, F.lit(""))).alias("text_md5"))
+
+
+def sampling_key(seed: int, quality: F.Column) -> F.Column:
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("text_md5")))
     u = (F.conv(F.substring(digest, 1, HEX53), 16, 10).cast("double") + F.lit(1.0)) / F.lit(float(16**HEX53) + 1.0)
     return -F.ln(u) / quality
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", quality_col: str | None = None, max_epochs: int = 3, seed: int = 17, bin_rows: int = 4096) -> DataFrame:
-    """``id, source, size, source_size, target, epochs, taken``: a row for each row of ``df``; ``taken = epochs * size``.
+def mix(rows: DataFrame, quality_col: str | None = None, max_epochs: int = 3, seed: int = 17, bin_rows: int = 4096) -> DataFrame:
+    """``id, source, size, source_size, target, epochs, taken``: a row for each of :func:`measure`'s;
+    ``taken = epochs * size``.
 
     ``quality_col``: positive weights, null or not positive counts as 1. Sources come by code point, a null source last, and
     weigh 1, 2, 3, repeating. Null and empty texts have size 0 and are taken with 0 words. Equal keys (repeated rows) come in
     order of size; a row counts towards the rest while at least half of it fits. An empty input gives no row.
     """
     quality = F.lit(1.0) if quality_col is None else F.when(F.col(quality_col) > 0, F.col(quality_col).cast("double")).otherwise(F.lit(1.0))
-    text = F.col(text_col).cast("string")
-    rows = df.select(
-        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), text_size(text).alias("size"), sampling_key(seed, F.col(id_col), text, quality).alias("key")
-    )
+    rows = rows.select("id", "source", "size", sampling_key(seed, quality).alias("key"))
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     ranked = totals.withColumn("weight", (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % 3 + 1)
     goals = water_level(ranked, max_epochs).withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))

@@ -15,12 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with ``quality_weight``: 2 for documents labelled good, 0.5 for bad ones, 1 for the rest."""
+def with_quality(spark: SparkSession, measured: DataFrame, sf_dir: str) -> DataFrame:
+    """``measured`` with ``quality_weight``: 2 for documents labelled good, 0.5 for bad ones, 1 for the rest."""
     labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("label_id")).agg(F.max("quality").alias("label_quality"))
-    joined = docs.join(labels, docs["doc_id"] == labels["label_id"], "left")
     weight = F.when(F.col("label_quality") == 1, 2.0).when(F.col("label_quality") == 0, 0.5).otherwise(1.0)
-    return joined.withColumn("quality_weight", weight).drop("label_id", "label_quality")
+    return measured.join(labels, measured["id"] == labels["label_id"], "left").withColumn("quality_weight", weight).drop("label_id", "label_quality")
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,8 +45,8 @@ def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_quality(spark, table(spark, sf_dir, "documents").select("doc_id", "source", "text"), sf_dir)
-    return mixing.mix(docs, quality_col="quality_weight").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    rows = with_quality(spark, mixing.measure(table(spark, sf_dir, "documents")), sf_dir)
+    return mixing.mix(rows, quality_col="quality_weight").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
