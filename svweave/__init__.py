@@ -1,0 +1 @@
+"""Structural-variant analytics, and training-data operators, on Spark."""

@@ -1,0 +1 @@
+"""No streams: the reference has no event time; its one ordered sweep is the batch operator ``grouping.group_pairs``."""
