@@ -26,6 +26,8 @@ WINDOW, STRIDE = 64, 48
 TRAIN_TOXIC, TRAIN_CLEAN, EPOCHS, BATCH, RATE, SEED = 800, 1600, 7, 64, 0.01, 11
 #: Made-up clean windows in each epoch: one word of a clean document over and over.
 REPEATS = 256
+#: Steps of the optimiser at least: a small sample is passed more often.
+MIN_STEPS = 300
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 6, 6, 8
 BUCKETS = 1 << 14
 CACHED_WORDS = 400_000
@@ -242,7 +244,8 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int
     clean = clean[odds[clean] <= np.quantile(odds[clean], 0.99)]
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in w.items()}
     count = 0
-    for _ in range(epochs):
+    steps = -(-(len(y) + int((y == 0).sum())) // BATCH)
+    for _ in range(max(epochs, -(-MIN_STEPS // steps))):
         pick = [int(a + value[a:b].argmax()) for a, b in zip(lead, np.append(lead[1:], len(owner)))]
         extra = [int(rng.integers(a, b)) for k, (a, b) in enumerate(zip(lead, np.append(lead[1:], len(owner)))) if not y[k]]
         chosen = np.array(pick + extra)
