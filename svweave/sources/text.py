@@ -14,7 +14,7 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """Alignments of SAM text (gz too): eleven fields and ``tags`` as a map of TAG to its value."""
     f = F.split("value", "\t")
     tags = F.filter(F.slice(f, 12, F.greatest(F.size(f), F.lit(1))), lambda t: t.rlike("^[A-Za-z][A-Za-z0-9]:"))
-    named = F.map_from_entries(F.transform(tags, lambda t: F.struct(F.substring(t, 1, 2), F.substring_index(F.regexp_replace(t, "^..:", ""), "\u0000", 1))))
+    named = F.map_from_entries(F.transform(tags, lambda t: F.struct(F.substring(t, 1, 2), F.regexp_replace(t, "^..:.:", ""))))
     lines = spark.read.text(path).filter(~F.col("value").startswith("@"))
     return lines.select(*(F.get(f, F.lit(k)).cast(_NUMBERS.get(n, "string")).alias(n) for k, n in enumerate(_SAM)), named.alias("tags"))
 
