@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from .common import NO_ID, doc_batches
 
 SPACE = "▁"
-CACHED_SEGMENTS = 500_000
+CACHED_SEGMENTS = 250_000
 #: Piece types of the public model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NONE = np.iinfo(np.int64).max
@@ -238,12 +238,14 @@ def digests(coded: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        for b in batches:
-            ids = [np.frombuffer(x or b"", "<u4") for x in b.column(1).to_pylist()]
-            text = [(x or "").encode() for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([hashlib.sha256(",".join(map(str, x.tolist())).encode()).hexdigest() for x in ids]), pa.array([hashlib.sha256(t).hexdigest() for t in text])],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        for whole in batches:
+            for at in range(0, len(whole), 256):  # few texts at a time
+                b = whole.slice(at, 256)
+                ids = [np.frombuffer(x.as_py() or b"", "<u4") for x in b.column(1)]
+                text = [hashlib.sha256((x.as_py() or "").encode()).hexdigest() for x in b.column(2)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([hashlib.sha256(",".join(map(str, x.tolist())).encode()).hexdigest() for x in ids]), pa.array(text)],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     return coded.select("doc_id", "ids", "decoded").mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
