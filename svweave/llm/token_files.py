@@ -137,7 +137,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int | None =
                 sums.append(xxhash.xxh64_intdigest(body) & 0xFFFFFFFF)
         yield pa.RecordBatch.from_arrays([pa.array([file_bytes(ids, frames, sizes, sums)], pa.binary())], ["file"])
 
-    ordered = df.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").repartitionByRange(files, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = df.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
     magic = struct.pack("<I", SEEK_MAGIC).decode("latin-1")
     ordered.mapInArrow(encode, "file binary").select(F.col("file").cast("string").alias("value")).write.option("encoding", "ISO-8859-1").option("lineSep", magic).text(path)
 
