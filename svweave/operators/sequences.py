@@ -9,23 +9,30 @@ from pyspark.sql.window import Window
 from ..functions import expr
 
 #: Letters of a piece: a long sequence is cut into overlapping pieces first, as finding a place in a string costs its offset.
-PIECE = 2000
+PIECE = 256
 
 
-def kmer_rows(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
-    """A row ``pos, kmer`` (``pos`` from 0) for each place of each sequence; sequences shorter than ``k`` have none."""
+def kmer_rows(seqs: DataFrame, k: int, seq: str = "seq", strandless: bool = False) -> DataFrame:
+    """A row ``pos, kmer`` (``pos`` from 0) for each place of each sequence; sequences shorter than ``k`` have none.
+
+    ``strandless`` gives the smaller of each k-mer and its reverse complement, which is cut from that of the whole piece.
+    """
     rest = [c for c in seqs.columns if c != seq]
     long_enough = seqs.filter(F.length(seq) >= k)
     starts = F.explode(F.sequence(F.lit(0), F.floor((F.length(seq) - k) / PIECE).cast("int"))).alias("_piece")
     pieces = long_enough.select(*rest, seq, starts).select(*rest, "_piece", F.substring(F.col(seq), F.col("_piece") * PIECE + 1, F.lit(PIECE + k - 1)).alias("_text"))
-    places = F.explode(F.sequence(F.lit(0), F.length("_text") - k)).alias("_at")
-    return pieces.select(*rest, "_piece", "_text", places).select(*rest, (F.col("_piece") * PIECE + F.col("_at")).cast("long").alias("pos"), F.substring(F.col("_text"), F.col("_at") + 1, F.lit(k)).alias("kmer"))
+    n = F.length("_text") - k
+    if strandless:
+        pieces = pieces.withColumn("_back", expr.revcomp(F.col("_text")))
+    at = lambda text, place: F.substring(F.col(text), place + 1, F.lit(k))
+    places = F.explode(F.sequence(F.lit(0), n)).alias("_at")
+    kmer = F.least(at("_text", F.col("_at")), at("_back", n - F.col("_at"))) if strandless else at("_text", F.col("_at"))
+    return pieces.select("*", places).select(*rest, (F.col("_piece") * PIECE + F.col("_at")).cast("long").alias("pos"), kmer.alias("kmer"))
 
 
 def kmers(seqs: DataFrame, k: int, by: list[str], cutoff: float = 1.001) -> DataFrame:
     """``*by, kmer, n``: how often each k-mer, or its reverse complement if that is smaller, occurs; above ``cutoff`` times."""
-    strand = F.least(F.col("kmer"), expr.revcomp(F.col("kmer")))
-    return kmer_rows(seqs.select(*by, "seq"), k).groupBy(*by, strand.alias("kmer")).agg(F.count("*").alias("n")).filter(F.col("n") > cutoff)
+    return kmer_rows(seqs.select(*by, "seq"), k, strandless=True).groupBy(*by, "kmer").agg(F.count("*").alias("n")).filter(F.col("n") > cutoff)
 
 
 def letters(text: Column, kept: str) -> Column:
