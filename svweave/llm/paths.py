@@ -58,8 +58,9 @@ class Spec:
         if not len(windows) or not len(found):
             none = np.zeros(0, np.int64)
             return Paths(none, none, none.astype(np.uint64), none.astype(np.uint64), none, none)
-        doc = np.searchsorted(u.ends, windows, "right")
-        first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (windows[1:] != windows[:-1] + 1) | (doc[1:] != doc[:-1])]))
+        parted = at[1:] != at[:-1]
+        parted |= windows[1:] != windows[:-1] + 1  # documents too: no window reaches over an end
+        first = np.flatnonzero(np.concatenate([[True], parted]))
         last = np.append(first[1:], len(windows)) - 1
         prints = mixed(h[at[first]]) & FORTY_EIGHT
         keep = np.isin(prints, found)
@@ -69,7 +70,7 @@ class Spec:
         order = np.lexsort((digest, prints))
         entry = np.empty(len(order), np.int64)
         entry[order] = np.cumsum(fresh_rows(prints[order], digest[order])) - 1
-        return Paths(lo, hi, prints, digest, doc[first], entry)
+        return Paths(lo, hi, prints, digest, np.searchsorted(u.ends, lo, "right"), entry)
 
 
 @dataclass

@@ -4,8 +4,8 @@ Windows of ``length`` bytes are compared through the paths of :mod:`.paths`. A p
 whole. The distinct strings of branching paths go, by minimizer, to groups; in a group each shard of strings is suffix
 sorted once, and the shards' transforms are merged: an interleave of their rows is refined symbol by symbol (the method of
 Holt and McMillan), so that after ``d`` rounds rows stand in order of their first ``d`` bytes without sorting suffixes again.
-Where a round first parts two neighbours is their common prefix; rows that no round of ``length`` parts form a repeated
-interval, and the smallest document id in an interval decides its windows.
+Where a round first parts two neighbours is their common prefix, and a row parted from both takes no further part; rows that
+no round of ``length`` parts form a repeated interval, and the smallest document id in an interval decides its windows.
 """
 
 from __future__ import annotations
@@ -55,33 +55,32 @@ def shard_transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def merged_intervals(text: np.ndarray, cuts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes of all shards in order of their first ``depth`` symbols, and the interval of equal ones of each.
+    """Suffixes whose first ``depth`` symbols recur, in order of these, and the interval of equal ones of each.
 
-    ``text`` holds strings that end with 0; ``cuts`` bounds the shards.
+    ``text`` holds strings that end with 0; ``cuts`` bounds the shards. A suffix that a round parts from both neighbours, or
+    that ends there, shares no longer prefix with another, nor does any suffix that it ends: its row leaves the interleave.
     """
-    suffix, symbol, target, dollars = [], [], [], []
+    suffix, symbol, target = [], [], []
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         order, bwt = shard_transform(text[a:b])
         step = np.empty(b - a, np.int32)
         step[np.argsort(bwt, kind="stable")] = np.arange(b - a)  # the row of the suffix one symbol longer
         suffix.append((order + a).astype(np.int32))
         symbol.append(bwt)
-        target.append(step + a)
-        dollars.append(np.arange(a, a + np.count_nonzero(bwt == 0)))
-    suffix, symbol, target, head = (np.concatenate(x) for x in (suffix, symbol, target, dollars))
+        target.append(step + np.int32(a))
+    suffix, symbol, target = (np.concatenate(x) for x in (suffix, symbol, target))
     row, group = np.arange(len(text), dtype=np.int32), np.zeros(len(text), np.int32)
-    head, ends = head.astype(np.int32), np.arange(len(head), dtype=np.int32)
     for _ in range(depth):
         s = symbol[row]
-        at = np.flatnonzero(s)
-        at = at[np.argsort(s[at], kind="stable")]
+        at = np.argsort(s, kind="stable")[np.count_nonzero(s == 0) :]
         s, g = s[at], group[at]
-        parted = np.ones(len(at), np.int32)
-        np.not_equal(s[1:], s[:-1], out=parted[1:], casting="unsafe")
-        parted[1:] |= g[1:] != g[:-1]
-        row = np.concatenate([head, target[row[at]]])
-        group = np.concatenate([ends, np.cumsum(parted, dtype=np.int32) + np.int32(len(head) - 1)])
-        if group[-1] == len(row) - 1:
+        parted = np.ones(len(at) + 1, bool)
+        np.not_equal(s[1:], s[:-1], out=parted[1:-1])
+        parted[1:-1] |= g[1:] != g[:-1]
+        shared = np.flatnonzero(~(parted[:-1] & parted[1:]))
+        row = target[row[at[shared]]]
+        group = np.cumsum(parted[shared], dtype=np.int32)
+        if not len(row):
             break
     return suffix[row], group
 
@@ -97,13 +96,11 @@ def window_minima(strings: list[bytes], low: np.ndarray, length: int) -> list[np
     cuts = np.append(start[::SHARD_STRINGS], len(text))
     suffix, group = merged_intervals(text, cuts, length)
     owner = np.repeat(np.arange(len(strings)), lens)
-    offset = suffix - start[owner[suffix]]
-    whole = lens[owner[suffix]] - 1 - offset >= length
-    suffix, group = suffix[whole], group[whole]
-    out = np.zeros(len(text), np.int64)
-    first = np.flatnonzero(np.diff(group, prepend=-1))
-    least = np.minimum.reduceat(low[owner[suffix]], first)
-    out[suffix] = np.repeat(least, np.diff(np.append(first, len(group))))
+    out = low[owner]
+    if len(suffix):
+        first = np.flatnonzero(np.diff(group, prepend=group[0] - 1))
+        least = np.minimum.reduceat(low[owner[suffix]], first)
+        out[suffix] = np.repeat(least, np.diff(np.append(first, len(group))))
     return [out[a : a + n - length] for a, n in zip(start.tolist(), lens.tolist())]
 
 
