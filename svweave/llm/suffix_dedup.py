@@ -6,6 +6,7 @@ sorted once, and the shards' transforms are merged: an interleave of their rows
 Holt and McMillan), so that after ``d`` rounds rows stand in order of their first ``d`` bytes without sorting suffixes again.
 Where a round first parts two neighbours is their common prefix, and a row parted from both takes no further part; rows that
 no round of ``length`` parts form a repeated interval, and the smallest document id in an interval decides its windows.
+Strings of a minimizer with more than ``HOT_STRINGS`` of them are not merged: their windows meet by digest in Spark.
 """
 
 from __future__ import annotations
@@ -18,12 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import NO_ID, stored
-from .paths import Spec, partitioned_packs, path_rows, per_pack, recurring, signed
+from .common import NO_ID, byte_values, mixed, range_hashes, stored
+from .paths import Spec, batch, partitioned_packs, path_rows, per_pack, recurring, signed
 
 GRAM = 24
 #: Strings of one merge (all strings of a minimizer stay together) and of one shard.
 MERGE_STRINGS, SHARD_STRINGS, BUCKET_STRINGS = 2048, 512, 16384
+#: Strings of one minimizer that are merged at most, and parts into which the rows of one window's digest are dealt.
+HOT_STRINGS, SALTS = 32768, 64
+WINDOW_SCHEMA = "value long, digest long, low long, place int, one long, two long"
 STRING_SCHEMA = "value long, digest long, low long, string binary"
 OUT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<bigint>"
 
@@ -106,6 +110,36 @@ def window_minima(strings: list[bytes], low: np.ndarray, length: int) -> list[np
 
 def repeated(strings: DataFrame, length: int) -> DataFrame:
     """``value, digest, news``: runs (from, to, smallest id) of the windows that a smaller id than the path's own holds."""
+    hot = F.broadcast(stored(strings.groupBy("value").count().filter(F.col("count") > HOT_STRINGS).select("value"), "hot"))
+    return merged(strings.join(hot, "value", "left_anti"), length).unionByName(dealt(strings.join(hot, "value", "left_semi"), length))
+
+
+def dealt(strings: DataFrame, length: int) -> DataFrame:
+    """:func:`repeated` by the windows' digests (128 bits), however many strings share a minimizer or a window."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in (whole.slice(k, SHARD_STRINGS) for k in range(0, len(whole), SHARD_STRINGS)):
+                texts = b.column(b.schema.get_field_index("string")).to_pylist()
+                lens = np.array([len(x) for x in texts])
+                n, start = lens - length + 1, np.cumsum(lens) - lens
+                owner = np.repeat(np.arange(len(texts)), n)
+                place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+                lo, values = start[owner] + place, byte_values(b"".join(texts))
+                own = [b.column(b.schema.get_field_index(c)).to_numpy()[owner] for c in ("value", "digest", "low")]
+                yield batch(WINDOW_SCHEMA, [*own, place.astype(np.int32), *(signed(range_hashes(v, lo, lo + length)) for v in (values, mixed(values)))])
+
+    key = ["one", "two"]
+    rows = strings.mapInArrow(windows, WINDOW_SCHEMA).withColumn("salt", F.pmod("digest", F.lit(SALTS)).cast("int"))
+    first = rows.groupBy(*key, "salt").agg(F.min("low").alias("least"), F.count("*").alias("n"))
+    least = first.groupBy(*key).agg(F.min("least").alias("least"), F.sum("n").alias("n")).filter("n > 1").drop("n")
+    late = rows.join(first.select(*key, "salt").join(least, key), [*key, "salt"]).filter("least < low")
+    run = F.flatten(F.collect_list(F.array(F.col("place").cast("long"), F.col("place") + F.lit(1).cast("long"), F.col("least"))))
+    return late.groupBy("value", "digest").agg(run.alias("news"))
+
+
+def merged(strings: DataFrame, length: int) -> DataFrame:
+    """:func:`repeated` by interleave merges; all strings of a minimizer go into one."""
 
     def group(t: pa.Table) -> pa.Table:
         t = t.sort_by([("value", "ascending"), ("digest", "ascending")])

@@ -50,6 +50,25 @@ def test_suffix_dedup(spark, docs):
     assert suffix_dedup.suffix_dedup(text_table(docs.limit(0))).count() == 0
 
 
+def test_suffix_dedup_of_a_phrase_in_many_contexts(spark, monkeypatch):
+    plain, most = suffix_dedup.window_minima, 16
+
+    def bounded(strings, low, length):
+        assert len(strings) <= most, len(strings)
+        return plain(strings, low, length)
+
+    monkeypatch.setattr(suffix_dedup, "MERGE_STRINGS", most)
+    monkeypatch.setattr(suffix_dedup, "HOT_STRINGS", most, raising=False)
+    monkeypatch.setattr(suffix_dedup, "window_minima", bounded)
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    sides = [(noise(40), noise(40)) for _ in range(12)]
+    rows = [(k, rng.choice(sides)[0] + " one very frequent phrase, é " + (rng.choice(sides)[1] if k % 3 else noise(40))) for k in range(150)]
+    rows += [(150 + k, noise(60) + " one very frequent phrase, é " + noise(60)) for k in range(100)] + [(None, rows[3][1]), (3, rows[9][1])]
+    out = suffix_dedup.suffix_dedup(text_table(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)))
+    assert key(out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()) == key(brute.byte_dedup(rows, 50))
+
+
 def test_jaccard_join(spark, docs):
     rows = [(i, t) for k, (i, t) in enumerate(documents()) if i is not None and (i, t) not in documents()[:k]]
     own = spark.createDataFrame(rows, "doc_id long, text string")
