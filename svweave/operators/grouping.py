@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import math
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,7 +14,7 @@ from ..functions import expr
 from .interval import interval_islands
 
 ORDER = ["pos_l", "flag", "qname"]
-#: Neighbouring islands that one call of the sweep takes.
+#: Neighbouring islands whose groups are numbered together.
 ISLANDS = 256
 
 
@@ -49,41 +52,84 @@ def islands(windows: DataFrame) -> DataFrame:
 
 
 GROUP_SCHEMA = "chr_l long, strand_l string, chr_h long, strand_h string, island long, number int, l5 long, l3 long, h5 long, h3 long, qname string, sample string"
+ISLAND_KEY = ["chr_l", "strand_l", "chr_h", "island"]
+#: Makes the order total, so that a task that runs again opens the same groups.
+TIES = ["strand_h", "l5", "l3", "h5", "h3", "sample"]
+#: A member has ``opened`` (its group's place among the island's groups as they open); a group's last row its ``number`` (as they close) and bounds.
+SWEPT_SCHEMA = "chr_l long, strand_l string, chr_h long, strand_h string, island long, opened long, number int, l5 long, l3 long, h5 long, h3 long, qname string, sample string"
+#: Rows that the sweep holds before it hands them on.
+SWEPT_ROWS = 10_000
 
 
-def sweep(rows: pd.DataFrame) -> pd.DataFrame:
-    """Members of the groups of neighbouring islands: each pair joins every open group it meets, which shrinks, or opens one.
+def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members and groups of islands that come one after another in order: each pair joins every open group it meets, which shrinks, or opens one.
 
-    A new island's first pair closes all groups before it, so islands need no bound here.
+    Members are handed on at once; only open groups' bounds are kept. An unknown bound (as NaN) meets nothing.
     """
-    rows = rows.sort_values(ORDER, kind="stable")
-    active, done = [], []
-    for r in rows.itertuples(index=False):
-        still, joined = [], False
-        for g in active:
-            if g["l3"] <= r.l5:
-                done.append(g)
-                continue
-            still.append(g)
-            if g["s"] == r.strand_h and g["l5"] <= r.l3 and r.l5 <= g["l3"] and g["h5"] <= r.h3 and r.h5 <= g["h3"]:
-                g.update(l5=max(g["l5"], r.l5), l3=min(g["l3"], r.l3), h5=max(g["h5"], r.h5), h3=min(g["h3"], r.h3))
-                g["members"].append((r.qname, r.sample))
-                joined = True
-        active = still
-        if not joined:
-            active.append({"s": r.strand_h, "l5": r.l5, "l3": r.l3, "h5": r.h5, "h3": r.h3, "members": [(r.qname, r.sample)]})
-    first = rows.iloc[0]
-    out = [
-        (first.chr_l, first.strand_l, first.chr_h, g["s"], first.island, k, g["l5"], g["l3"], g["h5"], g["h3"], q, s)
-        for k, g in enumerate(done + active) for q, s in g["members"]
-    ]
-    return pd.DataFrame(out, columns=[c.split()[0] for c in GROUP_SCHEMA.split(", ")])
+    ends = ("l5", "l3", "h5", "h3")
+    schema = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[k]) for n, k in (c.split() for c in SWEPT_SCHEMA.split(", "))])
+    key, active, opened, closed, out = None, [], 0, 0, []
+
+    def close(groups: list[list]) -> None:
+        nonlocal closed
+        for n, s, l5, l3, h5, h3 in groups:
+            out.append((*key[:3], s, key[3], n, closed, *(None if x != x else x for x in (l5, l3, h5, h3)), None, None))
+            closed += 1
+
+    def flushed() -> pa.RecordBatch:
+        columns = zip(*out) if out else [[] for _ in schema]
+        rows = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        out.clear()
+        return rows
+
+    for b in batches:
+        for chr_l, strand_l, chr_h, island, strand_h, l5, l3, h5, h3, qname, sample in zip(*([math.nan if x is None and c in ends else x for x in b.column(b.schema.get_field_index(c)).to_pylist()] for c in [*ISLAND_KEY, "strand_h", *ends, "qname", "sample"])):
+            if key != (chr_l, strand_l, chr_h, island):
+                close(active)
+                key, active, opened, closed = (chr_l, strand_l, chr_h, island), [], 0, 0
+            if any(g[3] <= l5 for g in active):
+                close([g for g in active if g[3] <= l5])
+                active = [g for g in active if not g[3] <= l5]
+            joined = False
+            for g in active:
+                if g[1] == strand_h and g[2] <= l3 and l5 <= g[3] and g[4] <= h3 and h5 <= g[5]:
+                    g[2], g[3], g[4], g[5] = max(g[2], l5), min(g[3], l3), max(g[4], h5), min(g[5], h3)
+                    out.append((*key[:3], strand_h, key[3], g[0], None, None, None, None, None, qname, sample))
+                    joined = True
+            if not joined:
+                active.append([opened, strand_h, l5, l3, h5, h3])
+                out.append((*key[:3], strand_h, key[3], opened, None, None, None, None, None, qname, sample))
+                opened += 1
+            if len(out) >= SWEPT_ROWS:
+                yield flushed()
+    close(active)
+    yield flushed()
+
+
+def met(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which null keys are equal."""
+    right = right.select(*(F.col(c).alias("_" + c if c in keys else c) for c in right.columns))
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col("_" + c))
+    return left.join(right, same).drop(*("_" + c for c in keys))
 
 
 def group_members(pairs: DataFrame, ref_len: int) -> DataFrame:
-    """Long form of the groups: a row for each member; the only step that depends on order runs island by island."""
-    some = islands(with_windows(pairs, ref_len)).withColumn("island", F.floor(F.col("island") / ISLANDS))
-    return some.groupBy("chr_l", "strand_l", "chr_h", "island").applyInPandas(sweep, GROUP_SCHEMA)
+    """Long form of the groups: a row for each member. The step that depends on order is a stream in order of islands.
+
+    Groups are numbered as they close, in ``ISLANDS`` neighbouring islands together.
+    """
+    some = islands(with_windows(pairs, ref_len)).select(*ISLAND_KEY, *ORDER, *TIES)
+    swept = some.repartition(*ISLAND_KEY).sortWithinPartitions(*ISLAND_KEY, *ORDER, *TIES).mapInArrow(sweep, SWEPT_SCHEMA)
+    pack = F.floor(F.col("island") / ISLANDS)
+    ended = swept.filter("number IS NOT NULL").select(*ISLAND_KEY, "opened", "number", "l5", "l3", "h5", "h3")
+    sizes = ended.groupBy(*ISLAND_KEY).agg(F.count("*").alias("n")).withColumn("pack", pack)
+    before = Window.partitionBy("chr_l", "strand_l", "chr_h", "pack").orderBy("island").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n", "pack")
+    ended = met(ended, sizes, ISLAND_KEY).withColumn("number", (F.col("number") + F.col("before")).cast("int")).drop("before")
+    members = met(swept.filter("number IS NULL").drop("number", "l5", "l3", "h5", "h3"), ended, [*ISLAND_KEY, "opened"])
+    return members.withColumn("island", pack).select(*(c.split()[0] for c in GROUP_SCHEMA.split(", ")))
 
 
 GROUP_KEY = ["chr_l", "strand_l", "chr_h", "strand_h", "island", "number", "l5", "l3", "h5", "h3"]

@@ -62,6 +62,41 @@ def test_islands_equal_the_global_sweep(spark):
     assert got == global_sweep(local)
 
 
+def test_sweep_holds_no_members(spark):
+    """A deep island passes as a stream: members leave while it is still read, not at its end."""
+    import pyarrow as pa
+
+    rows = 50_000
+    fixed = {"chr_l": 1, "strand_l": "+", "chr_h": 2, "island": 1, "strand_h": "-", "l5": 100, "l3": 500, "h5": 900, "h3": 1300, "sample": "T1"}
+    read = 0
+
+    def batches():
+        nonlocal read
+        for k in range(0, rows, 1000):
+            read += 1000
+            yield pa.RecordBatch.from_pydict({**{c: [v] * 1000 for c, v in fixed.items()}, "qname": [f"q{k + i}" for i in range(1000)]})
+
+    most, members, groups = 0, 0, []
+    for b in grouping.sweep(batches()):
+        members += b.num_rows - len(ended := [r for r in b.to_pylist() if r["number"] is not None])
+        groups += ended
+        most = max(most, read - members)
+    assert most <= 2 * 10_000 and members == rows
+    assert [(g["opened"], g["number"], g["l5"], g["l3"], g["h5"], g["h3"]) for g in groups] == [(0, 0, 100, 500, 900, 1300)]
+
+
+def test_islands_are_dealt_and_numbered_together(spark):
+    """More islands of one key than one numbering takes: (island, number) stay unique and count on over islands."""
+    rows = [(f"q{k}", "T1", 1, 1 + 1000 * (k // 2), "+", 2, 500 + 5000 * (k % 2), "-", 60, 1, 345, 100) for k in range(600)]
+    pairs = spark.createDataFrame(rows, "qname string, sample string, chr_l long, pos_l long, strand_l string, chr_h long, pos_h long, strand_h string, mapq int, flag int, max_insert long, read_len long")
+    members = grouping.group_members(pairs, 1_000_000)
+    got = sorted((r.island, r.number) for r in members.collect())
+    assert got == [(0, k) for k in range(510)] + [(1, k) for k in range(90)]
+    odd = pairs.limit(1).withColumn("chr_h", F.lit(None).cast("long"))
+    assert grouping.group_members(odd, 1_000_000).count() == 1
+    assert "FlatMapGroupsInPandas" not in members._jdf.queryExecution().toString()
+
+
 def test_expressions_and_sources(spark, tmp_path):
     row = spark.range(1).select(expr.revcomp(F.lit("AACG")), expr.ref_end(F.lit(10), F.lit("5S10M2D3M")), expr.clip_side(F.lit("5S10M")), expr.sanitise_sample(F.lit("a b/c"))).first()
     assert tuple(row) == ("CGTT", 24, "low", "a_b_c")
