@@ -1,8 +1,10 @@
-"""Operator 9, exact dedup: runs of text digests that partitions exchange and merge over binomial rounds.
+"""Operator 9, exact dedup: salted hash aggregations of text digests in rounds.
 
-Level 0 is a run for each salt, sorted by digest; each following round merges ``fan_in`` neighbouring runs and keeps the
-identifier that stays, the number of copies and whether the copies' second digest and length agree. A row finds its group
-through the table of level 0, in which a text of any number of copies has at most one row a run: no key is hot.
+Level 0 groups the rows of each salt by digest, length and second digest; each following round groups ``fan_in``
+neighbouring salts together and keeps the identifier that stays and the number of copies. These are hash aggregations: no run is
+sorted or merged in order, and as the second digest and the length are part of the key, nothing is verified afterwards. A
+row finds its group through the table of level 0, in which a text of any number of copies has at most one row a salt: no
+key is hot.
 """
 
 from __future__ import annotations
