@@ -16,17 +16,25 @@ from pyspark.sql.window import Window
 from .common import stored
 
 RULE_SCHEMA = T.StructType([T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("verdict", T.StringType())])
+#: Rules on all carried stacks that are broadcast at most.
+BROADCAST_CELLS = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def after_scheme(url: F.Column) -> F.Column:
+    """What follows the first ``://``; null without one."""
+    at = F.instr(url, "://")
+    return F.when(at > 0, F.substring(url, at + 3, F.length(url)))
+
+
 def url_host(url: F.Column) -> F.Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; else empty."""
-    return F.translate(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")), _UPPER, _LOWER)
+    return F.translate(F.coalesce(F.regexp_extract(after_scheme(url), r"^[^/?#]*", 0), F.lit("")), _UPPER, _LOWER)
 
 
 def url_path(url: F.Column) -> F.Column:
-    """What follows the host up to ``?``, ``#`` or the end; else empty."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    """What follows the host up to ``?``, ``#`` or the end; else empty. A host that ``?`` or ``#`` ends has no path."""
+    return F.coalesce(F.regexp_extract(after_scheme(url), r"^[^/?#]*(/[^?#]*)?", 1), F.lit(""))
 
 
 def reversed_host(host: F.Column) -> F.Column:
@@ -79,6 +87,9 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     last = swept.filter("kind = 0").groupBy("part").agg(F.max_by("stack", "key").alias("stack"))
     parts = swept.select("part").distinct().join(last, "part", "left")
     carried = parts.select("part", F.last("stack", True).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
-    held = swept.withColumn("open", F.last("stack", True).over(order)).filter("kind = 1").join(F.broadcast(carried), "part", "left").withColumn("open", F.coalesce("open", "before"))
+    # a row a partition, with the stack that is open there: broadcast while the stacks are few
+    cells = carried.agg(F.sum(F.greatest(F.size("before"), F.lit(0)) + 1)).first()[0] or 0
+    carried = F.broadcast(carried) if cells <= BROADCAST_CELLS else carried
+    held = swept.withColumn("open", F.last("stack", True).over(order)).filter("kind = 1").join(carried, "part", "left").withColumn("open", F.coalesce("open", "before"))
     best = held.withColumn("top", F.try_element_at(F.filter("open", lambda s: s["rule"].isNotNull()), F.lit(-1))).filter(F.col("top").isNotNull()).groupBy("row").agg(F.max(F.struct("top.size", "top.rule", "top.verdict")).alias("best"))
     return judged.join(best, "row", "left").select("id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
