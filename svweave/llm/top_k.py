@@ -19,7 +19,11 @@ from pyspark.sql.window import Window
 
 from .common import stored
 
-SAMPLE_ROWS, PIVOTS, CELL_ROWS, QUERY_CHUNK = 4096, 32, 2048, 1024
+SAMPLE_ROWS, CELL_ROWS, RING_ROWS, QUERY_CHUNK = 4096, 2048, 256, 1024
+#: Pivots at least and at most: about a quarter of the square root of the number of vectors.
+PIVOTS = (32, 512)
+#: Neighbouring cells of a pivot that are looked at together before single ones.
+SPAN_CELLS = 256
 EXACT = float(1 << 53)
 #: Share by which a bound is eased, above the rounding of distances in double precision.
 EASE = 1e-9
@@ -36,7 +40,7 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     """Rows padded with zeros to ``dim`` components."""
     lens = np.diff(column.offsets.to_numpy())
     flat = column.flatten().to_numpy().astype(np.int64)
-    if (lens == dim).all():
+    if dim and (lens == dim).all():
         return flat.reshape(-1, dim)
     out = np.zeros((len(lens), dim), np.int64)
     out[np.repeat(np.arange(len(lens)), lens), np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)] = flat
@@ -65,13 +69,13 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return scores[at], ids[at]
 
 
-def fit_pivots(vectors: DataFrame, dim: int, top: float) -> np.ndarray:
+def fit_pivots(vectors: DataFrame, dim: int, top: float, most: int) -> np.ndarray:
     """Farthest-first pivots of at most ``SAMPLE_ROWS`` rows with the smallest hashes of their ids."""
     rows = vectors.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("vec").toArrow()
     x = _lifted(_matrix(rows.column(0).combine_chunks(), dim), top)
     chosen = [0]
     far = _distances(x, x[:1])[:, 0]
-    while len(chosen) < min(PIVOTS, len(x)) and far.max() > 0:
+    while len(chosen) < min(most, len(x)) and far.max() > 0:
         chosen.append(int(far.argmax()))
         far = np.minimum(far, _distances(x, x[chosen[-1:]])[:, 0])
     return x[chosen]
@@ -137,14 +141,15 @@ def search(df: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", v
     A query's own id is no candidate; all others are, ties go to smaller ids, and equal vectors are all candidates. Vectors
     that are null or hold null or non-finite components, and rows without an id, take no part; shorter vectors count as
     padded with zeros. Rows that repeat a query's id ask once, with the smallest of their vectors; as candidates each counts.
-    An empty table gives no rows.
+    An empty table gives no rows; empty vectors are vectors of zeros.
     """
     vectors = integer_vectors(df, id_col, vec_col, scale)
     square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
-    dim, top = vectors.agg(F.max(F.size("vec")), F.max(square)).first()
+    dim, top, n = vectors.agg(F.max(F.size("vec")), F.max(square), F.count("*")).first()
     if dim is None:
         return vectors.select(F.col("id").alias("query_id"), F.lit(0).cast("int").alias("rank"), F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("score"))
-    pivots = fit_pivots(vectors, dim, top)
+    k_best, dim = k, max(dim, 1)  # empty vectors are vectors of zeros
+    pivots = fit_pivots(vectors, dim, top, min(PIVOTS[1], max(PIVOTS[0], int(n**0.5 / 4))))
     index = build_index(vectors, pivots, dim, top)
 
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,36 +173,49 @@ def search(df: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", v
     asked = index.select("ids", "vecs").mapInArrow(seed, "query long, q binary, r double, d array<double>")
     asked = stored(asked.groupBy("query").agg(F.min(F.struct("q", "r", "d")).alias("s")).select("query", "s.*"), "asked")
     chunks = max(1, -(-asked.count() // QUERY_CHUNK))
-    rings = index.select("cell", F.col("pivot").alias("p"), "lo", "hi")
-    visits = asked.select("query", "q", "r", F.pmod(F.xxhash64("query"), F.lit(chunks)).alias("chunk"), F.posexplode("d").alias("p", "dist"))
-    visits = visits.join(rings, "p").filter((F.col("lo") <= F.col("dist") + F.col("r")) & (F.col("hi") >= F.col("dist") - F.col("r"))).select("cell", "chunk", "query", "q", "r", "dist")
-    held = index.select(F.col("cell").alias("at"), "ids", F.col("dist").alias("rings"), "vecs", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("part"))
+    # a pivot's cells in order of distance, some together as one row: a query meets few of these and then only their cells in reach
+    nth = F.floor((F.row_number().over(Window.partitionBy("p").orderBy("lo", "cell")) - 1) / SPAN_CELLS)
+    spans = index.select(F.col("pivot").alias("p"), "cell", "lo", "hi").withColumn("span", nth)
+    spans = spans.groupBy("p", "span").agg(F.min("lo").alias("low"), F.max("hi").alias("high"), F.collect_list(F.struct("cell", "lo", "hi")).alias("cells"))
+    reach = (F.col("low") <= F.col("dist") + F.col("r")) & (F.col("high") >= F.col("dist") - F.col("r"))
+    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("query"), F.lit(chunks)))
+    visits = asked.select("query", "r", "chunk", F.posexplode("d").alias("p", "dist")).join(spans, "p").filter(reach)
+    near = F.filter("cells", lambda c: (c["lo"] <= F.col("dist") + F.col("r")) & (c["hi"] >= F.col("dist") - F.col("r")))
+    visits = stored(visits.select("query", "chunk", "dist", F.explode(F.transform(near, lambda c: c["cell"])).alias("cell")), "visits")
+    # only cells that some query of a chunk visits move, once for the chunk
+    held = index.select("cell", "ids", F.col("dist").alias("rings"), "vecs").join(visits.select("cell", "chunk").distinct(), "cell").select(F.col("cell").alias("at"), F.col("chunk").alias("part"), "ids", "rings", "vecs")
+    visits = visits.join(asked.select("query", "q", "r"), "query").select("cell", "chunk", "query", "q", "r", "dist")
 
     def expand(_key, left: pa.Table, right: pa.Table) -> pa.Table:
-        """Queries of one chunk on one cell: annuli of 256 vectors, nearest to the query first."""
-        out_q, out_i, out_s = [], [], []
+        """Queries of one chunk on one cell. Each looks at annuli of ``RING_ROWS`` vectors, nearest first, and ends where none can
+        hold a better one; scores are computed for the queries that have come to an annulus, together."""
+        none = np.zeros(0, np.int64)
+        out = [(none, none, none)]
         if len(left) and len(right):
             ids, dist = (np.frombuffer(right.column(c)[0].as_py(), t) for c, t in (("ids", np.int64), ("rings", np.float64)))
             x = np.frombuffer(right.column("vecs")[0].as_py(), np.int64).reshape(-1, dim)
-            cuts = np.append(np.arange(0, len(ids), 256), len(ids))
+            cuts = np.append(np.arange(0, len(ids), RING_ROWS), len(ids))
             lo, hi = np.minimum.reduceat(dist, cuts[:-1]), np.maximum.reduceat(dist, cuts[:-1])
             q = np.stack([np.frombuffer(v, np.int64) for v in left.column("q").to_pylist()])
-            scores, length = _scores(q, x), (q.astype(np.float64) ** 2).sum(1)
-            for row, (i, r, d) in enumerate(zip(left.column("query").to_pylist(), left.column("r").to_pylist(), left.column("dist").to_pylist())):
-                gap = np.maximum(np.maximum(lo - d, d - hi), 0.0)
-                s, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                for ring in np.argsort(gap, kind="stable").tolist():
-                    if gap[ring] > r:
-                        break
-                    part = slice(cuts[ring], cuts[ring + 1])
-                    own = ids[part] != i
-                    s, v = _best(np.concatenate([s, scores[row, part][own]]), np.concatenate([v, ids[part][own]]), k)
-                    if len(s) == k:
-                        r = min(r, np.sqrt(max(length[row] + top - 2.0 * s[-1], 0.0)) * (1 + EASE) + EASE)
-                out_q += [i] * len(s)
-                out_i += v.tolist()
-                out_s += s.tolist()
-        return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_i, pa.int64()), "score": pa.array(out_s, pa.int64())})
+            query, r, d = (left.column(c).to_numpy().copy() for c in ("query", "r", "dist"))
+            length = (q.astype(np.float64) ** 2).sum(1)
+            gap = np.maximum(np.maximum(lo - d[:, None], d[:, None] - hi), 0.0)
+            order = np.argsort(gap, axis=1, kind="stable")
+            best_s, best_i = [none] * len(q), [none] * len(q)
+            for step in range(len(lo)):
+                ring = order[:, step]
+                live = np.flatnonzero(gap[np.arange(len(q)), ring] <= r)
+                if not len(live):
+                    break
+                for k in np.unique(ring[live]).tolist():
+                    rows, part = live[ring[live] == k], slice(int(cuts[k]), int(cuts[k + 1]))
+                    for row, s in zip(rows.tolist(), _scores(q[rows], x[part])):
+                        own = ids[part] != query[row]
+                        best_s[row], best_i[row] = _best(np.concatenate([best_s[row], s[own]]), np.concatenate([best_i[row], ids[part][own]]), k_best)
+                        if len(best_s[row]) == k_best:
+                            r[row] = min(r[row], np.sqrt(max(length[row] + top - 2.0 * best_s[row][-1], 0.0)) * (1 + EASE) + EASE)
+            out += [(np.full(len(s), query[row]), best_i[row], s) for row, s in enumerate(best_s)]
+        return pa.table({n: pa.array(np.concatenate(c), pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), zip(*out))})
 
     found = visits.groupBy("cell", "chunk").cogroup(held.groupBy("at", "part")).applyInArrow(expand, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
