@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +21,11 @@ NO_ID = np.iinfo(np.int64).max
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where none is set."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); without one, a temporary folder if Spark runs on this machine alone."""
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         root = spark.sparkContext.getCheckpointDir()
     return root
@@ -33,15 +35,38 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffles of earlier steps that nothing refers to any more may now be cleaned from the executors' disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: lineage ends here."""
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    schema = df.schema
-    gc.collect()  # unreachable shuffles of earlier steps may now be cleaned from the executors' disks
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    free_shuffles(spark)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def stored_by(df: DataFrame, name: str, key: str, compression: str = "zstd") -> DataFrame:
+    """:func:`stored` as a table in buckets of ``key``, so that what joins it by ``key`` later moves and it doesn't."""
+    spark = df.sparkSession
+    n, path = int(spark.conf.get("spark.sql.shuffle.partitions")), new_folder(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.repartition(n, key).write.bucketBy(n, key).option("compression", compression).option("path", path).saveAsTable(table)
+    free_shuffles(spark)
+    return spark.table(table)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete :func:`stored` tables that nothing will read any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,11 +90,11 @@ def doc_batches(batches: Iterator[pa.RecordBatch], limit: int = PACK_BYTES) -> I
             yield ids[at:], texts
 
 
-PACK_SCHEMA = "pack long, ids binary, ends binary, body binary"
+PACK_SCHEMA = "pack long, ids binary, ends binary, body binary, extra binary"
 
 
-def packs(df: DataFrame) -> DataFrame:
-    """Documents as packs: ids, end offsets and the zstandard-compressed texts.
+def packs(df: DataFrame, extra: Callable[[np.ndarray, np.ndarray, bytes], bytes] | None = None) -> DataFrame:
+    """Documents as packs: ids, end offsets, the zstandard-compressed texts, and what ``extra`` makes of them.
 
     A pack's number comes from the task that reads it: write the packs once before joining anything to them.
     """
@@ -78,22 +103,25 @@ def packs(df: DataFrame) -> DataFrame:
         import zstandard
         from pyspark import TaskContext
 
-        first = TaskContext.get().partitionId() << 32
+        first, k = TaskContext.get().partitionId() << 32, 0
         press = zstandard.ZstdCompressor(level=3)
-        for k, (ids, texts) in enumerate(doc_batches(batches)):
-            ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        for ids, texts in doc_batches(batches):
+            ends, body = np.cumsum([len(t) for t in texts], dtype=np.int64), b"".join(texts)
+            more = b"" if extra is None else press.compress(extra(ids, ends, body))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([first + k]), pa.array([ids.tobytes()]), pa.array([ends.tobytes()]), pa.array([press.compress(b"".join(texts))])],
-                ["pack", "ids", "ends", "body"],
+                [pa.array([first + k]), pa.array([ids.tobytes()]), pa.array([ends.tobytes()]), pa.array([press.compress(body)]), pa.array([more])],
+                ["pack", "ids", "ends", "body", "extra"],
             )
+            k += 1
 
     return df.select("doc_id", "text").mapInArrow(pack, PACK_SCHEMA)
 
 
-def unpack(ids: bytes, ends: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+def unpack(ids: bytes, ends: bytes, body: bytes, extra: bytes = b"") -> tuple[np.ndarray, np.ndarray, bytes, bytes]:
     import zstandard
 
-    return np.frombuffer(ids, np.int64), np.frombuffer(ends, np.int64), zstandard.ZstdDecompressor().decompress(body)
+    open_frame = zstandard.ZstdDecompressor()
+    return np.frombuffer(ids, np.int64), np.frombuffer(ends, np.int64), open_frame.decompress(body), open_frame.decompress(extra) if extra else b""
 
 
 # --- hashes -----------------------------------------------------------------------------------------------------------
@@ -142,18 +170,35 @@ def window_hashes(values: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def hashes_at(values: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """:func:`window_hashes` at the places ``at`` alone."""
+    up, down = powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.multiply(values, up[1:], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    return (sums[at + k] - sums[at]) * down[at]
+
+
 def byte_values(body: bytes) -> np.ndarray:
     return _BYTE[np.frombuffer(body, np.uint8)]
 
 
-def words_of(body: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word in ``body`` and, by document, how many words stand before its end."""
+_IS_WORD = np.array([not (c == 32 or 9 <= c <= 13) for c in range(256)])
+
+
+def words_of(body: bytes, ends: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word in ``body`` and, by document, how many words stand before its end.
+
+    At the places ``cuts`` a word ends and another begins.
+    """
     b = np.frombuffer(body, np.uint8)
     inside = np.zeros(len(b) + 2, bool)
-    inside[1:-1] = ~((b == 32) | ((b >= 9) & (b <= 13)))
+    np.take(_IS_WORD, b, out=inside[1:-1])
     cut = np.zeros(len(b) + 1, bool)
     cut[ends] = True
     cut[0] = True
+    if cuts is not None:
+        cut[cuts] = True
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
     stops = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
     return starts, stops, np.searchsorted(starts, ends, "left")
@@ -202,7 +247,3 @@ def windows_inside(ends: np.ndarray, k: int, n: int) -> np.ndarray:
 #: Fingerprints keep 48 bits.
 FORTY_EIGHT = np.uint64((1 << 48) - 1)
 
-
-def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = zip(*rows) if rows else [[] for _ in schema]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)

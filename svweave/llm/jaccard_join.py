@@ -1,11 +1,12 @@
 """Operator 8, n-gram Jaccard join with set-relation skipping.
 
-Sets of shingles are ordered by one global order, rare ones first (a count sketch of fixed size tells the frequent ones),
-and index lists hold each set's prefix with the place in it. Equal sets are one class from the start. Lists are read in
-blocks of set sizes, and blocks or entries whose sizes or places rule out the wanted overlap are skipped. A first round
-verifies neighbours in the lists; sets that become connected need no further answer. In the second round pairs of sets
-in different components remain: a set's answers are derived from the ones of its component's hub, whose overlaps are
-computed once (``|x & y| <= |hx & hy| + |x - hx| + |y - hy|``), and only pairs that this can't decide are computed.
+Sets of shingles are ordered by one global order, those of rare words first (a count sketch of fixed size tells the frequent
+words), and index lists hold each set's prefix with the place in it. Equal sets are one class from the start. Lists are read
+in blocks of set sizes, and blocks or entries whose sizes or places rule out the wanted overlap are skipped. A first round
+verifies neighbours in the lists; sets that become connected need no further answer. In the second round pairs of sets in
+different components remain. A component's hub answers first, from whole texts; the answers of a set ``x`` at the hub ``h``
+are derived from them: ``|x & y| = |h & y| + |(x - h) & y| - |(h - x) & y|``, where only the two small differences are looked
+up, and not even these where ``|h & y| + |x - h|`` is too little.
 """
 
 from __future__ import annotations
@@ -18,15 +19,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import doc_batches, mixed, range_hashes, stored, word_values, words_of
+from .common import NO_ID, PACK_BYTES, discard, doc_batches, mixed, range_hashes, stored, stored_by, word_values, words_of
 
-SKETCH_BITS, SLICES = 22, 64
-SET_SCHEMA = "doc_id long, n int, d1 long, d2 long, s0 long, s1 long, s2 long, s3 long, prefix array<bigint>, body binary"
-PAIR_SCHEMA = "a long, b long, overlap long"
+SKETCH_BITS, SLICES = 20, 16
+#: Bits of a shingle's value that are its hash; the ones above are its level.
+HASH_BITS = 54
+SET_SCHEMA = "doc_id long, n int, block int, d1 long, d2 long, s0 long, s1 long, s2 long, s3 long, wide binary, prefix array<bigint>, text_md5 binary, body binary"
 
 
-def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
-    """Sorted hashes of each text's distinct shingles; a shorter text is one, one without words none."""
+def shingle_sets(texts: list[bytes], shingle: int, level: np.ndarray | None = None) -> list[np.ndarray]:
+    """Sorted values of each text's distinct shingles; a shorter text is one, one without words none.
+
+    A value is a hash; with ``level``, the mean level of the shingle's words stands above it, so that low levels come first.
+    """
     ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
     body = b"".join(texts).lower()
     starts, stops, counts = words_of(body, ends)
@@ -36,9 +41,12 @@ def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
     number = np.where(n == 0, 0, np.maximum(n - shingle + 1, 1))
     owner = np.repeat(np.arange(len(texts)), number)
     lo = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number) + first[owner]
-    h = range_hashes(values, lo, np.minimum(lo + shingle, counts[owner]))
-    cuts = np.cumsum(number)[:-1]
-    return [np.unique(x) for x in np.split(h, cuts)]
+    hi = np.minimum(lo + shingle, counts[owner])
+    h = range_hashes(values, lo, hi) >> np.uint64(64 - HASH_BITS)
+    if level is not None:
+        upto = np.concatenate([[0], np.cumsum(level[(values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], dtype=np.int64)])
+        h |= ((3 * (upto[hi] - upto[lo])) // np.maximum(hi - lo, 1)).astype(np.uint64) << np.uint64(HASH_BITS)
+    return [np.unique(x) for x in np.split(h, np.cumsum(number)[:-1])]
 
 
 def needed(a: Column, b: Column, percent: int) -> Column:
@@ -46,8 +54,18 @@ def needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(percent * (a + b) / F.lit(100 + percent)).cast("long")
 
 
-def frequency_levels(docs: DataFrame, shingle: int) -> np.ndarray:
-    """A level for each of ``2^SKETCH_BITS`` counters of document frequency: 0 near the mean, one more for each doubling.
+def size_blocks(percent: int) -> np.ndarray:
+    """First sizes of the blocks: a set links with none outside its own block and the next ones on either side."""
+    bounds = [1]
+    while bounds[-1] < 1 << 31:
+        bounds.append(bounds[-1] * 100 // percent + 1)
+        if len(bounds) > 1 << 16:  # near 100 percent: blocks of single sizes at the start are enough for most
+            break
+    return np.array(bounds, np.int64)
+
+
+def word_levels(docs: DataFrame) -> np.ndarray:
+    """A level for each of ``2^SKETCH_BITS`` counters of words: eight more for each doubling of the count.
 
     Counts come from every document; the table has the same size for any corpus.
     """
@@ -59,94 +77,148 @@ def frequency_levels(docs: DataFrame, shingle: int) -> np.ndarray:
 
         total = np.zeros(size, np.int64)
         for _, texts in doc_batches(batches):
-            sets = shingle_sets(texts, shingle)
-            total += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
+            body = b"".join(texts).lower()
+            starts, stops, _ = words_of(body, np.cumsum([len(t) for t in texts], dtype=np.int64))
+            total += np.bincount((word_values(body, starts, stops) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
         press = zstandard.ZstdCompressor(level=1)
         for k in range(SLICES):
             if (part := total[k * width : (k + 1) * width]).any():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([press.compress(part.astype("<i8").tobytes())])], ["slice", "counts"])
 
-    def add(t: pa.Table) -> pa.Table:
+    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         total = np.zeros(width, np.int64)
-        for raw in t.column("counts").to_pylist():
-            total += np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "<i8")
-        return pa.table({"slice": t.column("slice")[:1], "sum": pa.array([int(total.sum())]), "counts": pa.array([total.astype("<i8").tobytes()])})
-
-    sums = stored(docs.mapInArrow(count, "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, sum long, counts binary"), "sketch")
-    mean = (sums.agg(F.sum("sum")).first()[0] or 0) / size
-    level = np.zeros(size, np.uint8)
-
-    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for raw in b.column(1).to_pylist():
-                out.append(np.log2(np.maximum(np.frombuffer(raw, "<i8") / (2 * mean + 8), 0.5)).astype(np.int64) + 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.maximum(x, 0).astype(np.uint8).tobytes() for x in out])], ["slice", "level"])
+            for raw in b.column(b.schema.get_field_index("counts")).to_pylist():
+                total += np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "<i8")
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(8 * np.log2(total + 1.0), 255).astype(np.uint8).tobytes()])], ["slice", "level"])
 
-    for k, raw in sums.select("slice", "counts").mapInArrow(levels, "slice int, level binary").collect():  # 2^SKETCH_BITS bytes
+    sums = docs.mapInArrow(count, "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, level binary")
+    level = np.zeros(size, np.uint8)
+    for k, raw in sums.collect():  # 2^SKETCH_BITS bytes
         level[k * width : (k + 1) * width] = np.frombuffer(raw, np.uint8)
     return level
 
 
 def set_table(docs: DataFrame, level: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """Each row's set: size, two digests, parity signature, prefix in the global order; and its text, compressed."""
-    levels = docs.sparkSession.sparkContext.broadcast(level)
+    """Each row's set: size and its block, two digests, parity signatures, prefix in the global order; and its text, compressed.
+
+    ``wide`` is a parity signature of as many bits as the set has shingles (the next power of two). Stored in buckets of rows.
+    """
+    levels, bounds = docs.sparkSession.sparkContext.broadcast(level), size_blocks(percent)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
         import zstandard
 
         press, level = zstandard.ZstdCompressor(level=3), levels.value
         for ids, texts in doc_batches(batches):
-            sets = shingle_sets(texts, shingle)
+            sets = shingle_sets(texts, shingle, level)
             n = np.array([len(s) for s in sets])
             flat, ends = np.concatenate(sets), np.cumsum(n)
             starts = ends - n
             digest = [range_hashes(v, starts, ends).view(np.int64) for v in (flat, mixed(flat))]
             owner = np.repeat(np.arange(len(sets)), n)
-            odd = np.zeros((len(sets), 256), np.uint8)
-            np.add.at(odd, (owner, (mixed(flat) & np.uint64(255)).astype(np.int64)), 1)
-            bits = np.packbits(odd & 1, axis=1, bitorder="little").view("<i8")
-            order = np.lexsort((flat, level[(flat >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], owner))
-            ordered = flat[order].view(np.int64)
+            odd = np.bincount(owner * 256 + (mixed(flat) & np.uint64(255)).astype(np.int64), minlength=256 * len(sets)).reshape(-1, 256)
+            bits = np.packbits((odd & 1).astype(np.uint8), axis=1, bitorder="little").view("<i8")
+            widths = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+            base = np.cumsum(widths) - widths
+            odd = np.bincount(base[owner] + (mixed(flat) & (widths[owner] - 1).astype(np.uint64)).astype(np.int64), minlength=int(widths.sum()))
+            raw = np.packbits((odd & 1).astype(np.uint8), bitorder="little").tobytes()
+            wide = [raw[a // 8 : (a + w) // 8] for a, w in zip(base.tolist(), widths.tolist())]
             length = n - (percent * n + 99) // 100 + 1
-            prefix = [ordered[a : a + k] if m else ordered[:0] for a, k, m in zip(starts.tolist(), length.tolist(), n.tolist())]
+            prefix = [flat[a : a + k].view(np.int64) if m else flat[:0].view(np.int64) for a, k, m in zip(starts.tolist(), length.tolist(), n.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(n, pa.int32()), pa.array(digest[0]), pa.array(digest[1]), *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)), pa.array(prefix, pa.list_(pa.int64())), pa.array([press.compress(t) for t in texts])],
+                [pa.array(ids), pa.array(n, pa.int32()), pa.array(np.searchsorted(bounds, n, "right"), pa.int32()), *(pa.array(d) for d in digest), *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)), pa.array(wide, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array([hashlib.md5(t).digest() for t in texts]), pa.array([press.compress(t) for t in texts])],
                 [f.split()[0] for f in SET_SCHEMA.split(", ")],
             )
 
-    return stored(docs.mapInArrow(build, SET_SCHEMA).withColumn("row", F.monotonically_increasing_id()), "sets")
+    return stored_by(docs.mapInArrow(build, SET_SCHEMA).withColumn("row", F.monotonically_increasing_id()), "sets", "row", "none")
+
+
+def alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of sizes ``na, nb`` that their wide signatures don't rule out: sets differ by as many shingles at least
+    as their signatures do in bits, when the wider one is folded to the other's width."""
+    names = pairs.columns
+    for side in "ab":
+        pairs = pairs.join(sets.select(F.col("row").alias(side), F.col("wide").alias("w" + side)), side)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            both = b.column(b.schema.get_field_index("na")).to_numpy().astype(np.int64) + b.column(b.schema.get_field_index("nb")).to_numpy()
+            most = both - 2 * -(-percent * both // (100 + percent))
+            keep = np.zeros(len(b), bool)
+            for k, (x, y) in enumerate(zip(b.column(len(names)), b.column(len(names) + 1))):
+                x, y = sorted((np.frombuffer(v.as_py(), np.uint64) for v in (x, y)), key=len)
+                keep[k] = np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum() <= most[k]
+            yield b.select(names).filter(pa.array(keep))
+
+    return pairs.select(*names, "wa", "wb").mapInArrow(check, pairs.select(*names).schema)
+
+
+def sets_of(bodies: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+    """The set of each compressed text, about ``PACK_BYTES`` of texts at a time."""
+    import zstandard
 
+    texts, size = [], 0
+    for raw in bodies:
+        t = zstandard.ZstdDecompressor().decompress(raw.as_py())
+        if texts and size + len(t) > PACK_BYTES:
+            yield from shingle_sets(texts, shingle)
+            texts, size = [], 0
+        texts.append(t)
+        size += len(t)
+    if texts:
+        yield from shingle_sets(texts, shingle)
 
-def overlaps(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """Overlap of each pair ``a, b`` of rows, from their whole texts; the sets of one ``a`` are built once."""
-    pairs = pairs.select("a", "b", F.floor(F.row_number().over(Window.partitionBy("a").orderBy("b")) / 256).alias("part"))  # a hub's pairs go to many tasks
+
+def compared(pairs: DataFrame, texts: DataFrame, shingle: int, differences: bool = False) -> DataFrame:
+    """``a, b, na, nb, overlap`` of each pair of rows ``a, b``, from their whole texts; the set of one ``a`` is built once.
+
+    With ``differences``, ``more`` and ``less`` too: the values that ``b`` has and ``a`` hasn't, and the other way round.
+    """
+    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(64)).alias("part"))  # a hub's pairs go to many tasks
     right = pairs.join(texts.select(F.col("row").alias("b"), "body"), "b").select("a", "part", "b", "body")
-    firsts = texts.select(F.col("row").alias("a"), F.lit(None).cast("long").alias("b"), "body").join(pairs.select("a", "part").distinct(), "a")
+    firsts = pairs.select("a", "part").distinct().join(texts.select(F.col("row").alias("a"), "body"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "body")
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = "a long, b long, na long, nb long, overlap long" + (", more array<bigint>, less array<bigint>" if differences else "")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
         of, own = None, np.zeros(0, np.uint64)
         for batch in batches:
-            a, b = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())), batch.column(2).to_pylist()
             out = []
-            for at in range(0, len(a), 256):
-                sets = shingle_sets([zstandard.ZstdDecompressor().decompress(x.as_py()) for x in batch.column(3)[at : at + 256]], shingle)
-                for x, y, s in zip(a[at:], b[at:], sets):
-                    if y is None:
-                        of, own = x, s
-                    else:
-                        assert of == x, "the text of a pair's first row is missing"
-                        out.append((x[0], y, len(np.intersect1d(own, s, assume_unique=True))))
+            for a, b, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), sets_of(batch.column(3), shingle)):
+                if b is None:
+                    of, own = a, s
+                    continue
+                assert of == a, "the text of a pair's first row is missing"
+                both = len(np.intersect1d(own, s, assume_unique=True))
+                row = (a, b, len(own), len(s), both)
+                out.append((*row, *(np.setdiff1d(x, y, assume_unique=True).view(np.int64) for x, y in ((s, own), (own, s)))) if differences else row)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b", "overlap"])
+                kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [f.split()[0] for f in schema.split(", ")])
+
+    rows = firsts.unionByName(right).repartition(n, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return stored(rows.mapInArrow(count, schema), "overlaps")
+
+
+def derived(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """``a, b, na, nb, overlap`` from a hub's answer ``known`` for ``b`` and ``more`` and ``less``, by which ``a`` differs from the hub."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for s, more, less in zip(sets_of(batch.column(7), shingle), batch.column(5), batch.column(6)):
+                more, less = (x.values.to_numpy().view(np.uint64) for x in (more, less))
+                found.append(len(np.intersect1d(s, more, assume_unique=True)) - len(np.intersect1d(s, less, assume_unique=True)))
+            overlap = batch.column(4).to_numpy() + np.array(found, np.int64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(overlap)], ["a", "b", "na", "nb", "overlap"])
 
-    rows = firsts.select("a", "part", "b", "body").unionByName(right).repartition(n, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return stored(rows.mapInArrow(count, PAIR_SCHEMA), "overlaps")
+    rows = pairs.join(texts.select(F.col("row").alias("b"), "body"), "b").select("a", "b", F.col("na").cast("long"), F.col("nb").cast("long"), "known", "more", "less", "body")
+    return stored(rows.mapInArrow(count, "a long, b long, na long, nb long, overlap long"), "derived")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -171,21 +243,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for each row of ``doc_id, text``: links are sets with
+    """``doc_id, n_shingles, component_id, kept, text_md5`` for each row of ``doc_id, text``: links are sets with
     ``100 * |x & y| >= percent * |x | y|``, components the rows that links reach, named by their smallest id.
 
     A-Z is lower-cased; fewer words than a shingle are one shingle; null and empty texts have no shingles and no links. A null
-    id counts as the largest and comes back as null. Rows that share an id are nodes of their own. An empty input gives no row.
+    id counts as the largest and comes back as null. Rows that share an id are nodes of their own. ``kept`` marks one row of
+    each component: the smallest id's, any one of those that share it. An empty input gives no row.
     """
-    sets = set_table(docs, frequency_levels(docs, shingle), shingle, percent)
+    sets = set_table(docs, word_levels(docs), shingle, percent)
     key = ["d1", "d2", "n"]
     classes = stored(sets.filter("n > 0").groupBy(*key).agg(F.min("row").alias("rep")), "classes")
+    marks = ["n", "block", "s0", "s1", "s2", "s3"]
     reps = sets.join(classes.select(F.col("rep").alias("row")), "row", "left_semi")
-    entries = reps.select("row", "n", F.posexplode("prefix").alias("place", "token"))
+    entries = reps.select("row", *marks, F.posexplode("prefix").alias("place", "token"))
     count = F.count("*").over(Window.partitionBy("token"))
-    lists = stored(entries.withColumn("many", count).filter("many > 1").select("token", "row", "n", "place"), "lists")
-    marks = sets.select("row", "s0", "s1", "s2", "s3")
-    lists = stored(lists.join(marks, "row"), "lists")
+    lists = stored(entries.withColumn("many", count).filter("many > 1").drop("many"), "lists")
 
     def fits(a: str, b: str) -> Column:
         """Neither sizes nor places rule the pair out; a skipped pair's first common token says the same elsewhere."""
@@ -199,54 +271,53 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFr
         return bits[0] + bits[1] + bits[2] + bits[3] <= na + nb - 2 * needed(na, nb, percent)
 
     # round 1: neighbours in each list by size, and by signature, where near copies stand together
-    entry = F.struct("row", "n", "place", "s0", "s1", "s2", "s3")
-    before = [F.lag(entry).over(Window.partitionBy("token").orderBy(*by, "row")) for by in (["n"], ["s0", "s1"], ["s2", "s3"])]
-    near = lists.select(entry.alias("y"), *(w.alias(f"x{k}") for k, w in enumerate(before)))
+    entry = F.struct("row", "place", *marks)
+    before = [F.lag(entry).over(Window.partitionBy("token", "block").orderBy(*by, "row")) for by in (["n"], ["s0", "s1"], ["s2", "s3"])]
+    near = lists.select("token", "block", entry.alias("y"), *(w.alias(f"x{k}") for k, w in enumerate(before)))
     near = near.select(F.explode(F.array("x0", "x1", "x2")).alias("x"), "y").filter(F.col("x").isNotNull())
-    near = near.filter(fits("x", "y") & apart("x", "y")).select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct()
-    texts, sizes = sets.select("row", "body"), sets.select("row", "n")
-    first = linked(overlaps(near, texts, shingle), sizes, percent)
+    a_first = F.col("x.row") < F.col("y.row")
+    near = near.filter(fits("x", "y") & apart("x", "y")).select(*(F.when(a_first, F.col(f"{p}.{c}")).otherwise(F.col(f"{q}.{c}")).alias(n) for p, q, c, n in (("x", "y", "row", "a"), ("y", "x", "row", "b"), ("x", "y", "n", "na"), ("y", "x", "n", "nb"))))
+    first = linked(compared(alike(near.distinct(), sets, percent), sets, shingle), percent)
     found = components(first)
 
-    # round 2: pairs whose components differ, by size blocks of each list
+    # round 2: pairs whose components differ; all pairs of a list but those within its commonest component
     label = found.select(F.col("node").alias("row"), F.col("root").alias("hub"))
-    known = lists.join(label, "row", "left").withColumn("hub", F.coalesce("hub", "row"))
-    at = Window.partitionBy("token")
-    mixed_lists = known.withColumn("lo", F.min("hub").over(at)).withColumn("hi", F.max("hub").over(at)).filter("lo < hi").drop("lo", "hi")
-    base = np.log(100 / percent)
-    mixed_lists = stored(mixed_lists.withColumn("block", F.floor(F.log("n") / base).cast("int")), "mixed")
-    cols = ["row", "n", "place", "hub", "s0", "s1", "s2", "s3"]
-    x = mixed_lists.select("token", "block", F.struct(*cols).alias("x"))
-    y = mixed_lists.select("token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"), F.struct(*cols).alias("y"))
-    nx, ny = F.col("x.n"), F.col("y.n")
-    ahead = (nx < ny) | ((nx == ny) & (F.col("x.row") < F.col("y.row")))
-    cross = x.join(y, ["token", "block"]).filter(ahead & (F.col("x.hub") != F.col("y.hub")) & fits("x", "y") & apart("x", "y"))
-    cross = stored(cross.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"), nx.alias("na"), ny.alias("nb"), F.col("x.hub").alias("ha"), F.col("y.hub").alias("hb")).distinct(), "cross")
-    to_hub = cross.select(F.col("a").alias("x"), F.col("ha").alias("h")).union(cross.select("b", "hb")).filter("x <> h").distinct()
-    hubs = cross.select(F.least("ha", "hb").alias("x"), F.greatest("ha", "hb").alias("h")).distinct()
-    asked = to_hub.union(hubs).select(F.least("x", "h").alias("a"), F.greatest("x", "h").alias("b")).distinct()
-    told = overlaps(asked, texts, shingle)
-    own = told.select(F.col("a").alias("h"), F.col("b").alias("x"), "overlap").unionByName(told.select(F.col("b").alias("h"), F.col("a").alias("x"), "overlap"))
-    bound = (
-        cross.join(own.select(F.col("x").alias("a"), F.col("h").alias("ha"), F.col("overlap").alias("oa")), ["a", "ha"], "left")
-        .join(own.select(F.col("x").alias("b"), F.col("h").alias("hb"), F.col("overlap").alias("ob")), ["b", "hb"], "left")
-        .join(own.select(F.col("x").alias("ha"), F.col("h").alias("hb"), F.col("overlap").alias("oh")), ["ha", "hb"])
-    )
-    most = F.col("oh") + F.when(F.col("a") == F.col("ha"), 0).otherwise(F.col("na") - F.col("oa")) + F.when(F.col("b") == F.col("hb"), 0).otherwise(F.col("nb") - F.col("ob"))
-    open_ = bound.filter(most >= needed(F.col("na"), F.col("nb"), percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = linked(overlaps(open_, texts, shingle), sizes, percent)
+    known = stored(lists.join(label, "row", "left").withColumn("hub", F.coalesce("hub", "row")), "known")
+    discard(lists)
+    hubs = known.groupBy("token", "hub").agg(F.count("*").alias("many"))
+    main = hubs.groupBy("token").agg(F.max(F.struct("many", "hub")).alias("most"), F.count("*").alias("hubs")).filter("hubs > 1").select("token", F.col("most.hub").alias("main"))
+    mixed_lists = stored(known.join(main, "token"), "mixed")
+    discard(known)
+    one = F.struct("row", "place", "hub", *marks)
+    x = mixed_lists.filter("hub <> main").select("token", F.explode(F.array(*(F.col("block") + k for k in (-1, 0, 1)))).alias("block"), one.alias("x"))
+    y = mixed_lists.select("token", "block", one.alias("y"), (F.col("hub") == F.col("main")).alias("common"))
+    once = F.col("common") | (F.col("x.row") < F.col("y.row"))
+    cross = x.join(y, ["token", "block"]).filter(once & (F.col("x.hub") != F.col("y.hub")) & fits("x", "y") & apart("x", "y"))
+    cross = cross.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.col("x.hub").alias("h")).distinct()
+    cross = stored(alike(cross, sets, percent), "cross")
+    discard(mixed_lists)
+    told = compared(cross.select(F.col("h").alias("a"), "b").distinct(), sets, shingle)
+    told = told.select(F.col("a").alias("h"), "b", F.col("overlap").alias("known"))
+    unlike = compared(cross.filter("a <> h").select(F.col("h").alias("a"), F.col("a").alias("b")).distinct(), sets, shingle, differences=True)
+    unlike = unlike.select(F.col("a").alias("h"), F.col("b").alias("a"), "more", "less")
+    answered = cross.join(told, ["h", "b"])
+    direct = answered.filter("a = h").select("a", "b", "na", "nb", F.col("known").alias("overlap"))
+    open_ = answered.filter("a <> h").join(unlike, ["h", "a"]).filter(F.col("known") + F.size("more") >= needed(F.col("na"), F.col("nb"), percent))
+    second = linked(direct.unionByName(derived(open_, sets, shingle)), percent)
+    discard(cross)
     final = components(first.unionByName(second)) if not second.isEmpty() else found
 
     # back to every row
-    named = sets.select("row", "doc_id", "n", "d1", "d2").join(classes, key, "left").withColumn("rep", F.coalesce("rep", "row"))
+    named = sets.select("row", "doc_id", "n", "d1", "d2", "text_md5").join(classes, key, "left").withColumn("rep", F.coalesce("rep", "row"))
     named = named.join(final.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    named = named.select("row", "doc_id", "n", "root", F.pmod(F.xxhash64("row"), F.lit(64)).alias("salt"))
-    part = named.groupBy("root", "salt").agg(F.min("doc_id").alias("low"))
-    names = part.join(part.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("root", "salt", "component_id")
-    null = F.lit(np.iinfo(np.int64).max)
-    return named.join(names, ["root", "salt"]).select(F.nullif("doc_id", null).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.nullif("component_id", null).alias("component_id"))
+    named = named.select("row", "doc_id", "n", "text_md5", "root", F.pmod(F.xxhash64("row"), F.lit(64)).alias("salt"))
+    part = named.groupBy("root", "salt").agg(F.min(F.struct("doc_id", "row")).alias("low"))
+    names = part.join(part.groupBy("root").agg(F.min("low").alias("first")), "root").select("root", "salt", "first")
+    no_id = F.lit(NO_ID)
+    return named.join(names, ["root", "salt"]).select(
+        F.nullif("doc_id", no_id).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.nullif("first.doc_id", no_id).alias("component_id"), (F.col("row") == F.col("first.row")).alias("kept"), "text_md5"
+    )
 
 
-def linked(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    a, b = sizes.select(F.col("row").alias("a"), F.col("n").alias("na")), sizes.select(F.col("row").alias("b"), F.col("n").alias("nb"))
-    return stored(pairs.join(a, "a").join(b, "b").filter(F.col("overlap") * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b"), "links")
+def linked(pairs: DataFrame, percent: int) -> DataFrame:
+    return stored(pairs.filter(F.col("overlap") * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b"), "links")

@@ -36,7 +36,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tokens")
     token_files.write_tokens(text_table(table(spark, sf_dir, "documents")), path, tokenizer_path("word_bpe_49k.json"))
-    return token_files.summary(token_files.read_tokens(spark, path))
+    return token_files.summary(spark, path)
 
 
 def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,8 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_join(text_table(table(spark, sf_dir, "documents")), shingle=3, percent=90)
+    out = jaccard_join.jaccard_join(text_table(table(spark, sf_dir, "documents")), shingle=3, percent=90)
+    return out.select("doc_id", "n_shingles", "component_id")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +95,9 @@ SELECT doc_id, size::BIGINT AS size, source_size, target, (size * least(3, whole
 """
 
 SQL_6 = r"""
-WITH p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-  coalesce(regexp_extract(url, '^.*?://[^/?#]*(/[^?#]*)', 1, 's'), '') AS path FROM pages),
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+c AS (SELECT page_id, split_part(split_part(rest, '?', 1), '#', 1) AS rest FROM u),
+p AS (SELECT page_id, translate(split_part(rest, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, CASE WHEN strpos(rest, '/') > 0 THEN substr(rest, strpos(rest, '/')) ELSE '' END AS path FROM c),
 r(rh, rp, v) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
 m AS (SELECT *, (SELECT max_by(rh || rp, length(rh || rp)) FROM r WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)) AS rule FROM p)
 SELECT page_id, host, path, rule, coalesce((SELECT v FROM r WHERE rh || rp = rule), 'allow') AS verdict FROM m
