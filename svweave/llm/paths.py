@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import FORTY_EIGHT, byte_values, minimizers, mixed, packs, range_hashes, stored, unpack, window_hashes, windows_inside, word_values, words_of
+from .common import FORTY_EIGHT, byte_values, hashes_at, minimizers, mixed, packs, range_hashes, stored, stored_by, unpack, window_hashes, windows_inside, word_values, words_of
 
 
 @dataclass
 class Units:
-    """A pack's words or bytes: hash of each, end of each document, ids; ``starts``/``stops``: a word's bytes."""
+    """A pack's words or bytes: hash of each, end of each document, ids; ``starts``/``stops``: a word's bytes.
+
+    ``lo``, ``hi`` and ``at``: each path's windows and the place that they choose.
+    """
 
     ids: np.ndarray
     body: bytes
@@ -30,6 +33,9 @@ class Units:
     values: np.ndarray
     starts: np.ndarray | None = None
     stops: np.ndarray | None = None
+    lo: np.ndarray | None = None
+    hi: np.ndarray | None = None
+    at: np.ndarray | None = None
 
 
 @dataclass(frozen=True)
@@ -38,34 +44,46 @@ class Spec:
     gram: int
     words: bool
 
-    def units(self, ids: bytes, ends: bytes, body: bytes) -> Units:
-        ids, ends, body = unpack(ids, ends, body)
+    def of(self, ids: np.ndarray, ends: np.ndarray, body: bytes) -> Units:
         if not self.words:
             return Units(ids, body, ends, byte_values(body))
         starts, stops, counts = words_of(body, ends)
         return Units(ids, body, counts, word_values(body, starts, stops), starts, stops)
 
-    def choices(self, u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Windows that lie inside a document, the place that each chooses and the hashes of all parts."""
-        h = window_hashes(u.values, self.gram)
-        at = minimizers(h, self.length - self.gram + 1)
+    def bounds(self, ids: np.ndarray, ends: np.ndarray, body: bytes) -> bytes:
+        """All paths of a pack, each as three small numbers: windows skipped before it, windows, place chosen after its start."""
+        u = self.of(ids, ends, body)
+        at = minimizers(window_hashes(u.values, self.gram), self.length - self.gram + 1)
         windows = np.flatnonzero(windows_inside(u.ends, self.length, len(at)))
-        return windows, at[windows], h
-
-    def paths(self, u: Units, found: np.ndarray) -> Paths:
-        """Paths at the fingerprints ``found`` (sorted)."""
-        windows, at, h = self.choices(u)
-        if not len(windows) or not len(found):
-            none = np.zeros(0, np.int64)
-            return Paths(none, none, none.astype(np.uint64), none.astype(np.uint64), none, none)
+        if not len(windows):
+            return b""
+        at = at[windows]
         parted = at[1:] != at[:-1]
         parted |= windows[1:] != windows[:-1] + 1  # documents too: no window reaches over an end
         first = np.flatnonzero(np.concatenate([[True], parted]))
-        last = np.append(first[1:], len(windows)) - 1
-        prints = mixed(h[at[first]]) & FORTY_EIGHT
-        keep = np.isin(prints, found)
-        first, last, prints = first[keep], last[keep], prints[keep]
-        lo, hi = windows[first], windows[last] + 1
+        lo, hi = windows[first], windows[np.append(first[1:], len(windows)) - 1] + 1
+        rows = np.stack([np.diff(lo, prepend=0) - np.concatenate([[0], (hi - lo)[:-1]]), hi - lo, at[first] - lo])
+        size = 1 if rows.max() < 1 << 8 else 4
+        return rows.astype(f"<u{size}").tobytes() + bytes([size])
+
+    def units(self, ids: bytes, ends: bytes, body: bytes, extra: bytes) -> Units:
+        ids, ends, body, extra = unpack(ids, ends, body, extra)
+        u = self.of(ids, ends, body)
+        rows = np.frombuffer(extra[:-1], f"<u{extra[-1] if extra else 1}").astype(np.int64).reshape(3, -1)
+        u.hi = np.cumsum(rows[0] + rows[1])
+        u.lo = u.hi - rows[1]
+        u.at = u.lo + rows[2]
+        return u
+
+    def prints(self, u: Units) -> np.ndarray:
+        """Fingerprint of the place that each path chooses."""
+        return mixed(hashes_at(u.values, u.at, self.gram)) & FORTY_EIGHT
+
+    def paths(self, u: Units, found: np.ndarray) -> Paths:
+        """Paths at the fingerprints ``found`` (sorted)."""
+        prints = self.prints(u)
+        keep = np.isin(prints, found) if len(found) else np.zeros(len(prints), bool)
+        lo, hi, prints = u.lo[keep], u.hi[keep], prints[keep]
         digest = range_hashes(u.values, lo, hi + self.length - 1)
         order = np.lexsort((digest, prints))
         entry = np.empty(len(order), np.int64)
@@ -87,8 +105,8 @@ class Paths:
 
 def fresh_rows(*columns: np.ndarray) -> np.ndarray:
     """Whether each row of sorted columns differs from the one before."""
-    fresh = np.ones(len(columns[0]), bool)
-    fresh[1:] = False
+    fresh = np.zeros(len(columns[0]), bool)
+    fresh[:1] = True
     for c in columns:
         fresh[1:] |= c[1:] != c[:-1]
     return fresh
@@ -104,46 +122,63 @@ def batch(schema: str, columns: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, names)], [n for n, _ in names])
 
 
-def per_pack(df: DataFrame, schema: str, f: Callable[[dict], Iterator[list[np.ndarray]] | list]) -> DataFrame:
+class Row:
+    """A row of an Arrow batch; binary values as bytes, lists as arrays, lists of structs as a dictionary of arrays."""
+
+    def __init__(self, batch: pa.RecordBatch, k: int):
+        self.batch, self.k = batch, k
+
+    def __getitem__(self, name: str):
+        value = self.batch.column(self.batch.schema.get_field_index(name))[self.k]
+        if not value.is_valid:
+            return None
+        if not pa.types.is_list(value.type):
+            return value.as_py()
+        if pa.types.is_struct(value.type.value_type):
+            kinds = value.type.value_type
+            parts = {kinds.field(i).name: value.values.field(i) for i in range(kinds.num_fields)}
+            return {n: x if pa.types.is_list(x.type) else x.to_numpy(zero_copy_only=False) for n, x in parts.items()}
+        return value.values.to_numpy(zero_copy_only=False)
+
+
+def per_pack(df: DataFrame, schema: str, f: Callable[[Row], Iterator[list[np.ndarray]] | list]) -> DataFrame:
     """``f`` on each row; it yields lists of columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(len(b)):
-                for columns in f({n: b.column(n)[k].as_py() for n in b.schema.names}):
+                for columns in f(Row(b, k)):
                     yield batch(schema, columns)
 
     return df.mapInArrow(run, schema)
 
 
-def partitioned_packs(docs: DataFrame, name: str) -> DataFrame:
-    """Packs stored by hash of their number, so that what joins them later moves and they don't."""
-    from .common import new_folder
+PACK = ["pack", "ids", "ends", "body", "extra"]
+
 
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = new_folder(spark, name)
-    table = path.rsplit("/", 1)[1].replace("-", "_")
-    packs(docs).repartition(n, "pack").write.bucketBy(n, "pack").option("compression", "none").option("path", path).saveAsTable(table)
-    return spark.table(table)
+def partitioned_packs(docs: DataFrame, name: str, spec: Spec) -> DataFrame:
+    """Packs with their paths, stored by hash of their number, so that what joins them later moves and they don't."""
+    return stored_by(packs(docs, spec.bounds), name, "pack", "none")
 
 
 def recurring(table: DataFrame, spec: Spec, across: bool) -> DataFrame:
     """``pack, found``: the fingerprints of each pack that recur (``across``: in another document) in the whole corpus."""
 
-    def prints(row: dict) -> Iterator[list[np.ndarray]]:
-        u = spec.units(row["ids"], row["ends"], row["body"])
-        _, at, h = spec.choices(u)
-        place = at[fresh_rows(at)] if len(at) else at
-        value = mixed(h[place]) & FORTY_EIGHT
+    def prints(row: Row) -> Iterator[list[np.ndarray]]:
+        u = spec.units(row["ids"], row["ends"], row["body"], row["extra"])
+        value = spec.prints(u)
         if across:
-            owner = u.ids[np.searchsorted(u.ends, place, "right")]
+            owner = u.ids[np.searchsorted(u.ends, u.at, "right")]
             order = np.lexsort((owner, value))
             value = value[order][fresh_rows(value[order], owner[order])]
-        value, count = np.unique(value, return_counts=True)
-        yield [signed(value * np.uint64(2) + (count > 1).astype(np.uint64)), np.full(len(value), row["pack"], np.int64)]
-
-    rows = per_pack(table.select("pack", "ids", "ends", "body"), "print long, pack long", prints)
+            fresh = np.flatnonzero(fresh_rows(value))
+        else:
+            value = np.sort(value[fresh_rows(u.at)])
+            fresh = np.flatnonzero(fresh_rows(value))
+        count = np.diff(np.append(fresh, len(value)))
+        yield [signed(value[fresh] * np.uint64(2) + (count > 1).astype(np.uint64)), np.full(len(fresh), row["pack"], np.int64)]
+
+    rows = per_pack(table.select(*PACK), "print long, pack long", prints)
     rows = rows.select(F.shiftright("print", 1).alias("value"), (F.col("print").bitwiseAND(1) + 1).alias("n"), "pack")
     total = F.sum("n").over(Window.partitionBy("value"))
     often = rows.withColumn("total", total).filter("total > 1")
@@ -156,9 +191,9 @@ PATH_SCHEMA = "value long, digest long, id long, place long, n int, pack long, e
 def path_rows(table: DataFrame, found: DataFrame, spec: Spec) -> DataFrame:
     """A row for each distinct path of each pack: where the pack has it first and how often (1 or 2)."""
 
-    def rows(row: dict) -> Iterator[list[np.ndarray]]:
-        u = spec.units(row["ids"], row["ends"], row["body"])
-        p = spec.paths(u, np.sort(np.array(row["found"], np.uint64)))
+    def rows(row: Row) -> Iterator[list[np.ndarray]]:
+        u = spec.units(row["ids"], row["ends"], row["body"], row["extra"])
+        p = spec.paths(u, np.sort(row["found"].astype(np.uint64)))
         if not len(p.lo):
             return
         place = p.lo - np.concatenate([[0], u.ends])[p.doc]
@@ -167,7 +202,7 @@ def path_rows(table: DataFrame, found: DataFrame, spec: Spec) -> DataFrame:
         count = np.minimum(np.bincount(p.entry), 2)
         yield [signed(p.prints[lead]), signed(p.digest[lead]), u.ids[p.doc[lead]], place[lead], count.astype(np.int32), np.full(len(lead), row["pack"], np.int64), p.entry[lead].astype(np.int32)]
 
-    return per_pack(table.join(found, "pack").select("pack", "ids", "ends", "body", "found"), PATH_SCHEMA, rows)
+    return per_pack(table.join(found, "pack").select(*PACK, "found"), PATH_SCHEMA, rows)
 
 
 def judged_paths(rows: DataFrame) -> DataFrame:
@@ -177,6 +212,6 @@ def judged_paths(rows: DataFrame) -> DataFrame:
         rows.withColumn("low", F.min("digest").over(at)).withColumn("high", F.max("digest").over(at)).withColumn("total", F.sum("n").over(at))
         .withColumn("first", F.min(F.struct("id", "place")).over(at))
         .withColumn("branches", F.col("low") != F.col("high")).filter("total > 1")
-        .select("value", "digest", "id", "place", "pack", "entry", "first", "branches"),
+        .select("value", "digest", "id", "place", "pack", "entry", "n", "first", "branches"),
         "paths",
     )

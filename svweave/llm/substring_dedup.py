@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import NO_ID, mixed, range_hashes, stored
-from .paths import Spec, judged_paths, partitioned_packs, path_rows, per_pack, recurring, signed
+from .paths import PACK, Row, Spec, judged_paths, partitioned_packs, path_rows, per_pack, recurring, signed
 
 GRAM = 8
 EDGE_SCHEMA = "edge long, second long, id long, place long, pack long, slot int"
@@ -51,16 +51,16 @@ def substring_dedup(docs: DataFrame, length: int = 20) -> DataFrame:
     a row lose nothing to each other. An empty input gives no row.
     """
     spec = Spec(length, min(GRAM, length), True)
-    table = partitioned_packs(docs, "word-packs")
+    table = partitioned_packs(docs, "word-packs", spec)
     found = recurring(table, spec, across=False)
     paths = judged_paths(path_rows(table, found, spec))
     branching = paths.filter("branches").groupBy("pack").agg(F.collect_list("entry").alias("entries"))
-    joined = table.join(found, "pack").select("pack", "ids", "ends", "body", "found")
+    joined = table.join(found, "pack").select(*PACK, "found")
 
-    def edges(row: dict) -> Iterator[list[np.ndarray]]:
-        u = spec.units(row["ids"], row["ends"], row["body"])
-        p = spec.paths(u, np.sort(np.array(row["found"], np.uint64)))
-        start, digest, second = split_edges(u, p, np.array(row["entries"]), length)
+    def edges(row: Row) -> Iterator[list[np.ndarray]]:
+        u = spec.units(row["ids"], row["ends"], row["body"], row["extra"])
+        p = spec.paths(u, np.sort(row["found"].astype(np.uint64)))
+        start, digest, second = split_edges(u, p, row["entries"], length)
         doc = np.searchsorted(u.ends, start, "right")
         place = start - np.concatenate([[0], u.ends])[doc]
         # the pack's own repeats of an edge stay rows only where they come first: the others hang on that one
@@ -74,35 +74,34 @@ def substring_dedup(docs: DataFrame, length: int = 20) -> DataFrame:
     first = rows.withColumn("first", F.min(F.struct("id", "place")).over(Window.partitionBy("edge", "second")))
     moved = first.filter((F.col("first.id") != F.col("id")) | (F.col("first.place") != F.col("place")))
     edge_news = moved.groupBy("pack").agg(F.collect_list(F.struct("slot", F.col("first.id").alias("id"), F.col("first.place").alias("place"))).alias("edge_news"))
-    plain = paths.filter("NOT branches").groupBy("pack").agg(F.collect_list(F.struct("entry", F.col("first.id").alias("id"), F.col("first.place").alias("place"))).alias("path_news"))
+    alone = (F.col("first.id") == F.col("id")) & (F.col("first.place") == F.col("place")) & (F.col("n") == 1)
+    plain = paths.filter("NOT branches").filter(~alone).groupBy("pack").agg(F.collect_list(F.struct("entry", F.col("first.id").alias("id"), F.col("first.place").alias("place"))).alias("path_news"))
     news = stored(plain.join(branching, "pack", "full").join(edge_news, "pack", "left").join(found, "pack", "left"), "news")
 
-    def cut(row: dict) -> Iterator[list[np.ndarray]]:
-        u = spec.units(row["ids"], row["ends"], row["body"])
+    def cut(row: Row) -> Iterator[list[np.ndarray]]:
+        u = spec.units(row["ids"], row["ends"], row["body"], row["extra"])
         base = np.concatenate([[0], u.ends])
         gone = np.zeros(len(u.values), bool)
-        if row["found"]:
-            p = spec.paths(u, np.sort(np.array(row["found"], np.uint64)))
+        if (found := row["found"]) is not None:
+            p = spec.paths(u, np.sort(found.astype(np.uint64)))
             covered = []
-            if row["path_news"]:
+            if (news := row["path_news"]) is not None:
                 first_id, first_place = np.full(p.entry.max() + 1, NO_ID), np.full(p.entry.max() + 1, NO_ID)
-                e = np.array([x["entry"] for x in row["path_news"]])
-                first_id[e], first_place[e] = [x["id"] for x in row["path_news"]], [x["place"] for x in row["path_news"]]
+                first_id[news["entry"]], first_place[news["entry"]] = news["id"], news["place"]
                 own_id, own_place = u.ids[p.doc], p.lo - base[p.doc]
                 late = (first_id[p.entry] < own_id) | ((first_id[p.entry] == own_id) & (first_place[p.entry] < own_place))
                 lo, n = p.lo[late], (p.hi - p.lo)[late]
                 covered.append(np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum()))
-            if row["entries"]:
-                start, digest, _ = split_edges(u, p, np.array(row["entries"]), length)
+            if (entries := row["entries"]) is not None:
+                start, digest, _ = split_edges(u, p, entries, length)
                 doc = np.searchsorted(u.ends, start, "right")
                 place = start - base[doc]
                 order = np.lexsort((place, u.ids[doc], digest))
                 fresh = np.concatenate([[True], digest[order][1:] != digest[order][:-1]])
                 lead, slot = order[np.flatnonzero(fresh)], np.cumsum(fresh) - 1
                 first_id, first_place = u.ids[doc[lead]], place[lead]
-                if row["edge_news"]:
-                    s = np.array([x["slot"] for x in row["edge_news"]])
-                    first_id[s], first_place[s] = [x["id"] for x in row["edge_news"]], [x["place"] for x in row["edge_news"]]
+                if (moves := row["edge_news"]) is not None:
+                    first_id[moves["slot"]], first_place[moves["slot"]] = moves["id"], moves["place"]
                 own_id, own_place = u.ids[doc[order]], place[order]
                 covered.append(start[order[(first_id[slot] < own_id) | ((first_id[slot] == own_id) & (first_place[slot] < own_place))]])
             if covered:
@@ -120,4 +119,4 @@ def substring_dedup(docs: DataFrame, length: int = 20) -> DataFrame:
             spans.append(turn.tolist())
         yield [ids, n_words, n_removed, kept, spans]
 
-    return per_pack(table.join(news, "pack", "left").select("pack", "ids", "ends", "body", "found", "path_news", "entries", "edge_news"), OUT_SCHEMA, cut)
+    return per_pack(table.join(news, "pack", "left").select(*PACK, "found", "path_news", "entries", "edge_news"), OUT_SCHEMA, cut)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import NO_ID, byte_values, mixed, range_hashes, stored
-from .paths import Spec, batch, partitioned_packs, path_rows, per_pack, recurring, signed
+from .paths import PACK, Row, Spec, batch, partitioned_packs, path_rows, per_pack, recurring, signed
 
 GRAM = 24
 #: Strings of one merge (all strings of a minimizer stay together) and of one shard.
@@ -175,65 +175,77 @@ def suffix_dedup(docs: DataFrame, length: int = 50) -> DataFrame:
     after all others; rows that share an id remove nothing from each other. An empty input gives no row.
     """
     spec = Spec(length, min(GRAM, length), False)
-    table = partitioned_packs(docs, "byte-packs")
+    table = partitioned_packs(docs, "byte-packs", spec)
     found = recurring(table, spec, across=True)
     at, same = Window.partitionBy("value"), Window.partitionBy("value", "digest")
     here = F.struct("id", "pack", "entry")
     paths = stored(
         path_rows(table, found, spec).drop("place").withColumn("branches", F.min("digest").over(at) != F.max("digest").over(at))
         .withColumn("total", F.sum("n").over(at)).withColumn("low", F.min("id").over(at)).withColumn("owner", F.min(here).over(same))
-        .filter("total > 1").select("value", "digest", "id", "pack", "entry", "branches", "low", F.col("owner.id").alias("own"), (F.col("owner") == here).alias("leads")),
+        .filter("total > 1").select("value", "digest", "id", "pack", "entry", "n", "branches", "low", F.col("owner.id").alias("own"), (F.col("owner") == here).alias("leads")),
         "paths",
     )
-    joined = table.join(found, "pack").select("pack", "ids", "ends", "body", "found")
+    joined = table.join(found, "pack").select(*PACK, "found")
     leads = paths.filter("branches AND leads").groupBy("pack").agg(F.collect_list(F.struct("entry", "own")).alias("leads"))
 
-    def strings(row: dict) -> Iterator[list[np.ndarray]]:
-        u = spec.units(row["ids"], row["ends"], row["body"])
-        p = spec.paths(u, np.sort(np.array(row["found"], np.uint64)))
-        entry = np.array([x["entry"] for x in row["leads"]])
+    def strings(row: Row) -> Iterator[list[np.ndarray]]:
+        u = spec.units(row["ids"], row["ends"], row["body"], row["extra"])
+        p = spec.paths(u, np.sort(row["found"].astype(np.uint64)))
+        leads = row["leads"]
         _, where = np.unique(p.entry, return_index=True)
-        k = where[entry]
+        k = where[leads["entry"]]
         text = [u.body[a:b] for a, b in zip(p.lo[k].tolist(), (p.hi[k] + length - 1).tolist())]
-        yield [signed(p.prints[k]), signed(p.digest[k]), np.array([x["own"] for x in row["leads"]]), text]
+        yield [signed(p.prints[k]), signed(p.digest[k]), leads["own"], text]
 
     rows = stored(per_pack(joined.join(leads, "pack"), STRING_SCHEMA, strings), "strings")
     intervals = repeated(rows, length)
-    branching = paths.filter("branches").select("value", "digest", "pack", "entry", "own").join(intervals, ["value", "digest"], "left")
-    plain = paths.filter("NOT branches").select("pack", "entry", F.col("low").alias("own"), F.lit(None).cast("array<bigint>").alias("news"))
+    # a path that its pack has once, in the first document of all, loses nothing as a whole
+    branching = paths.filter("branches").select("value", "digest", "pack", "entry", "own", ((F.col("own") < F.col("id")) | (F.col("n") > 1)).alias("late"))
+    branching = branching.join(intervals, ["value", "digest"], "left").filter("late OR news IS NOT NULL")
+    plain = paths.filter("NOT branches AND (low < id OR n > 1)").select("pack", "entry", F.col("low").alias("own"), F.lit(None).cast("array<bigint>").alias("news"))
     every = plain.unionByName(branching.select("pack", "entry", "own", "news"))
     news = every.groupBy("pack").agg(F.collect_list(F.struct("entry", "own", "news")).alias("told"))
 
-    def cut(row: dict) -> Iterator[list[np.ndarray]]:
-        u = spec.units(row["ids"], row["ends"], row["body"])
+    def cut(row: Row) -> Iterator[list[np.ndarray]]:
+        u = spec.units(row["ids"], row["ends"], row["body"], row["extra"])
         base = np.concatenate([[0], u.ends])
-        edge = np.zeros(len(u.values) + 1, np.int64)
-        if row["told"]:
-            p = spec.paths(u, np.sort(np.array(row["found"], np.uint64)))
-            n = int(p.entry.max()) + 1
-            own, runs = np.full(n, NO_ID), {}
-            e = np.array([x["entry"] for x in row["told"]])
-            own[e] = [x["own"] for x in row["told"]]
-            runs = {x["entry"]: x["news"] for x in row["told"] if x["news"]}
+        edge = np.zeros(len(u.values) + 1, np.int32)
+        if (told := row["told"]) is not None:
+            p = spec.paths(u, np.sort(row["found"].astype(np.uint64)))
+            own = np.full(int(p.entry.max()) + 1, NO_ID)
+            own[told["entry"]] = told["own"]
             ids = u.ids[p.doc]
             late = own[p.entry] < ids
             np.add.at(edge, p.lo[late], 1)
             np.add.at(edge, p.hi[late] + length - 1, -1)
-            for k in np.flatnonzero(np.isin(p.entry, np.array(list(runs), np.int64)) & ~late).tolist():
-                r = runs[int(p.entry[k])]
-                for f, t, low in zip(r[::3], r[1::3], r[2::3]):
-                    if low < ids[k]:
-                        edge[p.lo[k] + f] += 1
-                        edge[p.lo[k] + t + length - 1] -= 1
-        gone = np.cumsum(edge[:-1]) > 0
+            # runs of single windows: (from, to, smallest id) of each path that has some
+            news = told["news"]
+            many = np.zeros(len(own), np.int64)
+            many[told["entry"]] = np.diff(news.offsets.to_numpy()) // 3
+            first = np.zeros(len(own), np.int64)
+            first[told["entry"]] = news.offsets.to_numpy()[:-1] - news.offsets[0].as_py()
+            k = np.flatnonzero((many[p.entry] > 0) & ~late)
+            n = many[p.entry[k]]
+            flat, of = news.flatten().to_numpy(), np.repeat(k, n)
+            at = np.repeat(first[p.entry[k]] - 3 * (np.cumsum(n) - n), n) + 3 * np.arange(n.sum())
+            some = flat[at + 2] < ids[of]
+            of, at = of[some], at[some]
+            np.add.at(edge, p.lo[of] + flat[at], 1)
+            np.add.at(edge, p.lo[of] + flat[at + 1] + length - 1, -1)
+        gone = np.zeros(len(u.values) + 2, bool)
+        gone[1:-1] = np.cumsum(edge[:-1], dtype=np.int32) > 0
+        # a run is also cut where a document ends
+        turn = np.flatnonzero(gone[1:] != gone[:-1])
+        inner = base[1:-1][(gone[1:-1][base[1:-1] - 1] & gone[1:-1][np.minimum(base[1:-1], max(len(u.values) - 1, 0))])] if len(u.values) else base[:0]
+        starts, stops = np.sort(np.concatenate([turn[::2], inner])), np.sort(np.concatenate([turn[1::2], inner]))
+        lead = np.searchsorted(starts, base)
         out = [[], [], [], [], [], []]
         for k, i in enumerate(u.ids.tolist()):
             a, b = int(base[k]), int(base[k + 1])
-            turn = (np.flatnonzero(np.diff(np.concatenate([[False], gone[a:b], [False]]).astype(np.int8)))).tolist()
-            bounds = [0, *turn, b - a]
-            kept = b"".join(u.body[a + s : a + e] for s, e in zip(bounds[::2], bounds[1::2]))
-            for column, x in zip(out, (None if i == NO_ID else i, b - a, b - a - len(kept), len(turn) // 2, kept, turn)):
+            s, e = (starts[lead[k] : lead[k + 1]] - a).tolist(), (stops[lead[k] : lead[k + 1]] - a).tolist()
+            kept = u.body[a:b] if not s else b"".join(u.body[a + x : a + y] for x, y in zip([0, *e], [*s, b - a]))
+            for column, x in zip(out, (None if i == NO_ID else i, b - a, b - a - len(kept), len(s), kept, [x for span in zip(s, e) for x in span])):
                 column.append(x)
         yield out
 
-    return per_pack(table.join(found, "pack", "left").join(news, "pack", "left").select("pack", "ids", "ends", "body", "found", "told"), OUT_SCHEMA, cut)
+    return per_pack(table.join(found, "pack", "left").join(news, "pack", "left").select(*PACK, "found", "told"), OUT_SCHEMA, cut)
