@@ -28,7 +28,7 @@ CHECKSUM_FLAG = 0x80
 #: Raw bytes of text that one file is meant for.
 FILE_TEXT_BYTES = 16 << 20
 TIE_LETTERS = 16
-CACHED_WORDS, SLOT_BITS = 1_200_000, 22
+CACHED_WORDS, SLOT_BITS = 500_000, 21
 #: Masks of the lowest 0 to 8 bytes.
 _LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
