@@ -54,7 +54,7 @@ def sampling_key(seed: int, quality: F.Column) -> F.Column:
 
 
 def mix(rows: DataFrame, quality_col: str | None = None, max_epochs: int = 3, seed: int = 17, bin_rows: int = 4096) -> DataFrame:
-    """``id, source, size, source_size, target, epochs, taken``: a row for each of :func:`measure`'s;
+    """``id, source, size, source_size, target, epochs, taken, text_md5``: a row for each of :func:`measure`'s;
     ``taken = epochs * size``.
 
     ``quality_col``: positive weights, null or not positive counts as 1. Sources come by code point, a null source last, and
@@ -62,7 +62,7 @@ def mix(rows: DataFrame, quality_col: str | None = None, max_epochs: int = 3, se
     order of size; a row counts towards the rest while at least half of it fits. An empty input gives no row.
     """
     quality = F.lit(1.0) if quality_col is None else F.when(F.col(quality_col) > 0, F.col(quality_col).cast("double")).otherwise(F.lit(1.0))
-    rows = rows.select("id", "source", "size", sampling_key(seed, quality).alias("key"))
+    rows = rows.select("id", "source", "size", "text_md5", sampling_key(seed, quality).alias("key"))
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     ranked = totals.withColumn("weight", (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % 3 + 1)
     goals = water_level(ranked, max_epochs).withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
@@ -75,7 +75,7 @@ def mix(rows: DataFrame, quality_col: str | None = None, max_epochs: int = 3, se
     within = Window.partitionBy("source", "bin").orderBy("key", "size", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = keyed.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b"))).withColumn("upto", F.col("before_bin") + F.sum("size").over(within))
     epochs = F.col("whole") + F.when(F.col("upto") - F.col("size") / 2.0 <= F.col("rest"), F.lit(1)).otherwise(F.lit(0))
-    return run.withColumn("epochs", F.least(epochs, F.lit(max_epochs)).cast("int")).select("id", "source", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size")).alias("taken"))
+    return run.withColumn("epochs", F.least(epochs, F.lit(max_epochs)).cast("int")).select("id", "source", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size")).alias("taken"), "text_md5")
 
 
 def _few(goals: DataFrame, most: int = 10_000) -> bool:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from .common import doc_batches, range_hashes, byte_values, window_hashes
 
-WINDOW, STRIDE = 64, 48
+WINDOW, STRIDE = 64, 32
 TRAIN_TOXIC, TRAIN_CLEAN, EPOCHS, BATCH, RATE, SEED = 800, 1600, 7, 64, 0.01, 11
 #: Made-up clean windows in each epoch: one word of a clean document over and over.
 REPEATS = 256
@@ -30,7 +30,7 @@ REPEATS = 256
 MIN_STEPS = 300
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 6, 6, 8
 BUCKETS = 1 << 14
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -67,8 +67,8 @@ class Network:
     def numbers(self, texts: list[bytes]) -> list[np.ndarray]:
         """Rows of each text's words in ``self.rows``; row 0 is padding."""
         parts = [t.lower().split() for t in texts]
-        if len(self.row_of) > CACHED_WORDS:
-            self.row_of.clear()
+        while len(self.row_of) > CACHED_WORDS:  # those seen first stay, mostly the frequent ones
+            self.row_of.popitem()
         new = list(set().union(*parts).difference(self.row_of))
         if new:
             at = len(self.row_of) + 1
