@@ -31,9 +31,9 @@ def sanitise_sample(name: Column) -> Column:
     return F.regexp_replace(name, r"(?i)[^a-z0-9_\-.]", "_")
 
 
-def breakpoint_distance(chr1: Column, chr2: Column, end1: Column, start2: Column) -> Column:
-    """-1 across chromosomes; else the gap, 0 if unknown."""
-    return F.when(chr1 != chr2, F.lit(-1)).otherwise(F.coalesce(start2 - end1, F.lit(0)))
+def breakpoint_distance(chr1: Column, chr2: Column, start1: Column, start2: Column) -> Column:
+    """-1 across chromosomes; else from start to start, 0 if unknown."""
+    return F.when(chr1 != chr2, F.lit(-1)).otherwise(F.coalesce(start2 - start1, F.lit(0)))
 
 
 def sv_class(chr1: Column, chr2: Column, strand1: Column, strand2: Column, convention: str = "group") -> Column:
@@ -43,8 +43,9 @@ def sv_class(chr1: Column, chr2: Column, strand1: Column, strand2: Column, conve
     return F.when(chr1 != chr2, "translocation").otherwise(kind)
 
 
-def sv_distance(chr1: Column, chr2: Column, start1: Column, start2: Column) -> Column:
-    return F.when(chr1 != chr2, F.lit(-1)).otherwise(F.abs(start2 - start1))
+def sv_distance(chr1: Column, chr2: Column, end1: Column, start2: Column) -> Column:
+    """-1 across chromosomes; else from the low end's end to the high end's start."""
+    return F.when(chr1 != chr2, F.lit(-1)).otherwise(F.abs(start2 - end1))
 
 
 def is_small_indel(chr1: Column, chr2: Column, strand1: Column, strand2: Column, end1: Column, start2: Column, most: int = 1000) -> Column:

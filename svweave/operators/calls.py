@@ -7,21 +7,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import expr
-from .interval import band_pairs, renamed
+from .interval import band_pairs, interval_join, renamed
 
 END1, END2 = ["chr1", "start1", "end1", "strand1"], ["chr2", "start2", "end2", "strand2"]
 
 
-def fail_reason(calls: DataFrame, min_tumour: int = 4, max_normal: int = 0, max_panel: int = 0, max_panel_samples: int = 0, distance: int = 100, foldback: int = 5000, foldback_extra: int = 2) -> DataFrame:
-    """First test of the somatic filter that a call fails, null if none; small foldbacks may have a few panel reads more."""
+def min_tumour_reads(depth: float, threshold: float = 25, low: int = 2, high: int = 4) -> int:
+    """Tumour reads a group needs: the high number where the sequencing depth exceeds the threshold."""
+    return high if depth > threshold else low
+
+
+def fail_reason(
+    calls: DataFrame, min_tumour: int = 4, max_normal: int = 0, max_panel: int = 0, max_panel_samples: int = 0, distance: int = 100, foldback: int = 5000, foldback_extra: int = 2,
+    discard_repeats: bool = False, decoy: str = "hs37d5cs", strict: bool = False,
+) -> DataFrame:
+    """First test of the somatic filter that a call fails, null if none; small foldbacks may have a few panel reads more.
+
+    Tests in order: decoy sequence, identical ends, repeats (if asked for; column ``repeats``), tumour, normal, panel reads,
+    panel samples, a low end above the high one (an error if ``strict``), distance of the ends' starts.
+    """
     same = F.col("chr1") == F.col("chr2")
-    middle = F.abs((F.col("start2") + 1 + F.col("end2")) / 2 - (F.col("start1") + 1 + F.col("end1")) / 2)
+    middle = (F.col("start2") + 1 + F.col("end2")) / 2 - (F.col("start1") + 1 + F.col("end1")) / 2
     extra = F.when(same & (F.col("strand1") == F.col("strand2")) & (middle <= foldback), foldback_extra).otherwise(0)
     identical = same & (F.col("start1") == F.col("start2")) & (F.col("end1") == F.col("end2"))
+    swapped = same & (F.col("start1") > F.col("start2"))
+    reason = F.when((F.col("chr1").cast("string") == decoy) | (F.col("chr2").cast("string") == decoy), "decoy").when(identical, "identical")
+    if discard_repeats:
+        reason = reason.when(F.length("repeats") > 0, "repeats")
     reason = (
-        F.when(identical, "identical").when(F.col("tumour_count") < min_tumour, "tumour").when(F.col("normal_count") > max_normal, "normal")
-        .when(F.col("np_count") > max_panel + extra, "panel").when(F.col("np_sample_count") > max_panel_samples + extra, "panel_samples")
-        .when(same & (F.col("end2") - (F.col("start1") + 1) <= distance), "distance")
+        reason.when(F.col("tumour_count") < min_tumour, "tumour").when(F.col("normal_count") > max_normal, "normal")
+        .when(F.col("np_count") > max_panel + extra, "panel").when(F.col("np_sample_count") > max_panel_samples, "panel_samples")
+        .when(swapped, F.raise_error(F.lit("a call's low end lies above its high end")) if strict else F.lit("order"))
+        .when(same & (F.col("start2") - F.col("start1") <= distance), "distance")
     )
     return calls.withColumn("fail_reason", reason)
 
@@ -42,16 +59,25 @@ def filter_recurrent_ends(calls: DataFrame, max_occ: int = 10) -> DataFrame:
 
 
 def id_list(column: str):
-    return F.array_join(F.transform(F.array_sort(F.collect_set(column)), lambda x: x.cast("string")), ",")
+    """Distinct ids, comma-joined in the order of their texts."""
+    return F.array_join(F.array_sort(F.transform(F.collect_set(column), lambda x: x.cast("string"))), ",")
 
 
 def flag_balanced(calls: DataFrame, dist: int = 100_000) -> DataFrame:
-    """``id, bal_trans``: partners on the same two chromosomes with other strands at both ends, both ends within ``dist``."""
-    opposite = (F.col("a_strand1") != F.col("b_strand1")) & (F.col("a_strand2") != F.col("b_strand2")) & (F.col("a_id") != F.col("b_id"))
+    """``id, bal_trans``: partners between the same two chromosomes, in either order, with other strands at both ends, whose
+    ranges at both ends lie inside the call's own, widened by ``dist`` (strictly)."""
     apart = calls.filter("chr1 <> chr2")
-    near = band_pairs(apart, {"chr1": "chr1", "chr2": "chr2"}, "start1", "start1", dist)
-    hit = near.filter(opposite & (F.abs(F.col("a_start2") - F.col("b_start2")) < dist))
-    return hit.groupBy(F.col("a_id").alias("id")).agg(id_list("b_id").alias("bal_trans"))
+    a = renamed(apart, "a_").withColumns({"k1": F.col("a_chr1"), "k2": F.col("a_chr2"), "lo": F.col("a_start1") - dist + 1, "hi": F.col("a_end1") + dist - 1})
+    hits = None
+    for one, other in (("1", "2"), ("2", "1")):
+        b = renamed(apart, "b_").withColumns({"k1": F.col("b_chr" + one), "k2": F.col("b_chr" + other)})
+        met = interval_join(a, b, ["k1", "k2"], "lo", "hi", "b_start" + one, "b_end" + one, size=dist)
+        inside = (F.col("b_start" + one) >= F.col("lo")) & (F.col("b_end" + one) <= F.col("hi"))
+        inside &= (F.col("b_start" + other) > F.col("a_start2") - dist) & (F.col("b_end" + other) < F.col("a_end2") + dist)
+        opposite = (F.col("a_strand1") != F.col("b_strand" + one)) & (F.col("a_strand2") != F.col("b_strand" + other)) & (F.col("a_id") != F.col("b_id"))
+        found = met.filter(inside & opposite).select("a_id", "b_id")
+        hits = found if hits is None else hits.union(found)
+    return hits.groupBy(F.col("a_id").alias("id")).agg(id_list("b_id").alias("bal_trans"))
 
 
 def flag_inversions(calls: DataFrame, dist: int = 1000) -> DataFrame:
@@ -66,10 +92,10 @@ def flag_inversions(calls: DataFrame, dist: int = 1000) -> DataFrame:
 
 
 def flag_occurrences(calls: DataFrame, within: int = 500) -> DataFrame:
-    """``id, occ_l, occ_h``: distinct ranges of either end on the chromosome whose starts and ends lie within ``within``."""
+    """``id, occ_l, occ_h``: distinct ranges of either end on the chromosome that meet the end's range, widened by ``within`` (strictly)."""
     ends = calls.select(F.col("chr1").alias("chr"), F.col("start1").alias("s"), F.col("end1").alias("e")).union(calls.select("chr2", "start2", "end2")).distinct()
-    wide = ends.withColumn("_near", F.explode(F.array(*(F.floor(F.col("s") / within) + k for k in (-1, 0, 1))))).select("chr", "_near", F.col("s").alias("s2"), F.col("e").alias("e2"))
-    hits = ends.withColumn("_near", F.floor(F.col("s") / within)).join(wide, ["chr", "_near"]).filter((F.abs(F.col("s") - F.col("s2")) < within) & (F.abs(F.col("e") - F.col("e2")) < within))
+    wide = ends.withColumns({"lo": F.col("s") - within + 1, "hi": F.col("e") + within - 1})
+    hits = interval_join(wide, ends.select("chr", F.col("s").alias("s2"), F.col("e").alias("e2")), ["chr"], "lo", "hi", "s2", "e2")
     counted = hits.groupBy("chr", "s", "e").agg(F.count("*").alias("n"))
     low = counted.select(F.col("chr").alias("chr1"), F.col("s").alias("start1"), F.col("e").alias("end1"), F.col("n").alias("occ_l"))
     high = counted.select(F.col("chr").alias("chr2"), F.col("s").alias("start2"), F.col("e").alias("end2"), F.col("n").alias("occ_h"))
@@ -115,8 +141,8 @@ def annotate(calls: DataFrame) -> DataFrame:
     """Class, distances and the small-indel mark of each call."""
     c = F.col
     return calls.select(
-        "id", expr.sv_class(c("chr1"), c("chr2"), c("strand1"), c("strand2")).alias("svclass"), expr.breakpoint_distance(c("chr1"), c("chr2"), c("end1"), c("start2")).alias("bkpt_distance"),
-        expr.sv_distance(c("chr1"), c("chr2"), c("start1"), c("start2")).alias("bkdist"), expr.is_small_indel(c("chr1"), c("chr2"), c("strand1"), c("strand2"), c("end1"), c("start2")).alias("small_indel"),
+        "id", expr.sv_class(c("chr1"), c("chr2"), c("strand1"), c("strand2")).alias("svclass"), expr.breakpoint_distance(c("chr1"), c("chr2"), c("start1"), c("start2")).alias("bkpt_distance"),
+        expr.sv_distance(c("chr1"), c("chr2"), c("end1"), c("start2")).alias("bkdist"), expr.is_small_indel(c("chr1"), c("chr2"), c("strand1"), c("strand2"), c("end1"), c("start2")).alias("small_indel"),
     )
 
 

@@ -37,8 +37,9 @@ def segment_medians(points: DataFrame, segments: DataFrame, value: str, min_bins
 
 
 def discard_small(calls: DataFrame, low: int = 4, high: int = 10, inversion: int = 5000, deletion: int = 500) -> DataFrame:
-    """Without small inversions of few reads (under ``low``, or under ``high`` and short) and short deletions."""
+    """Without small inversions of few reads (under ``low``, or under ``high`` and with two bounds near) and short deletions."""
     same, size, n = F.col("chr1") == F.col("chr2"), F.col("start2") - F.col("end1"), F.col("tumour_count")
-    inverted = same & (F.col("strand1") == F.col("strand2")) & ((n < low) | ((n < high) & (F.abs(size) < inversion)))
+    nearest = F.least(*(F.abs(F.col(a) - F.col(b)) for a in ("start1", "end1") for b in ("start2", "end2")))
+    inverted = same & (F.col("strand1") == F.col("strand2")) & ((n < low) | ((n < high) & (nearest < inversion)))
     deleted = same & (F.col("strand1") == "+") & (F.col("strand2") == "-") & (size < deletion)
     return calls.filter(~(inverted | deleted))

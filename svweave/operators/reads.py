@@ -11,9 +11,13 @@ from .interval import interval_join
 
 
 def limit_refs(reads: DataFrame, refs: DataFrame) -> DataFrame:
-    """Reads that lie, and whose mates lie, on a chromosome of ``refs`` (column ``chr``)."""
-    names = refs.select("chr").distinct()
-    return reads.join(names, "chr", "left_semi").join(names.withColumnRenamed("chr", "mate_chr"), "mate_chr", "left_semi").select(*reads.columns)
+    """Reads that lie, and whose mates lie, on a chromosome of ``refs`` (column ``chr``); ``=`` (as the read) and ``*`` (none) pass."""
+    names = refs.select(F.col("chr").cast("string").alias("chr")).union(reads.sparkSession.createDataFrame([("=",), ("*",)], "chr string")).distinct()
+    out = reads
+    for side in ("chr", "mate_chr"):
+        own = names.select(F.col("chr").alias("_name"))
+        out = out.join(own, out[side].cast("string") == own["_name"], "left_semi")
+    return out
 
 
 def prep_pairs(reads: DataFrame, min_mapq: int = 6) -> DataFrame:
@@ -76,20 +80,32 @@ def covered_by(reads: DataFrame, features: DataFrame, max_uncovered: int = 10) -
     return total.filter(F.col("covered") >= F.col("len") - max_uncovered).select("qname", "mate", "covered")
 
 
-def collect_end_reads(calls: DataFrame, reads: DataFrame, left: int = 900, right: int = 100) -> DataFrame:
-    """``id, qname``: reads near a call's low end, on its strand, whose mates lie near its high end on that one's strand.
+def collect_end_reads(calls: DataFrame, reads: DataFrame, left: int = 900, right: int = 100, ignore_mate: bool = False) -> DataFrame:
+    """``id, qname``: reads that overlap a call's low end, on its strand, whose mates overlap its high end on that one's strand.
 
-    Near: ``left`` bases before and ``right`` after a + end, mirrored at a - end.
+    An end reaches from ``left`` bases before its middle to ``right`` after it if it is a + end, mirrored at a - end. On one
+    chromosome and strand the read must lie on its mate's side as the ends do. With ``ignore_mate`` the mate isn't looked at.
+    Reads that are unpaired or unmapped (``flag``, if there is one) take no part; a mate counts as long as its read.
     """
     def reach(strand: str, start: str, end: str):
-        plus = F.col(strand) == "+"
-        return F.col(start) + 1 - F.when(plus, left).otherwise(right), F.col(end) + F.when(plus, right).otherwise(left)
+        middle, plus = (F.col(start) + F.col(end)) / 2, F.col(strand) == "+"
+        return (middle - F.when(plus, left).otherwise(right)).cast("long"), (middle + F.when(plus, right).otherwise(left)).cast("long")
 
     (lo1, hi1), (lo2, hi2) = reach("strand1", "start1", "end1"), reach("strand2", "start2", "end2")
-    a = calls.select("id", F.col("chr1").alias("chr"), F.col("strand1").alias("strand"), F.col("chr2").alias("mate_chr"), F.col("strand2").alias("mate_strand"), lo1.alias("lo1"), hi1.alias("hi1"), lo2.alias("lo2"), hi2.alias("hi2"))
-    b = reads.select("qname", "chr", "strand", "mate_chr", "mate_strand", "pos", "mate_pos")
-    met = interval_join(a, b, ["chr", "strand", "mate_chr", "mate_strand"], "lo1", "hi1", "pos", "pos")
-    return met.filter("mate_pos BETWEEN lo2 AND hi2").select("id", "qname").distinct()
+    low_first = F.col("start1") + F.col("end1") <= F.col("start2") + F.col("end2")
+    mate = ["mate_chr", "mate_strand"]
+    a = calls.select("id", F.col("chr1").alias("chr"), F.col("strand1").alias("strand"), F.col("chr2").alias(mate[0]), F.col("strand2").alias(mate[1]), lo1.alias("lo1"), hi1.alias("hi1"), lo2.alias("lo2"), hi2.alias("hi2"), low_first.alias("low_first"))
+    if "flag" in reads.columns:
+        reads = reads.filter(expr.flags_fit(F.col("flag"), expr.PAIRED, expr.UNMAPPED))
+    b = reads.select("qname", "chr", "strand", *mate, "pos", "mate_pos", "read_len", (F.col("pos") + F.col("read_len") - 1).alias("last"))
+    if ignore_mate:
+        b, a = b.drop(*mate), a.drop(*mate)
+        return interval_join(a, b, ["chr", "strand"], "lo1", "hi1", "pos", "last").select("id", "qname").distinct()
+    met = interval_join(a, b, ["chr", "strand", *mate], "lo1", "hi1", "pos", "last")
+    ordered = F.when(F.col("low_first"), F.col("pos") <= F.col("mate_pos")).otherwise(F.col("pos") >= F.col("mate_pos"))
+    apart = (F.col("chr") != F.col("mate_chr")) | (F.col("strand") != F.col("mate_strand"))
+    near = (F.col("mate_pos") <= F.col("hi2")) & (F.col("mate_pos") + F.col("read_len") - 1 >= F.col("lo2"))
+    return met.filter(near & (apart | ordered)).select("id", "qname").distinct()
 
 
 def prefilter_groups(calls: DataFrame, most: int = 200) -> DataFrame:

@@ -92,8 +92,8 @@ def sample_counts(df: DataFrame) -> DataFrame:
 
 
 FAIL = """CASE WHEN chr1 = chr2 AND start1 = start2 AND end1 = end2 THEN 'identical' WHEN tumour_count < 4 THEN 'tumour' WHEN normal_count > 0 THEN 'normal'
- WHEN np_count > x THEN 'panel' WHEN np_sample_count > x THEN 'panel_samples' WHEN chr1 = chr2 AND end2 - (start1 + 1) <= 100 THEN 'distance' END"""
-EXTRA = f"(SELECT *, CASE WHEN chr1 = chr2 AND strand1 = strand2 AND abs((start2 + 1 + end2) / 2 - (start1 + 1 + end1) / 2) <= 5000 THEN 2 ELSE 0 END AS x FROM {C})"
+ WHEN np_count > x THEN 'panel' WHEN np_sample_count > 0 THEN 'panel_samples' WHEN chr1 = chr2 AND start1 > start2 THEN 'order' WHEN chr1 = chr2 AND (start2 + 1) - (start1 + 1) <= 100 THEN 'distance' END"""
+EXTRA = f"(SELECT *, CASE WHEN chr1 = chr2 AND strand1 = strand2 AND (start2 + 1 + end2) / 2 - (start1 + 1 + end1) / 2 <= 5000 THEN 2 ELSE 0 END AS x FROM {C})"
 
 
 @query("b16_fail_reason", BEDPE, f"SELECT id, {FAIL} AS fail_reason FROM {EXTRA}")
@@ -107,7 +107,7 @@ def filter_marked_groups(df: DataFrame) -> DataFrame:
 
 
 @query("b22_annotate_calls", BEDPE, f"""SELECT id, CASE WHEN chr1 <> chr2 THEN 'translocation' WHEN strand1 = strand2 THEN 'inversion' WHEN strand1 = '+' THEN 'deletion' ELSE 'tandem-duplication' END AS svclass,
- CASE WHEN chr1 <> chr2 THEN -1 ELSE start2 - end1 END AS bkpt_distance, CASE WHEN chr1 <> chr2 THEN -1 ELSE abs(start2 - start1) END AS bkdist,
+ CASE WHEN chr1 <> chr2 THEN -1 ELSE (start2 + 1) - (start1 + 1) END AS bkpt_distance, CASE WHEN chr1 <> chr2 THEN -1 ELSE abs(start2 - end1) END AS bkdist,
  chr1 = chr2 AND strand1 = '+' AND strand2 = '-' AND start2 - end1 <= 1000 AS small_indel FROM {C}""")
 def annotate_calls(df: DataFrame) -> DataFrame:
     return calls.annotate(df)
@@ -124,20 +124,20 @@ SELF = f"WITH c AS {C}, j AS (SELECT a.id AS id, b.id AS other FROM c a JOIN c b
 
 
 @query("c08_flag_balanced", BEDPE, f"""{SELF} a.chr1 = b.chr1 AND a.chr2 = b.chr2 AND a.chr1 <> a.chr2 AND a.id <> b.id AND a.strand1 <> b.strand1 AND a.strand2 <> b.strand2
- AND abs(a.start1 - b.start1) < 100000 AND abs(a.start2 - b.start2) < 100000) SELECT id, string_agg(other::VARCHAR, ',' ORDER BY other) AS bal_trans FROM j GROUP BY id""")
+ AND b.start1 > a.start1 - 100000 AND b.end1 < a.end1 + 100000 AND b.start2 > a.start2 - 100000 AND b.end2 < a.end2 + 100000) SELECT id, string_agg(other::VARCHAR, ',' ORDER BY other::VARCHAR) AS bal_trans FROM j GROUP BY id""")
 def flag_balanced(df: DataFrame) -> DataFrame:
     return calls.flag_balanced(df)
 
 
 @query("c09_flag_inversions", BEDPE, f"""{SELF} a.chr1 = a.chr2 AND b.chr1 = b.chr2 AND a.chr1 = b.chr1 AND a.strand1 = a.strand2 AND b.strand1 = b.strand2 AND a.strand1 <> b.strand1
  AND ((abs(a.start1 - b.start1) < 1000 AND abs(a.start2 - b.start2) < 1000) OR (abs(a.start1 - b.start2) < 1000 AND abs(a.start2 - b.start1) < 1000)))
- SELECT id, string_agg(other::VARCHAR, ',' ORDER BY other) AS inv FROM j GROUP BY id""")
+ SELECT id, string_agg(DISTINCT other::VARCHAR, ',' ORDER BY other::VARCHAR) AS inv FROM j GROUP BY id""")
 def flag_inversions(df: DataFrame) -> DataFrame:
     return calls.flag_inversions(df)
 
 
 @query("c10_flag_occurrences", BEDPE, f"""WITH c AS {C}, e AS (SELECT chr1 AS k, start1 AS s, end1 AS e FROM c UNION SELECT chr2, start2, end2 FROM c),
- n AS (SELECT a.k, a.s, a.e, count(*) AS n FROM e a JOIN e b ON a.k = b.k AND abs(a.s - b.s) < 500 AND abs(a.e - b.e) < 500 GROUP BY ALL)
+ n AS (SELECT a.k, a.s, a.e, count(*) AS n FROM e a JOIN e b ON a.k = b.k AND a.s < b.e + 500 AND a.e > b.s - 500 GROUP BY ALL)
  SELECT id, l.n AS occ_l, h.n AS occ_h FROM c JOIN n l ON chr1 = l.k AND start1 = l.s AND end1 = l.e JOIN n h ON chr2 = h.k AND start2 = h.s AND end2 = h.e""")
 def flag_occurrences(df: DataFrame) -> DataFrame:
     return calls.flag_occurrences(df)

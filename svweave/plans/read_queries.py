@@ -45,7 +45,7 @@ def b03_prep_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.prep_pairs(view(spark, sf_dir, ALIGNMENTS))
 
 
-@query(f"WITH a AS {A} SELECT qname, mate, mapq FROM a WHERE qname NOT IN (SELECT qname FROM a WHERE mapq < 10)")
+@query(f"WITH a AS {A} SELECT qname, mate, mapq FROM a ANTI JOIN (SELECT DISTINCT qname FROM a WHERE mapq < 10) USING (qname)")
 def b10_exclude_by_qname(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = view(spark, sf_dir, ALIGNMENTS)
     return reads.exclude_by_qname(every, every.filter("mapq < 10")).select("qname", "mate", "mapq")
@@ -82,10 +82,12 @@ def c05_covered_by(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reach(k: int) -> str:
-    return f"start{k} + 1 - CASE strand{k} WHEN '+' THEN 900 ELSE 100 END AND end{k} + CASE strand{k} WHEN '+' THEN 100 ELSE 900 END"
+    return f"trunc((start{k} + end{k}) / 2 - CASE strand{k} WHEN '+' THEN 900 ELSE 100 END) AS lo{k}, trunc((start{k} + end{k}) / 2 + CASE strand{k} WHEN '+' THEN 100 ELSE 900 END) AS hi{k}"
 
 
-@query(f"""WITH c AS {C}, a AS {A} SELECT DISTINCT id, qname FROM c JOIN a ON chr = chr1 AND strand = strand1 AND mate_chr = chr2 AND mate_strand = strand2 AND pos BETWEEN {_reach(1)} AND mate_pos BETWEEN {_reach(2)}""")
+@query(f"""WITH c AS (SELECT *, {_reach(1)}, {_reach(2)} FROM {C}), a AS {A} SELECT DISTINCT id, qname FROM c JOIN a ON chr = chr1 AND strand = strand1 AND mate_chr = chr2 AND mate_strand = strand2
+ AND pos <= hi1 AND pos + 99 >= lo1 AND mate_pos <= hi2 AND mate_pos + 99 >= lo2
+ AND (chr <> mate_chr OR strand <> mate_strand OR (start1 + end1 <= start2 + end2 AND pos <= mate_pos) OR (start1 + end1 > start2 + end2 AND pos >= mate_pos))""")
 def c13_collect_end_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.collect_end_reads(view(spark, sf_dir, BEDPE), view(spark, sf_dir, ALIGNMENTS))
 

@@ -85,6 +85,6 @@ def e14_segment_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.segment_medians(depths(spark, sf_dir), view(spark, sf_dir, SEGMENTS), "tumour")
 
 
-@query(f"""SELECT {CALL} FROM {C} WHERE NOT (chr1 = chr2 AND ((strand1 = strand2 AND (tumour_count < 4 OR (tumour_count < 10 AND abs(start2 - end1) < 5000))) OR (strand1 = '+' AND strand2 = '-' AND start2 - end1 < 500)))""")
+@query(f"""SELECT {CALL} FROM {C} WHERE NOT (chr1 = chr2 AND ((strand1 = strand2 AND (tumour_count < 4 OR (tumour_count < 10 AND list_min([abs(start1 - start2), abs(start1 - end2), abs(end1 - start2), abs(end1 - end2)]) < 5000))) OR (strand1 = '+' AND strand2 = '-' AND start2 - end1 < 500)))""")
 def e17_discard_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.discard_small(view(spark, sf_dir, BEDPE)).select(*CALL_COLUMNS)

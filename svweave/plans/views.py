@@ -29,10 +29,11 @@ GROUPED = """
 
 BEDPE = f"""
 WITH rp AS ({READ_PAIRS}), s AS (SELECT *, floor((pos_l-1)/5000) bl, floor((pos_h-1)/5000) bh FROM rp WHERE mapq >= 6 AND flag % 4 < 2),
-g AS (SELECT chr_l chr1, min(pos_l) - 1 start1, max(pos_l) end1, chr_h chr2, min(pos_h) - 1 start2, max(pos_h) end2, strand_l strand1, strand_h strand2,
+g AS (SELECT chr_l chr1, min(pos_l) - 1 start1, max(pos_l) end1, chr_h chr2, min(pos_h) - 1 start2, max(pos_h) end2, strand_l strand1, strand_h strand2, bl, bh,
  count(DISTINCT CASE WHEN sample = 'T1' THEN qname END) tumour_count, count(DISTINCT CASE WHEN sample = 'N1' THEN qname END) normal_count,
  count(DISTINCT CASE WHEN sample LIKE 'NP%' THEN qname END) np_count, count(DISTINCT CASE WHEN sample LIKE 'NP%' THEN sample END) np_sample_count {GROUPED})
-SELECT row_number() OVER (ORDER BY chr1,start1,end1,chr2,start2,end2,strand1,strand2) id, * FROM g
+SELECT ((((chr1 * 8 + chr2) * 2 + CASE strand1 WHEN '+' THEN 1 ELSE 0 END) * 2 + CASE strand2 WHEN '+' THEN 1 ELSE 0 END) * 1024 + CAST(bl AS BIGINT)) * 1024 + CAST(bh AS BIGINT) id,
+ chr1, start1, end1, chr2, start2, end2, strand1, strand2, tumour_count, normal_count, np_count, np_sample_count FROM g
 """
 
 PANEL = f"""

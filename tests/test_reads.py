@@ -37,7 +37,7 @@ def test_coverage_of_reads_and_segments(spark):
 
 def test_end_reads(spark):
     call = spark.createDataFrame([(7, 1, 999, 1100, 1, 4999, 5100, "+", "-", 4)], "id long, chr1 long, start1 long, end1 long, chr2 long, start2 long, end2 long, strand1 string, strand2 string, tumour_count long")
-    df = spark.createDataFrame([row("a", 1, 100), row("b", 1, 99), row("c", 1, 1200, mate_pos=6000), row("d", 1, 1201), row("e", 1, 1000, mate_strand="+"), row("f", 1, 1000, mate_pos=4899)], ALIGNED)
+    df = spark.createDataFrame([row("a", 1, 50), row("b", 1, 49), row("c", 1, 1149, mate_pos=5949), row("d", 1, 1150), row("e", 1, 1000, mate_strand="+"), row("f", 1, 1000, mate_pos=4849)], ALIGNED)
     assert {tuple(r) for r in reads.collect_end_reads(call, df).collect()} == {(7, "a"), (7, "c")}
 
 
