@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import NO_ID, byte_values, mixed, range_hashes, stored
+from .common import NO_ID, byte_values, discard, mixed, range_hashes, stored
 from .paths import PACK, Row, Spec, batch, partitioned_packs, path_rows, per_pack, recurring, signed
 
 GRAM = 24
@@ -198,7 +198,8 @@ def suffix_dedup(docs: DataFrame, length: int = 50) -> DataFrame:
         yield [signed(p.prints[k]), signed(p.digest[k]), leads["own"], text]
 
     rows = stored(per_pack(joined.join(leads, "pack"), STRING_SCHEMA, strings), "strings")
-    intervals = repeated(rows, length)
+    intervals = stored(repeated(rows, length), "intervals")
+    discard(rows)
     # a path that its pack has once, in the first document of all, loses nothing as a whole
     branching = paths.filter("branches").select("value", "digest", "pack", "entry", "own", ((F.col("own") < F.col("id")) | (F.col("n") > 1)).alias("late"))
     branching = branching.join(intervals, ["value", "digest"], "left").filter("late OR news IS NOT NULL")
