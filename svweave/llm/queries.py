@@ -40,8 +40,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = sentence_pieces.encode_decode(text_table(table(spark, sf_dir, "documents")), tokenizer_path("piece_bpe_32k.model"))
-    return sentence_pieces.digests(coded)
+    return sentence_pieces.encode_digests(text_table(table(spark, sf_dir, "documents")), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -212,6 +212,14 @@ def model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+def coded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.Array, list[np.ndarray], list[str]]]:
+    """Ids of documents, their piece ids and the texts these decode to, about a megabyte of text at a time."""
+    pieces = model(path)
+    for some, texts in doc_batches(batches):
+        ids = pieces.encode_all([t.decode("utf-8", "replace") for t in texts])
+        yield pa.array([None if i == NO_ID else i for i in some.tolist()], pa.int64()), ids, [pieces.decode(x) for x in ids]
+
+
 def encode_decode(df: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, decoded`` for each row of ``doc_id, text``: ids as little-endian 32-bit integers, and their text.
 
@@ -220,32 +228,21 @@ def encode_decode(df: DataFrame, path: str) -> DataFrame:
     """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = model(path)
-        for some, texts in doc_batches(batches):
-            texts = [t.decode("utf-8", "replace") for t in texts]
-            ids = pieces.encode_all(texts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([None if i == NO_ID else i for i in some.tolist()], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([pieces.decode(x) for x in ids], pa.string())],
-                ["doc_id", "ids", "decoded"],
-            )
+        for doc, ids, text in coded(batches, path):
+            yield pa.RecordBatch.from_arrays([doc, pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(text, pa.string())], ["doc_id", "ids", "decoded"])
 
     return df.select("doc_id", "text").mapInArrow(code, "doc_id long, ids binary, decoded string")
 
 
-def digests(coded: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of coded documents."""
+def encode_digests(df: DataFrame, path: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of :func:`encode_decode`'s rows, of which neither ids nor texts leave the worker."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        for whole in batches:
-            for at in range(0, len(whole), 256):  # few texts at a time
-                b = whole.slice(at, 256)
-                ids = [np.frombuffer(x.as_py() or b"", "<u4") for x in b.column(1)]
-                text = [hashlib.sha256((x.as_py() or "").encode()).hexdigest() for x in b.column(2)]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([hashlib.sha256(",".join(map(str, x.tolist())).encode()).hexdigest() for x in ids]), pa.array(text)],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
-
-    return coded.select("doc_id", "ids", "decoded").mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        for doc, ids, text in coded(batches, path):
+            columns = [doc, pa.array([len(x) for x in ids], pa.int64()), pa.array([sha(",".join(map(str, x.tolist()))) for x in ids]), pa.array([sha(t) for t in text])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return df.select("doc_id", "text").mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -136,6 +136,8 @@ def test_sentence_pieces(spark, docs):
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     got = {(r.doc_id, bytes(r.ids), r.decoded) for r in sentence_pieces.encode_decode(text_table(docs), path).collect()}
     assert got == {(i, np.array(sp.encode(t or ""), "<u4").tobytes(), sp.decode(sp.encode(t or ""))) for i, t in documents()}
+    short = {tuple(r) for r in sentence_pieces.encode_digests(text_table(docs), path).collect()}
+    assert short == {(i, len(ids) // 4, brute.sha(",".join(map(str, np.frombuffer(ids, "<u4").tolist())).encode()), brute.sha(t.encode())) for i, ids, t in got}
     rng, m = random.Random(2), sentence_pieces.model(path)
     for _ in range(400):
         t = "".join(rng.choice("abcdethisn o▁ \n  <>s0x/é日=\x00-aa") for _ in range(rng.randint(0, 90)))
@@ -177,6 +179,28 @@ def test_top_k(spark, monkeypatch):
     assert [tuple(r) for r in top_k.search(empty, k=2).orderBy("rank").collect()] == [(0, 1, 1, 0), (0, 2, 2, 0)]
 
 
+def plain_score(net, text):
+    """One document, one window and one word at a time."""
+    words, scores = text.lower().split(), []
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    w, h = {k: v.astype(np.float64) for k, v in net.w.items()}, toxicity.HIDDEN
+    for start in range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE):
+        x, sides = net.inputs(words[start : start + toxicity.WINDOW]).astype(np.float64), {}
+        for side, order in (("f", range(len(x))), ("b", range(len(x) - 1, -1, -1))):
+            state, sides[side] = np.zeros(h), [None] * len(x)
+            for k in order:
+                gates = x[k] @ w[side + "x"] + w[side + "b"]
+                z, r = np.split(sigmoid(gates[: 2 * h] + state @ w[side + "u"]), 2)
+                state = (1 - z) * np.tanh(gates[2 * h :] + (r * state) @ w[side + "n"]) + z * state
+                sides[side][k] = state
+        states = np.concatenate([sides["f"], sides["b"]], 1)
+        attention = np.exp(np.tanh(states @ w["aw"] + w["ab"]) @ w["av"])
+        scores.append(sigmoid((attention / attention.sum()) @ states @ w["ow"] + w["ob"][0]))
+        if start + toxicity.WINDOW >= len(words):
+            break
+    return max(scores)
+
+
 def test_toxicity(spark, docs):
     rng = random.Random(4)
     plain = ["tree", "house", "river", "stone", "cloud", "paper"]
@@ -184,6 +208,8 @@ def test_toxicity(spark, docs):
     labels = [k % 2 for k in range(160)]
     texts = [t + (" grumbleworth " + t[:50] if y else "") for t, y in zip(texts, labels)]
     net = toxicity.train([t.encode() for t in texts[:120]], labels[:120])
+    some = [*texts[120:140], " ".join(texts[:9]), "one", " ".join(["river"] * 65)]
+    assert np.allclose(net.document_scores([t.encode() for t in some]), [plain_score(net, t.encode()) for t in some], atol=1e-4)
     guess = net.document_scores([t.encode() for t in texts[120:]]) >= 0.5
     assert np.mean(guess == np.array(labels[120:])) >= 0.9
     out = toxicity.score(text_table(docs), net)
