@@ -68,7 +68,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids' number and digest and the digest of the text they decode to, for each row; null and empty texts have no ids,
     null ids stay null. An empty table stays empty."""
-    return sentence_pieces.digests(sentence_pieces.encode_decode(text_table(docs), tokenizer_path("piece_bpe_32k.model")))
+    return sentence_pieces.encode_digests(text_table(docs), tokenizer_path("piece_bpe_32k.model"))
 
 
 STAGES = [
