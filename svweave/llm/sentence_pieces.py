@@ -19,6 +19,8 @@ from .common import NO_ID, doc_batches
 
 SPACE = "▁"
 CACHED_SEGMENTS = 250_000
+#: Characters of new segments that go through one set of rounds (a longer segment goes alone).
+ROUND_CHARS = 1 << 17
 #: Piece types of the public model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NONE = np.iinfo(np.int64).max
@@ -130,7 +132,12 @@ class PieceModel:
         return np.concatenate(done_s)[order], np.concatenate(done_o)[order]
 
     def encode_segments(self, segments: list[str]) -> list[bytes]:
-        """Ids of each segment as little-endian 32-bit integers."""
+        """Ids of each segment as little-endian 32-bit integers, ``ROUND_CHARS`` at a time."""
+        turn = np.cumsum([0, *map(len, segments)])[:-1] // ROUND_CHARS
+        cuts = [*np.flatnonzero(np.diff(turn, prepend=-1)).tolist(), len(segments)]
+        return [x for a, b in zip(cuts, cuts[1:]) for x in self._encode(segments[a:b])]
+
+    def _encode(self, segments: list[str]) -> list[bytes]:
         lens = np.fromiter(map(len, segments), np.int64, len(segments))
         flat = self.symbol_of[np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "<u4")]
         flat, owner = self.merge_rounds(flat, np.repeat(np.arange(len(segments)), lens))
@@ -157,7 +164,7 @@ class PieceModel:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; the segments that no text had before go through one set of rounds."""
+        """Ids of each text; the segments that no text had before go through the rounds."""
         parts, seen = [self.segments(t) if t else [] for t in texts], self.seen
         new = list(set().union(*parts).difference(seen))
         if new:
