@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing, sentence_pieces, substring_dedup, suffix_dedup, token_files, top_k, toxicity, url_filter
+from . import exact_dedup, hard_negatives, jaccard_join, line_dedup, mixing, sentence_pieces, spelling, substring_dedup, suffix_dedup, token_files, top_k, toxicity, url_filter
 from .common import new_folder, text_table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -76,6 +76,20 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(text_table(table(spark, sf_dir, "documents")), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)").alias("label"))
+    return hard_negatives.mine(rows)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(text_table(table(spark, sf_dir, "documents")), typo_modulus=97)
+
+
 SQL_3 = r"""
 WITH q AS (SELECT doc_id AS qid, max(quality) AS quality FROM labels GROUP BY doc_id),
 d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -116,5 +130,25 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op8_jaccard_join": op8_jaccard_join, "op10_suffix_dedup": op10_suffix_dedup, "op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op7_top_k": op7_top_k, "op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup}
-SQL = {"op7_top_k": SQL_7, "op3_mix_sources": SQL_3, "op6_url_filter": SQL_6, "op9_exact_dedup": SQL_9}
+SQL_11 = r"""
+WITH l AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+k AS (SELECT doc_id, r, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM l),
+t AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM k),
+f AS (SELECT key AS gone FROM t WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(gone)::BIGINT AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
+FROM t LEFT JOIN f ON key = gone GROUP BY doc_id, r
+"""
+
+SQL_12 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c AS (SELECT vec_id, label, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM v),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS id, any_value(a.label = c.label) AS same, sum(a.x * c.x)::BIGINT AS score FROM c AS a JOIN c ON a.i = c.i AND a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id GROUP BY 1, 2),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM s WHERE same) WHERE k <= 5),
+r AS (SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM p JOIN s AS n ON p.anchor_id = n.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+QUERIES = {"op8_jaccard_join": op8_jaccard_join, "op10_suffix_dedup": op10_suffix_dedup, "op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op7_top_k": op7_top_k, "op2_token_files": op2_token_files, "op5_sentence_pieces": op5_sentence_pieces, "op3_mix_sources": op3_mix_sources, "op6_url_filter": op6_url_filter, "op9_exact_dedup": op9_exact_dedup, "op11_line_dedup": op11_line_dedup, "op12_hard_negatives": op12_hard_negatives, "op13_spelling_variants": op13_spelling_variants}
+SQL = {"op7_top_k": SQL_7, "op3_mix_sources": SQL_3, "op6_url_filter": SQL_6, "op9_exact_dedup": SQL_9, "op11_line_dedup": SQL_11, "op12_hard_negatives": SQL_12}
