@@ -1,6 +1,7 @@
 """Operator 6, URL filters: a sort-merge range join between rule intervals and reversed-host keys.
 
-A rule ``(host, path)`` becomes the interval of keys that start with ``reversed host + NUL + path``. A page has one key for
+A rule ``(host, path)`` becomes the interval of keys that start with ``reversed host + 0xFE + path``. Keys are bytes: UTF-8
+has neither 0xFE, which parts host and path, nor 0xFF, which ends an interval past all its texts. A page has one key for
 each of its host's suffixes, so a subdomain meets the rules of all its parents. Rules' edges and page keys are sorted
 together over range partitions; the state after an edge is the stack of rules that are open there, and a key takes the
 state of the last edge at or before it, carried over partition bounds.
@@ -41,18 +42,21 @@ def reversed_host(host: F.Column) -> F.Column:
     return F.array_join(F.reverse(F.split(host, r"\.", -1)), ".")
 
 
+def key_of(rev: str, path: str) -> F.Column:
+    return F.concat(F.encode(rev, "UTF-8"), F.lit(bytearray(b"\xfe")), F.encode(path, "UTF-8"))
+
+
 def rule_edges(rules: DataFrame) -> DataFrame:
     """Where the set of open rules changes: ``key, stack``; the stack's last entry is the innermost open rule.
 
     Intervals of prefixes nest or are disjoint. An edge is any interval's start or end; the rules open at it are those
     whose own key is a prefix of the edge, found by an equi-join on the prefixes of the edge's key.
     """
-    sep = F.concat(F.col("rev"), F.lit("\u0001"))
     r = (
         rules.groupBy(F.translate(F.col("host"), _UPPER, _LOWER).alias("host"), F.col("path")).agg(F.max("verdict").alias("verdict"))
-        .withColumn("rev", reversed_host(F.col("host"))).withColumn("lo", F.concat(sep, F.col("path")))
+        .withColumn("rev", reversed_host(F.col("host"))).withColumn("lo", key_of("rev", "path"))
     )
-    top = "\U0010ffff"  # sorts after every other character in UTF-8's byte order
+    top = bytearray(b"\xff")
     edges = r.select(F.col("lo").alias("key"), F.lit(False).alias("closes")).union(r.select(F.concat("lo", F.lit(top)).alias("key"), F.lit(True)))
     body = F.when(F.col("closes"), F.expr("substring(key, 1, length(key) - 1)")).otherwise(F.col("key"))
     inner = F.when(F.col("closes"), F.length(body) - 1).otherwise(F.length(body))
@@ -79,7 +83,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     suffixes = judged.withColumn("labels", F.reverse(labels)).select(
         "row", "path", F.pmod("part", F.lit(salts)).cast("int").alias("salt"), F.explode(F.expr("transform(sequence(1, size(labels)), n -> array_join(slice(labels, 1, n), '.'))")).alias("rev")
     )
-    keys = suffixes.select(F.concat("rev", F.lit("\u0001"), "path").alias("key"), F.lit(1).alias("kind"), "salt", "row", F.lit(None).cast("array<struct<n:int,rule:string,verdict:string,size:int>>").alias("stack"))
+    keys = suffixes.select(key_of("rev", "path").alias("key"), F.lit(1).alias("kind"), "salt", "row", F.lit(None).cast("array<struct<n:int,rule:string,verdict:string,size:int>>").alias("stack"))
     edges = rule_edges(rules).select("key", F.lit(0).alias("kind"), F.lit(0).alias("salt"), F.lit(None).cast("long").alias("row"), "stack")
     # equal keys may be many: the salt lets a range bound fall among them
     swept = stored(edges.unionByName(keys).repartitionByRange("key", "kind", "salt").withColumn("part", F.spark_partition_id()), "sweep")

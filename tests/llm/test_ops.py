@@ -145,15 +145,18 @@ def test_sentence_pieces(spark, docs):
 
 
 def test_url_filter(spark):
-    urls = ["http://a.EXAMPLE.com/en/7x?q", "http://b.com/en/", "https://example.net/de/81#f", "http://x.net/de/", "http://notnet/de/", None, "no scheme", "http://org", "x://org/es/y", "http://com/en/z://q", "https://example.com?next=https://x.net/en/9", "https://example.org#a://b.net/de/1", "://"]
+    urls = ["http://a.EXAMPLE.com/en/7x?q", "http://b.com/en/", "https://example.net/de/81#f", "http://x.net/de/", "http://notnet/de/", None, "no scheme", "http://org", "x://org/es/y", "http://com/en/z://q", "https://example.com?next=https://x.net/en/9", "https://example.org#a://b.net/de/1", "://", "http://com/en/\U0010ffffx", "http://a.com/en/\U0010ffff"]
     pages = spark.createDataFrame([(k % 9, u, "host") for k, u in enumerate(urls)], "page_id long, url string, host string")
     rules = spark.createDataFrame([("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")], url_filter.RULE_SCHEMA)
     got = {(r.host, r.path): (r.rule, r.verdict) for r in url_filter.url_filter(pages, rules).collect()}
     assert got == {
         ("a.example.com", "/en/7x"): ("example.com/en/7", "allow"), ("b.com", "/en/"): ("com/en/", "block"), ("example.net", "/de/81"): ("example.net/de/8", "block"),
         ("x.net", "/de/"): ("net/de/", "allow"), ("notnet", "/de/"): (None, "allow"), ("", ""): (None, "allow"), ("org", ""): (None, "allow"), ("org", "/es/y"): ("org/es/", "block"), ("com", "/en/z://q"): ("com/en/", "block"),
-        ("example.com", ""): (None, "allow"), ("example.org", ""): (None, "allow"),
+        ("example.com", ""): (None, "allow"), ("example.org", ""): (None, "allow"), ("com", "/en/\U0010ffffx"): ("com/en/", "block"), ("a.com", "/en/\U0010ffff"): ("com/en/", "block"),
     }
+    bare = spark.createDataFrame([("com", "", "block")], url_filter.RULE_SCHEMA)
+    hosts = spark.createDataFrame([(1, "http://com\u0001x/a"), (2, "http://x\u0001com/a"), (3, "http://b.com"), (4, "http://com/\U0010ffff")], "page_id long, url string")
+    assert {r.id: r.rule for r in url_filter.url_filter(hosts, bare).collect()} == {1: None, 2: None, 3: "com", 4: "com"}
     assert url_filter.url_filter(pages.limit(0), rules).count() == 0
 
 
