@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import expr
+from ..sources.shared import stored
 from .interval import interval_islands
 
 ORDER = ["pos_l", "flag", "qname"]
@@ -121,7 +122,7 @@ def group_members(pairs: DataFrame, ref_len: int) -> DataFrame:
     Groups are numbered as they close, in ``ISLANDS`` neighbouring islands together.
     """
     some = islands(with_windows(pairs, ref_len)).select(*ISLAND_KEY, *ORDER, *TIES)
-    swept = some.repartition(*ISLAND_KEY).sortWithinPartitions(*ISLAND_KEY, *ORDER, *TIES).mapInArrow(sweep, SWEPT_SCHEMA)
+    swept = stored(some.repartition(*ISLAND_KEY).sortWithinPartitions(*ISLAND_KEY, *ORDER, *TIES).mapInArrow(sweep, SWEPT_SCHEMA), "swept")
     pack = F.floor(F.col("island") / ISLANDS)
     ended = swept.filter("number IS NOT NULL").select(*ISLAND_KEY, "opened", "number", "l5", "l3", "h5", "h3")
     sizes = ended.groupBy(*ISLAND_KEY).agg(F.count("*").alias("n")).withColumn("pack", pack)

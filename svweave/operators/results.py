@@ -26,12 +26,27 @@ def lesser_mate(chrom: Column, pos: Column, mate_chrom: Column, mate_pos: Column
     return F.when(chrom != mate_chrom, chrom < mate_chrom).when(pos != mate_pos, pos < mate_pos).otherwise(first)
 
 
-def augment_original(reads: DataFrame, original: DataFrame) -> DataFrame:
-    """``reads`` (by ``qname, mate``) with ``zm``, the mapping quality they had in ``original``; a read without one is an error."""
-    old = original.select(F.col("qname").alias("_qname"), F.col("mate").alias("_mate"), F.col("mapq").alias("_zm"))
-    met = reads.join(old, (F.col("qname") == F.col("_qname")) & (F.col("mate") == F.col("_mate")), "left")
-    zm = F.when(F.col("_qname").isNull(), F.raise_error(F.lit("a read has no original mapping"))).otherwise(F.col("_zm"))
-    return met.select(*(reads[c] for c in reads.columns), zm.alias("zm"))
+def augment_original(reads: DataFrame, original: DataFrame, pairwise: bool = False) -> DataFrame:
+    """``reads`` (by ``qname, mate``) with ``zm``, the mapping quality they had in ``original``, and ``z1``, its ``x1`` if it has one.
+
+    Reads meet one to one: a read without an original mapping and a key that either side repeats are errors; with
+    ``pairwise``, so is a name of which ``reads`` lacks a mate.
+    """
+    key = ["qname", "mate"]
+    x1 = F.first("x1") if "x1" in original.columns else F.lit(None).cast("int")
+    old = original.groupBy(*(F.col(c).alias("_" + c) for c in key)).agg(F.count("*").alias("_old"), F.first("mapq").alias("_zm"), x1.alias("_z1"))
+    mine = reads.withColumn("_own", F.count("*").over(Window.partitionBy(*key)))
+    if pairwise:
+        mine = mine.withColumn("_mates", F.size(F.collect_set("mate").over(Window.partitionBy("qname"))))
+    met = mine.join(old, (F.col("qname") == F.col("_qname")) & (F.col("mate") == F.col("_mate")), "left")
+
+    def wrong(text: str) -> Column:
+        return F.raise_error(F.concat(F.lit(text + ": "), F.coalesce("qname", F.lit("null"))))
+
+    zm = F.when(F.col("_qname").isNull(), wrong("a read has no original mapping")).when((F.col("_own") > 1) | (F.col("_old") > 1), wrong("a read is there more than once"))
+    if pairwise:
+        zm = zm.when(F.col("_mates") < 2, wrong("a read has no mate"))
+    return met.select(*(F.col(c) for c in reads.columns), zm.otherwise(F.col("_zm")).alias("zm"), F.col("_z1").alias("z1"))
 
 
 def groups_to_bedpe(groups: DataFrame, members: DataFrame) -> DataFrame:
@@ -80,16 +95,16 @@ def keep_by_expected_false(posteriors: DataFrame, budget: float = 5.0, by: str |
     return posteriors.withColumn("miss", miss).join(judged, [*keys, "miss"]).select(*keys, "id", "keep")
 
 
-def filter_remap(calls: DataFrame, scores: DataFrame, score: int = 80, footprint: int = 50) -> DataFrame:
+def filter_remap(calls: DataFrame, scores: DataFrame, score: int = 80, footprint: int = 50, reads: str = "score") -> DataFrame:
     """Calls that keep their place after remapping, by ``id, low_score, high_score, low_footprint, high_footprint, has_n,
     small_indel, microbes``.
 
-    Dropped: no reads at an end (null score, unless ``small_indel``), N in the reference, an unknown or small footprint, a
-    score of at most ``score`` (unless ``small_indel``), as many microbe reads as tumour reads.
+    Dropped: an unknown or small footprint, at least as many microbe reads as the call's score (its column ``reads``) and,
+    unless ``small_indel``, no reads at an end (null score), N in the reference and a score of at most ``score``.
     """
     ends = [F.col("small_indel") | (F.col(f"{e}_score") > score) for e in ("low", "high")]
     wide = [F.col(f"{e}_footprint") > footprint for e in ("low", "high")]
-    good = ends[0] & ends[1] & wide[0] & wide[1] & ~F.col("has_n") & (F.coalesce("microbes", F.lit(0)) < F.col("tumour_count"))
+    good = ends[0] & ends[1] & wide[0] & wide[1] & (F.col("small_indel") | ~F.col("has_n")) & (F.coalesce("microbes", F.lit(0)) < F.col(reads))
     return calls.join(scores, "id").filter(F.coalesce(good, F.lit(False))).select(*(calls[c] for c in calls.columns))
 
 
@@ -182,7 +197,22 @@ def segment_shards(segments: DataFrame, most: int = 10_000, gap: int = 500) -> D
 
 
 def arm_cn(segments: DataFrame) -> DataFrame:
-    """``chr, mean_cn``: the mean copy number of each chromosome's first and last segment that has one."""
-    first, last = (F.min_by("cn", F.when(F.col("cn").isNotNull(), x)) for x in (F.struct("start", "seg_id"), F.struct(-F.col("start"), -F.col("seg_id"))))
-    ends = segments.groupBy("chr").agg(first.alias("first"), last.alias("last"))
-    return ends.select("chr", ((F.col("first") + F.col("last")) / 2).alias("mean_cn"))
+    """``chr, mean_cn`` of segments ``chr, start, end, low_boundary, high_boundary, cn``: the mean of what is known of four copy
+    numbers, at both telomeres and on both sides of the centromere.
+
+    The first segment of a chromosome must begin at a telomere (``.._ptel``) and the last end at one (``.._qtel``); the
+    centromere's sides are the first segment that ends at a ``centromere`` and the last that begins at one. A chromosome
+    without one of these, or of whose four none is known, is an error.
+    """
+    at = F.struct("start", "end")
+    ends, cen = F.struct("low_boundary", "high_boundary", "cn"), F.struct("cn")
+    sides = segments.groupBy("chr").agg(
+        F.min_by(ends, F.when(F.col("low_boundary").endswith("_ptel"), F.struct(F.lit(0), at)).otherwise(F.struct(F.lit(1), at))).alias("p"),
+        F.max_by(ends, F.when(F.col("high_boundary").endswith("_qtel"), F.struct(F.lit(1), at)).otherwise(F.struct(F.lit(0), at))).alias("q"),
+        F.min_by(cen, F.when(F.col("high_boundary") == "centromere", at)).alias("pc"), F.max_by(cen, F.when(F.col("low_boundary") == "centromere", at)).alias("qc"),
+    )
+    whole = F.col("p.low_boundary").endswith("_ptel") & F.col("q.high_boundary").endswith("_qtel") & F.col("pc").isNotNull() & F.col("qc").isNotNull()
+    known = F.filter(F.array("p.cn", "pc.cn", "q.cn", "qc.cn"), lambda x: x.isNotNull())
+    wrong = F.raise_error(F.concat(F.lit("telomeres, centromere or copy numbers are missing on "), F.col("chr").cast("string")))
+    mean = F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.size(known)
+    return sides.select("chr", F.when(F.coalesce(whole, F.lit(False)) & (F.size(known) > 0), mean).otherwise(wrong).alias("mean_cn"))

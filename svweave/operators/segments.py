@@ -106,24 +106,37 @@ def joined_names(col: str, unique: bool) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(every) if unique else every), ",")
 
 
-def merge_expressions() -> dict[str, Column]:
-    """What becomes of each column when calls are merged: bounds widen, counts of reads are those of different ``names``,
-    counts of other samples add up, lists are joined; columns of one value only must agree (:func:`merge_calls`)."""
+def merge_expressions(columns: list[str]) -> dict[str, Column]:
+    """What becomes of each column when calls are merged: bounds widen, counts of reads are those of different ``names``, counts
+    of other samples add up, lists are joined, ``count`` adds up what has become of the columns ``*_count``, ``bkpt_distance`` is
+    that of the merged bounds, ``occ_l`` and ``occ_h`` are those of the last call by location."""
     names = F.size(F.array_distinct(F.filter(F.flatten(F.collect_list(F.split("names", ","))), lambda x: x != "")))
-    return {
+    rules = {
         "start1": F.min("start1"), "end1": F.max("end1"), "start2": F.min("start2"), "end2": F.max("end2"), "id": joined_names("id", unique=False),
-        "names": joined_names("names", unique=True), "brass_score": names, "tumour_count": names, "normal_count": F.sum("normal_count"), "np_count": F.sum("np_count"),
+        "names": joined_names("names", unique=True), "score": names, "tumour_count": names, "normal_count": F.sum("normal_count"), "np_count": F.sum("np_count"),
         "np_sample_count": F.sum("np_sample_count"), "sample": joined_names("sample", unique=True), "sample_type": joined_names("sample_type", unique=True), "repeats": joined_names("repeats", unique=False),
         "inv": joined_names("inv", unique=False), "range_blat": joined_names("range_blat", unique=False),
     }
+    last = F.struct(*(c for c in ("start1", "end1", "start2", "end2", "id") if c in columns))
+    rules |= {c: F.max_by(c, last) for c in ("occ_l", "occ_h")}
+    counts = [rules[c] for c in columns if c.endswith("_count") and c in rules]
+    rules["count"] = sum(counts[1:], counts[0]) if counts else F.lit(0)
+    apart = F.count(F.when(F.col("bkpt_distance") == -1, 1))
+    mixed = F.raise_error(F.lit("calls within and across chromosomes can't be merged"))
+    rules["bkpt_distance"] = F.when(apart == F.count("*"), F.lit(-1)).when(apart > 0, mixed).otherwise(F.min("start2") - F.min("start1"))
+    return rules
 
 
 def merge_calls(calls: DataFrame, key: str) -> DataFrame:
-    """One call for each value of ``key``; columns without a rule of :func:`merge_expressions` must be equal within it, else an error."""
-    rules = merge_expressions()
+    """One call for each value of ``key``, where calls of one row stay as they are.
+
+    Columns without a rule of :func:`merge_expressions` must be equal within it, else an error.
+    """
+    rules = merge_expressions(calls.columns)
 
     def same(col: str) -> Column:
         wrong = F.raise_error(F.concat(F.lit(f"{col} differs within "), F.col(key).cast("string")))
         return F.when(F.min(col).eqNullSafe(F.max(col)) & (F.count(col).isin(0) | (F.count(col) == F.count("*"))), F.min(col)).otherwise(wrong)
 
-    return calls.groupBy(key).agg(*(rules.get(c, same(c)).alias(c) for c in calls.columns if c != key))
+    one = F.count("*") == 1
+    return calls.groupBy(key).agg(*((F.when(one, F.min(c)).otherwise(rules[c]) if c in rules else same(c)).alias(c) for c in calls.columns if c != key))

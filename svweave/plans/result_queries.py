@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators import compare, results
 from .queries import C, CALL, CALL_COLUMNS, P, S
@@ -47,10 +48,13 @@ def b09_lesser_mate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, ALIGNMENTS).filter(results.lesser_mate(c("chr"), c("pos"), c("mate_chr"), c("mate_pos"), c("mate") == 1)).select("qname", "mate")
 
 
-@query(f"WITH a AS {A} SELECT r.qname, r.mate, r.mapq, (o.mapq * 3) % 61 AS zm FROM a r JOIN a o ON r.qname = o.qname AND r.mate = o.mate")
+@query(f"""WITH a AS (SELECT *, row_number() OVER (PARTITION BY qname, mate ORDER BY chr, pos, strand, mate_chr, mate_pos, mate_strand, sample, mapq) AS k FROM {A}), o AS (SELECT qname, mate, k, (mapq * 3) % 61 AS zm, CASE WHEN mapq % 4 <> 0 THEN pos % 5 END AS z1 FROM a)
+ SELECT r.qname || '/' || r.k AS qname, r.mate, r.mapq, o.zm, o.z1 FROM a r JOIN o ON r.qname = o.qname AND r.mate = o.mate AND r.k = o.k""")
 def b11_augment_original(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads = view(spark, sf_dir, ALIGNMENTS)
-    return results.augment_original(reads, reads.withColumn("mapq", F.col("mapq") * 3 % 61)).select("qname", "mate", "mapq", "zm")
+    nth = F.row_number().over(Window.partitionBy("qname", "mate").orderBy("chr", "pos", "strand", "mate_chr", "mate_pos", "mate_strand", "sample", "mapq"))
+    reads = view(spark, sf_dir, ALIGNMENTS).withColumn("qname", F.concat_ws("/", "qname", nth.cast("string")))
+    original = reads.withColumn("x1", F.when(F.col("mapq") % 4 != 0, F.col("pos") % 5)).withColumn("mapq", F.col("mapq") * 3 % 61)
+    return results.augment_original(reads, original, pairwise=True).select("qname", "mate", "mapq", "zm", "z1")
 
 
 SPOT = "chr_l, strand_l, chr_h, strand_h, CAST(floor(pos_l / 20000) AS BIGINT) AS spot"
@@ -96,9 +100,9 @@ def scores(calls: DataFrame) -> DataFrame:
 
 
 @query(f"""SELECT {CALL} FROM (SELECT *, chr1 = chr2 AND strand1 = '+' AND strand2 = '-' AND start2 - end1 <= 1000 AS indel FROM {C}) WHERE NOT (NOT indel AND (id % 17 = 0 OR id * 53 % 400 <= 80)) AND NOT (NOT indel AND (id % 19 = 0 OR id * 59 % 400 <= 80))
- AND NOT (id % 11 = 0 OR id % 23 = 0 OR id * 37 % 300 <= 50 OR id * 31 % 300 <= 50) AND id % 13 <> 0 AND NOT (CASE WHEN id % 5 <> 0 THEN id % 9 ELSE 0 END >= tumour_count)""")
+ AND NOT (id % 11 = 0 OR id % 23 = 0 OR id * 37 % 300 <= 50 OR id * 31 % 300 <= 50) AND (indel OR id % 13 <> 0) AND NOT (CASE WHEN id % 5 <> 0 THEN id % 9 ELSE 0 END >= tumour_count + normal_count)""")
 def b20_filter_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls = view(spark, sf_dir, BEDPE)
+    calls = view(spark, sf_dir, BEDPE).withColumn("score", F.col("tumour_count") + F.col("normal_count"))
     return results.filter_remap(calls, scores(calls)).select(*CALL_COLUMNS)
 
 
@@ -171,9 +175,3 @@ RS = f"""(SELECT seg_id, chr, "start", "start" + seg_id % 700 AS "end", CASE WHE
  SELECT seg_id, CASE WHEN len <= 300 AND low_rg <> high_rg THEN 'shard' WHEN low_rg IS NULL AND high_rg IS NULL AND len <= 500 AND before <> after THEN 'gap' END AS kind FROM r""")
 def g03_segment_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.segment_shards(rearranged(spark, sf_dir), most=300)
-
-
-@query(f"""WITH r AS {RS}, o AS (SELECT chr, cn, row_number() OVER (PARTITION BY chr ORDER BY "start", seg_id) AS k, row_number() OVER (PARTITION BY chr ORDER BY "start" DESC, seg_id DESC) AS l FROM r WHERE cn IS NOT NULL)
- SELECT chr, sum(CASE WHEN k = 1 THEN cn ELSE 0 END + CASE WHEN l = 1 THEN cn ELSE 0 END) / 2.0::DOUBLE AS mean_cn FROM o GROUP BY chr""")
-def g16_arm_cn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return results.arm_cn(rearranged(spark, sf_dir))

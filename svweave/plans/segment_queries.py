@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import segments
+from ..functions import expr
+from ..operators import results, segments
 from .queries import DEPTH, ENDS, C, P, S, depths
 from .read_queries import A, ALIGNMENTS
 from .result_queries import T, bad, centtel
@@ -72,16 +73,27 @@ def e12_remap_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.remap_scores(reads.select("id", (1 + m % 2).alias("side"), "read_id"), scores)
 
 
-@query(f"""WITH c AS (SELECT *, chr1 || '/' || chr2 || strand1 || strand2 || start1 // 20000 AS spot FROM {C}), n AS ({NAMES.format(pairs=P)}),
- m AS (SELECT spot, string_agg(DISTINCT n.qname, ',' ORDER BY n.qname) AS names, count(DISTINCT n.qname) AS tumour_count FROM c JOIN n USING (id) WHERE n.sample = 'T1' AND n.mapq >= 30 GROUP BY spot)
- SELECT spot, min(start1) AS start1, max(end1) AS end1, min(start2) AS start2, max(end2) AS end2, any_value(chr1) AS chr1, any_value(strand2) AS strand2, string_agg(id::VARCHAR, ',' ORDER BY id::VARCHAR) AS id,
- any_value(names) AS names, any_value(m.tumour_count)::INTEGER AS tumour_count, sum(normal_count)::BIGINT AS normal_count, sum(np_count)::BIGINT AS np_count FROM c JOIN m USING (spot)
- WHERE EXISTS (SELECT 1 FROM n WHERE n.id = c.id AND n.sample = 'T1' AND n.mapq >= 30) GROUP BY spot""")
+@query(f"""WITH c AS (SELECT *, chr1 || '/' || chr2 || strand1 || strand2 || start1 // 20000 AS spot, CASE WHEN chr1 <> chr2 THEN -1 ELSE start2 - start1 END AS far FROM {C}), n AS ({NAMES.format(pairs=P)}),
+ t AS (SELECT id, count(DISTINCT qname) AS own FROM n WHERE sample = 'T1' GROUP BY id), m AS (SELECT spot, string_agg(DISTINCT n.qname, ',' ORDER BY n.qname) AS names, count(DISTINCT n.qname) AS together FROM c JOIN n USING (id) WHERE n.sample = 'T1' GROUP BY spot),
+ g AS (SELECT spot, count(*) AS k, min(start1) AS start1, max(end1) AS end1, min(start2) AS start2, max(end2) AS end2, any_value(chr1) AS chr1, any_value(chr2) AS chr2, any_value(strand2) AS strand2, string_agg(id::VARCHAR, ',' ORDER BY id::VARCHAR) AS id,
+ max(own) AS own, sum(normal_count)::BIGINT AS normal_count, sum(np_count)::BIGINT AS np_count, max_by(id % 13, (start1, end1, start2, end2, id::VARCHAR))::BIGINT AS occ_l, min(far) AS far, max(id % 31)::BIGINT AS lone FROM c JOIN t USING (id) GROUP BY spot)
+ SELECT spot, start1, end1, start2, end2, chr1, strand2, id, names, CASE WHEN k = 1 THEN own ELSE together END::INTEGER AS tumour_count, normal_count, np_count, occ_l,
+ CASE WHEN k = 1 THEN far WHEN chr1 <> chr2 THEN -1 ELSE start2 - start1 END AS bkpt_distance, CASE WHEN k = 1 THEN lone ELSE together + normal_count + np_count END AS count FROM g JOIN m USING (spot)""")
 def b28_merge_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = spark.sql(NAMES, pairs=view(spark, sf_dir, READ_PAIRS)).filter("sample = 'T1' AND mapq >= 30").groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("qname")), ",").alias("names"))
+    names = spark.sql(NAMES, pairs=view(spark, sf_dir, READ_PAIRS)).filter("sample = 'T1'").groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("qname")), ",").alias("names"), F.count_distinct("qname").cast("int").alias("tumour_count"))
     spot = F.concat(*(F.col(x).cast("string") if x != "/" else F.lit("/") for x in ("chr1", "/", "chr2", "strand1", "strand2")), F.floor(F.col("start1") / 20000).cast("string"))
-    calls = view(spark, sf_dir, BEDPE).withColumn("spot", spot).join(names, "id").withColumn("id", F.col("id").cast("string"))
-    return segments.merge_calls(calls.select("spot", "start1", "end1", "start2", "end2", "chr1", "strand2", "id", "names", "tumour_count", "normal_count", "np_count"), "spot")
+    calls = view(spark, sf_dir, BEDPE).drop("tumour_count").withColumn("spot", spot).join(names, "id").withColumn("occ_l", F.col("id") % 13).withColumn("count", F.col("id") % 31)
+    calls = calls.withColumn("bkpt_distance", expr.breakpoint_distance(F.col("chr1"), F.col("chr2"), F.col("start1"), F.col("start2"))).withColumn("id", F.col("id").cast("string"))
+    return segments.merge_calls(calls.select("spot", "start1", "end1", "start2", "end2", "chr1", "strand2", "id", "names", "tumour_count", "normal_count", "np_count", "occ_l", "bkpt_distance", "count"), "spot")
+
+
+@query(f"""WITH {BOUNDS}, s AS (SELECT *, CASE WHEN start % 7 <> 2 THEN (start % 9)::DOUBLE END AS cn FROM g WHERE "end" IS NOT NULL),
+ v AS (SELECT chr, (SELECT cn FROM s x WHERE x.chr = s.chr AND start_bkpt LIKE '%ptel') AS a, (SELECT cn FROM s x WHERE x.chr = s.chr AND end_bkpt LIKE '%qtel') AS b,
+ arg_min(struct_pack(c := cn), (start, "end")) FILTER (end_bkpt = 'centromere') AS c, arg_max(struct_pack(c := cn), (start, "end")) FILTER (start_bkpt = 'centromere') AS d FROM s GROUP BY chr)
+ SELECT chr, list_avg(list_filter([a, b, c.c, d.c], lambda x: x IS NOT NULL)) AS mean_cn FROM v""")
+def g16_arm_cn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = segments.attach_breakpoints(bounded(spark, sf_dir), view(spark, sf_dir, BEDPE))
+    return results.arm_cn(rows.withColumn("cn", F.when(F.col("start") % 7 != 2, (F.col("start") % 9).cast("double"))))
 
 
 @query(f"WITH {ENDS}, {DEPTH} SELECT chr, bin AS start, tumour FROM d WHERE chr IN (2, 4, 5)")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 REF_LEN = 1_001_000
 
@@ -50,7 +51,11 @@ SELECT CAST(o_orderkey AS BIGINT) seg_id, 1 + CAST(o_custkey AS BIGINT) % 5 chr,
 
 def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders") if "{" + t + "}" in text}
-    return spark.sql(text.replace('"', "`"), **tables)
+    if text != READ_PAIRS and READ_PAIRS in text:
+        tables, text = {"pairs": view(spark, sf_dir, READ_PAIRS)}, text.replace(READ_PAIRS, "SELECT * FROM {pairs}")
+    out = spark.sql(text.replace('"', "`"), **tables)
+    # filters aren't substituted through a generator, so that each nested column is computed once for a row
+    return out.select(F.inline(F.array(F.struct(*out.columns)))) if text == READ_PAIRS else out
 
 
 def duck(text: str) -> str:

@@ -1,6 +1,6 @@
 import pytest
 
-from svweave.operators import segments
+from svweave.operators import results, segments
 
 CENTTEL = "chr string, ptel long, cen_start long, cen_end long, qtel long"
 ENDS = "id string, chr1 string, pos1 long, strand1 string, chr2 string, pos2 long, strand2 string"
@@ -53,3 +53,38 @@ def test_merge_calls_and_coverage(spark):
     assert [tuple(r) for r in segments.merge_coverage(parts, refs).collect()] == [("2", 0, 6), ("1", 0, 5)]
     with pytest.raises(ValueError, match="no coverage of 1"):
         segments.merge_coverage(parts.filter("chr <> '1'"), refs)
+
+
+def test_merged_calls_recompute_what_depends_on_them(spark):
+    columns = "k int, id string, chr1 string, start1 int, end1 int, start2 int, end2 int, names string, tumour_count int, normal_count int, bkpt_distance int, occ_l int, count int"
+    calls = spark.createDataFrame([(1, "a", "1", 10, 20, 50, 60, "r1,r2", 2, 1, 40, 7, 3), (1, "b", "1", 12, 30, 45, 55, "r2,r3", 2, 4, 33, 9, 6), (2, "c", "1", 5, 6, 9, 9, "r9", 4, 0, 77, 1, 8), (3, "d", "1", 1, 1, 1, 1, "x", 1, 0, -1, 1, 1), (3, "e", "1", 1, 1, 1, 1, "y", 1, 0, -1, 2, 1)], columns)
+    got = {r.k: (r.tumour_count, r.bkpt_distance, r.occ_l, r["count"]) for r in segments.merge_calls(calls, "k").collect()}
+    assert got == {1: (3, 35, 9, 8), 2: (4, 77, 1, 8), 3: (2, -1, 2, 2)}
+    mixed = spark.createDataFrame([(1, "a", 1, 2, 3, 4, -1), (1, "b", 1, 2, 3, 4, 5)], "k int, id string, start1 int, end1 int, start2 int, end2 int, bkpt_distance int")
+    with pytest.raises(Exception, match="within and across"):
+        segments.merge_calls(mixed, "k").collect()
+
+
+def test_arm_copy_numbers(spark):
+    schema = "chr string, start long, end long, low_boundary string, high_boundary string, cn double"
+    whole = [("1", 1, 5, "1_ptel", "rg", 2.0), ("1", 5, 9, "rg", "centromere", 4.0), ("1", 9, 12, "centromere", "centromere", 9.0), ("1", 12, 20, "centromere", "rg", None), ("1", 20, 30, "rg", "1_qtel", 3.0)]
+    assert rows(results.arm_cn(spark.createDataFrame(whole, schema))) == [("1", 3.0)]
+    for part in (whole[1:], whole[:-1], [(*r[:5], None) for r in whole]):
+        with pytest.raises(Exception, match="missing on 1"):
+            results.arm_cn(spark.createDataFrame(part, schema)).collect()
+
+
+def test_original_mappings_meet_one_to_one(spark):
+    reads = spark.createDataFrame([("a", 1, 7), ("a", 2, 8), ("b", 1, 9)], "qname string, mate int, mapq int")
+    old = spark.createDataFrame([("a", 1, 1, 5), ("a", 2, 2, None), ("b", 1, 3, 6), ("c", 1, 4, 4)], "qname string, mate int, mapq int, x1 int")
+    assert rows(results.augment_original(reads, old)) == [("a", 1, 7, 1, 5), ("a", 2, 8, 2, None), ("b", 1, 9, 3, 6)]
+    for mine, other, pairwise, text in ((reads, old.filter("qname <> 'b'"), False, "no original"), (reads.union(reads), old, False, "more than once"), (reads, old.union(old), False, "more than once"), (reads, old, True, "no mate")):
+        with pytest.raises(Exception, match=text):
+            results.augment_original(mine, other, pairwise).collect()
+
+
+def test_remapping_filter(spark):
+    calls = spark.createDataFrame([("a", 5), ("b", 5), ("c", 5), ("d", 5), ("e", 5), ("f", 5)], "id string, score int")
+    schema = "id string, low_score int, high_score int, low_footprint int, high_footprint int, has_n boolean, small_indel boolean, microbes int"
+    judged = [("a", 81, 81, 51, 51, False, False, 4), ("b", 80, 99, 99, 99, False, False, 0), ("c", None, None, 99, 99, True, True, None), ("d", 99, 99, 99, 99, False, False, 5), ("e", 99, 99, 50, 99, False, False, 0), ("f", 99, 99, 99, 99, True, False, 0)]
+    assert rows(results.filter_remap(calls, spark.createDataFrame(judged, schema)).select("id")) == [("a",), ("c",)]
