@@ -152,5 +152,5 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches:
                 ids = pa.array(ids, mask=ids == NO_ID)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_lines", "n_dropped", "kept"])
 
-    found = table.join(lists, "pack", "left").select("ids", "ends", "body", "gone")
+    found = table.join(lists.hint("merge"), "pack", "left").select("ids", "ends", "body", "gone")
     return found.mapInArrow(cut, "doc_id long, n_lines long, n_dropped long, kept string")
