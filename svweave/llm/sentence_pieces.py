@@ -2,7 +2,9 @@
 
 Texts are cut before each run of the space mark, where no piece of the model can span, and each distinct segment is encoded
 once: the segments' symbols lie in one flat array, a round takes the smallest rank of the pairs in each segment, merges its
-leftmost places at once and compacts, until no pair is left. Decoding gathers the pieces' bytes by id.
+leftmost places at once and compacts, until no pair is left. In a segment of many characters the smallest rank is that of the
+pairs near by, no farther than a piece can reach, so that it merges at many places in a round. Decoding gathers the pieces'
+bytes by id.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ SPACE = "▁"
 CACHED_SEGMENTS = 250_000
 #: Characters of new segments that go through one set of rounds (a longer segment goes alone).
 ROUND_CHARS = 1 << 17
+#: A segment of more characters takes its smallest ranks place by place.
+LONG_SEGMENT = 512
 #: Piece types of the public model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NONE = np.iinfo(np.int64).max
@@ -42,6 +46,7 @@ class PieceModel:
         if any(t in (USER_DEFINED, UNUSED) or SPACE in p.lstrip(SPACE) for p, _, t in pieces):
             raise ValueError("pieces that hold the space mark after another character aren't read")
         self.ids = {p: k for k, (p, _, t) in enumerate(pieces) if t == NORMAL}
+        self.reach = max(map(len, self.ids), default=1)
         self.bytes = {int(p[3:5], 16): k for k, (p, _, t) in enumerate(pieces) if t == BYTE}
         self.byte_ids = np.array([self.bytes[b] for b in range(256)], np.int64)
         # symbols: pieces by id, then characters that are no piece
@@ -131,16 +136,86 @@ class PieceModel:
         order = np.argsort(np.concatenate(done_at), kind="stable")
         return np.concatenate(done_s)[order], np.concatenate(done_o)[order]
 
+    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """One long segment's symbols merged until no pair is left.
+
+        A pair merges before any that it touches does if no pair as near as a piece is long ranks before it: whatever piece took
+        one of its symbols first would be made of such pairs. Hits are pairs of the smallest rank within that reach; those in
+        reach of each other have one rank and merge from the left, or the first alone if a new pair could come before the rest.
+        """
+        pair = np.append(self.pair_ids_of(symbols[:-1], symbols[1:]), -1)
+        rank = np.where(pair >= 0, self.rank_of[pair], NONE)
+        reach = self.reach
+        while len(symbols) > 1:
+            ahead = np.concatenate([np.full(reach, NONE), rank, np.full(reach, NONE)])
+            width = 1
+            while width < 2 * reach + 1:
+                step = min(width, 2 * reach + 1 - width)
+                ahead = np.minimum(ahead[:-step], ahead[step:])
+                width += step
+            hit = (rank == ahead) & (rank < NONE)
+            at = np.flatnonzero(hit)
+            if not len(at):
+                break
+            group = np.cumsum(np.concatenate([[True], np.diff(at) > reach])) - 1
+            # a pair of the same rank to the left that waits for another comes first, and so do those after it
+            waits = np.concatenate([np.full(reach, NONE), np.where(hit, NONE, rank)])
+            width = 1
+            while width < reach:
+                step = min(width, reach - width)
+                waits = np.minimum(waits[:-step], waits[step:])
+                width += step
+            behind = waits[at] == rank[at]
+            if behind.any():
+                after_one = np.cumsum(behind)
+                start = np.searchsorted(group, np.arange(group[-1] + 1))
+                ready = after_one == (after_one - behind)[start][group]
+                at, group = at[ready], group[ready]
+            run = np.cumsum(np.concatenate([[True], np.diff(at) > 1]))
+            odd = (np.arange(len(at)) - np.searchsorted(run, run)) % 2 == 0
+            at, group = at[odd], group[odd]
+            new, r = pair[at], rank[at]
+            p_left = np.where(at > 0, self.pair_ids_of(symbols[np.maximum(at - 1, 0)], new), -1)
+            after = at + 2 < len(symbols)
+            p_right = np.where(after, self.pair_ids_of(new, symbols[np.minimum(at + 2, len(symbols) - 1)]), -1)
+            near = np.concatenate([[False], at[1:] == at[:-1] + 2])
+            p_near = np.where(near, self.pair_ids_of(np.concatenate([new[:1], new[:-1]]), new), -1)
+            better = lambda p: (p >= 0) & (self.rank_of[p] <= r)
+            one = np.zeros(group[-1] + 1 if len(group) else 0, bool)
+            one[group[better(p_left) | better(p_right) | better(p_near)]] = True
+            take = ~one[group] | np.concatenate([[True], group[1:] != group[:-1]])
+            at, new = at[take], new[take]
+            keep = np.ones(len(symbols), bool)
+            keep[at + 1] = False
+            symbols[at] = new
+            symbols, pair, rank = symbols[keep], pair[keep], rank[keep]
+            there = at - np.arange(len(at))
+            again = np.unique(np.concatenate([there, np.maximum(there - 1, 0)]))
+            inner = again < len(symbols) - 1
+            pair[again[~inner]], rank[again[~inner]] = -1, NONE
+            again = again[inner]
+            pair[again] = self.pair_ids_of(symbols[again], symbols[again + 1])
+            rank[again] = np.where(pair[again] >= 0, self.rank_of[pair[again]], NONE)
+        return symbols
+
     def encode_segments(self, segments: list[str]) -> list[bytes]:
-        """Ids of each segment as little-endian 32-bit integers, ``ROUND_CHARS`` at a time."""
-        turn = np.cumsum([0, *map(len, segments)])[:-1] // ROUND_CHARS
-        cuts = [*np.flatnonzero(np.diff(turn, prepend=-1)).tolist(), len(segments)]
+        """Ids of each segment as little-endian 32-bit integers, ``ROUND_CHARS`` at a time and long ones alone."""
+        lens = np.fromiter(map(len, segments), np.int64, len(segments))
+        alone = lens > LONG_SEGMENT
+        turn = (np.cumsum(lens) - lens) // ROUND_CHARS
+        cut = np.diff(turn, prepend=-1) > 0
+        cut |= alone | np.concatenate([[False], alone[:-1]])
+        cuts = [*np.flatnonzero(cut).tolist(), len(segments)]
         return [x for a, b in zip(cuts, cuts[1:]) for x in self._encode(segments[a:b])]
 
     def _encode(self, segments: list[str]) -> list[bytes]:
         lens = np.fromiter(map(len, segments), np.int64, len(segments))
         flat = self.symbol_of[np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "<u4")]
-        flat, owner = self.merge_rounds(flat, np.repeat(np.arange(len(segments)), lens))
+        if len(segments) == 1 and lens[0] > LONG_SEGMENT:
+            flat = self.merge_long(flat)
+            owner = np.zeros(len(flat), np.int64)
+        else:
+            flat, owner = self.merge_rounds(flat, np.repeat(np.arange(len(segments)), lens))
         if (odd := flat >= self.n).any():  # characters without a piece become their bytes
             code = flat[odd] - self.n
             many = np.ones(len(flat), np.int64)
