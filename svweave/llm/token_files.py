@@ -28,6 +28,8 @@ CHECKSUM_FLAG = 0x80
 #: Raw bytes of text that one file is meant for.
 FILE_TEXT_BYTES = 16 << 20
 TIE_LETTERS = 16
+#: Ranges of ids at most: beyond, tasks write several files.
+MOST_RANGES = 1 << 14
 CACHED_WORDS, SLOT_BITS = 500_000, 21
 #: Masks of the lowest 0 to 8 bytes.
 _LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
@@ -174,30 +176,43 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int | None =
 
     Null texts count as empty and have the end id alone; null ids come last, written as the largest 64-bit number. Rows that
     repeat an id follow each other in order of the text's first ``TIE_LETTERS`` characters, then of its hash, and may lie in
-    several files. An empty input leaves a folder of files without documents.
+    several files. An empty input leaves a folder of files without documents. There are at most ``MOST_RANGES`` ranges of ids,
+    whose tasks begin a new file once one holds two times ``file_bytes_target`` bytes of text.
     """
     size = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = max(1, -(-size // file_bytes_target))
+    ranges = max(1, min(MOST_RANGES, -(-size // file_bytes_target)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         import zstandard
 
         press, words, end = zstandard.ZstdCompressor(level=level), encoder(tokenizer), b"" if end_id is None else struct.pack("<I", end_id)
-        ids, frames, sizes, sums = [], [], [], []
+        ids, frames, sizes, sums, held, none = [], [], [], [], 0, True
+
+        def file() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([file_bytes(ids, frames, sizes, sums)], pa.binary())], ["file"])
+            for part in (ids, frames, sizes, sums):
+                part.clear()
+            return out
+
         for some, texts in doc_batches(batches):
+            if ids and held >= 2 * file_bytes_target:
+                yield file()
+                held, none = 0, False
+            held += sum(map(len, texts))
             for i, tokens in zip(some.tolist(), words.encode_all(texts)):
                 body = tokens.astype("<u4", copy=False).tobytes() + end
                 ids.append(i)
                 frames.append(press.compress(body) if body else b"")
                 sizes.append(len(body))
                 sums.append(xxhash.xxh64_intdigest(body) & 0xFFFFFFFF)
-        yield pa.RecordBatch.from_arrays([pa.array([file_bytes(ids, frames, sizes, sums)], pa.binary())], ["file"])
+        if ids or none:
+            yield file()
 
     tie = [F.substring("text", 1, TIE_LETTERS), F.xxhash64("text")]
-    ordered = df.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").repartitionByRange(files, "doc_id", *tie).sortWithinPartitions("doc_id", *tie)
+    ordered = df.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").repartitionByRange(ranges, "doc_id", *tie).sortWithinPartitions("doc_id", *tie)
     magic = struct.pack("<I", SEEK_MAGIC).decode("latin-1")
-    ordered.mapInArrow(encode, "file binary").select(F.col("file").cast("string").alias("value")).write.option("encoding", "ISO-8859-1").option("lineSep", magic).text(path)
+    ordered.mapInArrow(encode, "file binary").select(F.col("file").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option("lineSep", magic).text(path)
 
 
 def read_tokens(spark: SparkSession, path: str, wanted: list[int] | None = None) -> DataFrame:

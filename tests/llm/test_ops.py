@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
 
 from svweave.llm import exact_dedup, jaccard_join, mixing, sentence_pieces, substring_dedup, suffix_dedup, token_files, top_k, toxicity, url_filter  # noqa: E402
+from svweave.llm.common import doc_batches as token_files_batches  # noqa: E402
 from svweave.llm.common import new_folder, text_table  # noqa: E402
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -106,7 +107,7 @@ def test_mixing(spark, docs):
     assert mixing.mix(mixing.measure(sources.limit(0))).count() == 0
 
 
-def test_token_files(spark, docs):
+def test_token_files(spark, docs, monkeypatch):
     from tokenizers import Tokenizer
 
     path, coder = public_tokenizers.path("word_bpe_49k.json"), Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -119,6 +120,12 @@ def test_token_files(spark, docs):
         want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
     assert key(token_files.summary(spark, folder).collect()) == key(want)
+    monkeypatch.setattr(token_files, "MOST_RANGES", 2)  # several files a task
+    monkeypatch.setattr(token_files, "doc_batches", lambda batches: token_files_batches(batches, 1000))
+    many = new_folder(spark, "tokens")
+    token_files.write_tokens(text_table(docs), many, path, file_bytes_target=2000)
+    assert key(token_files.summary(spark, many).collect()) == key(want) and token_files.file_totals(spark, many).count() > 2
+    monkeypatch.undo()
     some = token_files.read_tokens(spark, folder, [4, 10]).collect()
     assert {r.doc_id for r in some} == {4, 10}
     raw = token_files.file_bytes([1], [b"x"], [1], [0]) + (0x8F92EAB1).to_bytes(4, "little")
@@ -129,6 +136,21 @@ def test_token_files(spark, docs):
     assert token_files.read_tokens(spark, empty).count() == 0
 
 
+def test_long_segments_equal_the_library(monkeypatch):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, m, rng = sentencepiece.SentencePieceProcessor(model_file=path), sentence_pieces.PieceModel(path), random.Random(9)
+    for text in ("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300_000)), "a" * 100_001, "=" * 70_001, "the" * 40_000 + "日" * 3000):
+        assert np.array_equal(m.encode(text), sp.encode(text))
+    monkeypatch.setattr(sentence_pieces, "LONG_SEGMENT", 3)
+    words = [["a", "aa", "=", "-", "--", "ab", " "], list("etaoinsr"), ["the", "ing", "tion", "er", "un", "Ab", "xyz", "é日"]]
+    for k in range(600):
+        m.seen.clear()
+        text = "".join(rng.choice(words[k % 3]) for _ in range(rng.randint(1, 120)))
+        assert m.encode(text).tolist() == sp.encode(text), text
+
+
 def test_sentence_pieces(spark, docs):
     import sentencepiece
 
