@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators import compare, results
+from ..operators.calls import annotate
+from ..operators.vcf import combine_vcf
 from .queries import C, CALL, CALL_COLUMNS, P, S
 from .read_queries import A, ALIGNMENTS
 from .views import BEDPE, READ_PAIRS, SEGMENTS, view
@@ -175,3 +177,28 @@ RS = f"""(SELECT seg_id, chr, "start", "start" + seg_id % 700 AS "end", CASE WHE
  SELECT seg_id, CASE WHEN len <= 300 AND low_rg <> high_rg THEN 'shard' WHEN low_rg IS NULL AND high_rg IS NULL AND len <= 500 AND before <> after THEN 'gap' END AS kind FROM r""")
 def g03_segment_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.segment_shards(rearranged(spark, sf_dir), most=300)
+
+
+def vcf_rows(calls: DataFrame) -> DataFrame:
+    """Two records a call: INFO with or without a distance, read counts of both samples."""
+    i, far = F.col("id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("BKDIST="), (F.col("id") % 1000).cast("string"), F.lit(";"))).otherwise(F.lit(""))
+    ends = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"chr{k}").alias("chrom"), (F.col(f"start{k}") + 1).alias("pos")) for k in (1, 2))))
+    rows = calls.select("id", "tumour_count", "normal_count", far.alias("far"), ends.alias("e"))
+    info = F.concat(F.lit("SVTYPE=BND;"), "far", F.when(i % 2 == 0, F.concat(F.lit("TSRDS=r"), i.cast("string"), F.lit(","), "e.k")).otherwise(F.lit("IMPRECISE")))
+    name = F.concat_ws("_", i.cast("string"), F.col("e.k").cast("string"))
+    return rows.select(F.col("e.chrom").alias("chrom"), F.col("e.pos").alias("pos"), name.alias("id"), F.lit("N").alias("ref"), F.lit("<BND>").alias("alt"), F.lit("100").alias("qual"), F.lit(".").alias("filter"), info.alias("info"), F.lit("RC").alias("format"), F.col("normal_count").cast("string").alias("normal"), F.col("tumour_count").cast("string").alias("tumour"))
+
+
+@query(f"""WITH c AS {C}, r AS (SELECT id AS call, id || '_' || k AS id, CASE k WHEN 1 THEN chr1 ELSE chr2 END AS chrom, CASE k WHEN 1 THEN start1 ELSE start2 END + 1 AS pos, normal_count, tumour_count, k, id % 5 = 2 AS a,
+ 'SVTYPE=BND;' || CASE WHEN id % 3 = 0 THEN 'BKDIST=' || (id % 1000) || ';' ELSE '' END || CASE WHEN id % 2 = 0 THEN 'TSRDS=r' || id || ',' || k ELSE 'IMPRECISE' END AS info,
+ CASE WHEN chr1 <> chr2 THEN 'translocation' WHEN strand1 = strand2 THEN 'inversion' WHEN strand1 = '+' THEN 'deletion' ELSE 'tandem-duplication' END AS svclass, CASE WHEN chr1 <> chr2 THEN -1 ELSE abs(start2 - end1) END AS far FROM c, (SELECT unnest([1, 2]) AS k)),
+ n AS (SELECT *, CASE WHEN a THEN 'ASSEMBLED=1;' || CASE WHEN call % 2 = 0 THEN 'TSRDS=r' || call || ',' || k || ';' ELSE '' END || 'BAS=' || (call % 101) ELSE info END AS i FROM r)
+ SELECT chrom, pos + CASE WHEN a THEN 7 ELSE 0 END AS pos, id, CASE WHEN a THEN 'A' ELSE 'N' END AS ref, CASE WHEN a THEN 'A[' || call || '[' ELSE '<BND>' END AS alt, CASE WHEN a THEN '.' ELSE '100' END AS qual, '.' AS filter,
+ replace(regexp_replace(i, 'BKDIST=[0-9]+', '') || ';BKDIST=' || far || ';SVCLASS=' || svclass, ';;', ';') AS info, 'RC:PS' AS format, '0:' || normal_count AS normal, CASE WHEN a THEN (call % 9)::VARCHAR ELSE '0' END || ':' || tumour_count AS tumour FROM n""")
+def c17_combine_vcf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = view(spark, sf_dir, BEDPE)
+    call = F.substring_index("id", "_", 1)
+    some = vcf_rows(every.filter("id % 5 = 2"))
+    assembled = some.withColumns({"pos": F.col("pos") + 7, "ref": F.lit("A"), "alt": F.concat(F.lit("A["), call, F.lit("[")), "qual": (call.cast("long") % 101).cast("string"), "info": F.lit("ASSEMBLED=1"), "tumour": (call.cast("long") % 9).cast("string")})
+    classes = annotate(every).select("id", F.col("bkdist").alias("bkptdist"), "svclass")
+    return combine_vcf(vcf_rows(every), assembled, classes)
