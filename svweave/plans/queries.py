@@ -72,19 +72,32 @@ def island_ids(df: DataFrame) -> DataFrame:
     return grouping.islands(grouping.with_windows(grouping.filter_discordant(df), REF_LEN)).select("qname", "island")
 
 
-@query("e01_group_pairs", READ_PAIRS)
+KEYS = "chr_l, strand_l, chr_h, island"
+BOUNDS = {"l5": "greatest", "l3": "least", "h5": "greatest", "h3": "least"}
+MEETS = "(g.s = r.strand_h AND g.l5 <= r.l3 AND r.l5 <= g.l3 AND g.h5 <= r.h3 AND r.h5 <= g.h3)"
+#: The sweep as a recursion: step n takes the n-th pair of every island and carries the groups that are open there.
+GROUPS = f"""
+w AS (SELECT *, {END.format(e='l')}, {END.format(e='h')} FROM {P} WHERE ({REASON.replace('mapq < 1', 'mapq < 6')}) IS NULL),
+i AS (SELECT *, max(l3) OVER (PARTITION BY chr_l, strand_l, chr_h ORDER BY pos_l, flag, qname ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM w),
+n AS (SELECT *, sum(CASE WHEN reach IS NULL OR l5 >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY chr_l, strand_l, chr_h ORDER BY pos_l, flag, qname ROWS UNBOUNDED PRECEDING)::BIGINT AS island FROM i),
+rows_ AS (SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY pos_l, flag, qname, strand_h, l5, l3, h5, h3, sample) AS step FROM n),
+swept AS (SELECT DISTINCT {KEYS}, 0::BIGINT AS step, []::STRUCT(n BIGINT, s VARCHAR, l5 BIGINT, l3 BIGINT, h5 BIGINT, h3 BIGINT)[] AS open, 0::BIGINT AS opened, []::BIGINT[] AS joined FROM rows_
+ UNION ALL SELECT chr_l, strand_l, chr_h, island, step, CASE WHEN len(hit) = 0 THEN list_append(live, struct_pack(n := opened, s := strand_h, l5 := l5, l3 := l3, h5 := h5, h3 := h3)) ELSE moved END, opened + CASE WHEN len(hit) = 0 THEN 1 ELSE 0 END, CASE WHEN len(hit) = 0 THEN [opened] ELSE list_transform(hit, lambda g: g.n) END
+ FROM (SELECT r.*, opened, list_filter(open, lambda g: g.l3 > r.l5) AS live, list_filter(open, lambda g: g.l3 > r.l5 AND {MEETS}) AS hit,
+ list_transform(list_filter(open, lambda g: g.l3 > r.l5), lambda g: CASE WHEN {MEETS} THEN struct_pack(n := g.n, s := g.s, {', '.join(f'{b} := {f}(g.{b}, r.{b})' for b, f in BOUNDS.items())}) ELSE g END) AS moved
+ FROM swept t JOIN rows_ r USING (chr_l, strand_l, chr_h, island) WHERE r.step = t.step + 1)),
+members AS (SELECT {', '.join('t.' + k for k in KEYS.split(', '))}, t.step, j AS opened, list_filter(t.open, lambda g: g.n = j)[1] AS g, r.qname, r.sample FROM (SELECT *, unnest(joined) AS j FROM swept) t JOIN rows_ r USING (chr_l, strand_l, chr_h, island, step)),
+sizes AS (SELECT {KEYS}, opened, max(step) AS last, arg_max(g, step) AS g, count(*) AS total, {', '.join(f"count(DISTINCT CASE WHEN sample {s} THEN {c} END) AS {n}" for s, c, n in (("= 'T1'", "qname", "tumour_count"), ("= 'N1'", "qname", "normal_count"), ("LIKE 'NP%'", "qname", "np_count"), ("LIKE 'NP%'", "sample", "np_sample_count")))} FROM members GROUP BY ALL),
+closed AS (SELECT *, coalesce((SELECT min(r.step) FROM rows_ r WHERE r.chr_l = s.chr_l AND r.strand_l = s.strand_l AND r.chr_h = s.chr_h AND r.island = s.island AND r.step > s.last AND r.l5 >= s.g.l3), 1000000000000) AS ends FROM sizes s),
+numbered AS (SELECT *, island // {grouping.ISLANDS} AS pack, row_number() OVER (PARTITION BY chr_l, strand_l, chr_h, island // {grouping.ISLANDS} ORDER BY island, ends, opened) - 1 AS number FROM closed),
+grouped AS (SELECT chr_l, strand_l, chr_h, g.s AS strand_h, pack AS island, number::INTEGER AS number, g.l5 AS l5, g.l3 AS l3, g.h5 AS h5, g.h3 AS h3, tumour_count, normal_count, np_count, np_sample_count, total FROM numbered WHERE total >= 2)"""
+
+
+@query("e01_group_pairs", READ_PAIRS, f"WITH RECURSIVE {GROUPS} SELECT * FROM grouped")
 def group_pairs(df: DataFrame) -> DataFrame:
     return grouping.group_pairs(grouping.filter_discordant(df, min_mapq=6), REF_LEN, "T1", "N1")
 
 
-@query("e01_somatic_groups", READ_PAIRS)
-def somatic_groups(df: DataFrame) -> DataFrame:
-    """Reads to groups to the somatic filter: groups of four or more tumour pairs and no normal or panel pair."""
-    g = group_pairs(df)
-    rows = g.select(F.col("chr_l").alias("chr1"), (F.col("l5") - 1).alias("start1"), F.col("l3").alias("end1"), F.col("chr_h").alias("chr2"), (F.col("h5") - 1).alias("start2"), F.col("h3").alias("end2"), F.col("strand_l").alias("strand1"), F.col("strand_h").alias("strand2"), "tumour_count", "normal_count", "np_count", "np_sample_count")
-    return calls.filter_marked_groups(rows)
-
-
 @query("e04_sample_counts", READ_PAIRS, f"""SELECT chr_l, chr_h, strand_l, strand_h, count(DISTINCT CASE WHEN sample = 'T1' THEN qname END) AS tumour_count, count(DISTINCT CASE WHEN sample = 'N1' THEN qname END) AS normal_count,
  count(DISTINCT CASE WHEN sample LIKE 'NP%' THEN qname END) AS np_count, count(DISTINCT CASE WHEN sample LIKE 'NP%' THEN sample END) AS np_sample_count, count(*) AS total FROM {P} GROUP BY 1, 2, 3, 4""")
 def sample_counts(df: DataFrame) -> DataFrame:
@@ -96,6 +109,18 @@ FAIL = """CASE WHEN chr1 = chr2 AND start1 = start2 AND end1 = end2 THEN 'identi
 EXTRA = f"(SELECT *, CASE WHEN chr1 = chr2 AND strand1 = strand2 AND (start2 + 1 + end2) / 2 - (start1 + 1 + end1) / 2 <= 5000 THEN 2 ELSE 0 END AS x FROM {C})"
 
 
+SOMATIC = "chr_l AS chr1, l5 - 1 AS start1, l3 AS end1, chr_h AS chr2, h5 - 1 AS start2, h3 AS end2, strand_l AS strand1, strand_h AS strand2, tumour_count, normal_count, np_count, np_sample_count"
+
+
+@query("e01_somatic_groups", READ_PAIRS, f"""WITH RECURSIVE {GROUPS}, c AS (SELECT {SOMATIC} FROM grouped), e AS (SELECT *, CASE WHEN chr1 = chr2 AND strand1 = strand2 AND (start2 + 1 + end2) / 2 - (start1 + 1 + end1) / 2 <= 5000 THEN 2 ELSE 0 END AS x FROM c)
+ SELECT * EXCLUDE (x) FROM e WHERE ({FAIL}) IS NULL""")
+def somatic_groups(df: DataFrame) -> DataFrame:
+    """Reads to groups to the somatic filter: groups of four or more tumour pairs and no normal or panel pair."""
+    g = group_pairs(df)
+    rows = g.select(F.col("chr_l").alias("chr1"), (F.col("l5") - 1).alias("start1"), F.col("l3").alias("end1"), F.col("chr_h").alias("chr2"), (F.col("h5") - 1).alias("start2"), F.col("h3").alias("end2"), F.col("strand_l").alias("strand1"), F.col("strand_h").alias("strand2"), "tumour_count", "normal_count", "np_count", "np_sample_count")
+    return calls.filter_marked_groups(rows)
+
+
 @query("b16_fail_reason", BEDPE, f"SELECT id, {FAIL} AS fail_reason FROM {EXTRA}")
 def fail_reason(df: DataFrame) -> DataFrame:
     return calls.fail_reason(df).select("id", "fail_reason")
