@@ -24,9 +24,9 @@ def query(sql: str):
     return add
 
 
-#: A table of five chromosomes' ends and centromeres.
-CENTTEL = [(k, 5000 * k, 400_000 + 1000 * k, 420_000 + 1000 * k, 1_001_000 - 3000 * k) for k in range(1, 6)]
-T = "(SELECT range AS chr, 5000 * range AS ptel, 400000 + 1000 * range AS cen_start, 420000 + 1000 * range AS cen_end, 1001000 - 3000 * range AS qtel FROM range(1, 6))"
+#: A table of five chromosomes' ends and centromeres; the last one's centromere starts at 0.
+CENTTEL = [(k, 5000 * k, 400_000 + 1000 * k if k < 5 else 0, 420_000 + 1000 * k if k < 5 else 1000, 1_001_000 - 3000 * k) for k in range(1, 6)]
+T = "(SELECT range AS chr, 5000 * range AS ptel, CASE WHEN range < 5 THEN 400000 + 1000 * range ELSE 0 END AS cen_start, CASE WHEN range < 5 THEN 420000 + 1000 * range ELSE 1000 END AS cen_end, 1001000 - 3000 * range AS qtel FROM range(1, 6))"
 
 
 def centtel(spark: SparkSession) -> DataFrame:
@@ -122,12 +122,12 @@ def b21_drop_cen_tel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.drop_cen_tel(view(spark, sf_dir, BEDPE), centtel(spark), absent="5").select(*CALL_COLUMNS)
 
 
-@query(f"""WITH s AS (SELECT chr, "start", "end", (seg_id % 8) / 4.0 AS cn, 5 + seg_id % 40 AS n_win, lag((seg_id % 8) / 4.0) OVER w AS before, lag(5 + seg_id % 40) OVER w AS n_before FROM {S} WHERE seg_id % 11 = 0 WINDOW w AS (PARTITION BY chr ORDER BY "start", "end", seg_id)),
+@query(f"""WITH s AS (SELECT chr, "start", "end", (seg_id % 8) / 4.0 AS cn, 5 + seg_id % 40 AS n_win, lag((seg_id % 8) / 4.0) OVER w AS before, lag(5 + seg_id % 40) OVER w AS n_before FROM {S} WINDOW w AS (PARTITION BY chr ORDER BY "start", "end", seg_id)),
  u AS (SELECT DISTINCT chr, "start" FROM s WHERE n_win >= 10 AND n_before >= 10 AND abs(cn - before) > 0.3), b AS (SELECT chr1 AS chr, start1 AS pos FROM {C} WHERE id % 977 = 0)
  SELECT chr, "start" FROM u WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.chr = u.chr AND abs(b.pos - u."start") <= 20000) AND NOT {bad('u.chr', 'u."start"')}""")
 def m08_trusted_cn_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("seg_id")
-    s = view(spark, sf_dir, SEGMENTS).filter("seg_id % 11 = 0").select("chr", "start", "end", (i % 8 / 4).alias("cn"), (5 + i % 40).alias("n_win"))
+    s = view(spark, sf_dir, SEGMENTS).select("chr", "start", "end", (i % 8 / 4).alias("cn"), (5 + i % 40).alias("n_win"))
     points = view(spark, sf_dir, BEDPE).filter("id % 977 = 0").select(F.col("chr1").alias("chr"), F.col("start1").alias("pos"))
     return results.trusted_cn_breaks(s, points, centtel(spark))
 

@@ -25,19 +25,19 @@ def query(sql: str):
 
 BOUNDS = f"""c AS {C}, ok AS (SELECT * FROM c WHERE NOT {bad('chr1', 'start1')} AND NOT {bad('chr2', 'end2')}),
  b AS (SELECT chr1 AS chr, start1 AS pos, 1 AS rank, id, id || ':1' AS label FROM ok UNION ALL SELECT chr2, end2, 1, id, id || ':2' FROM ok
- UNION ALL SELECT chr, "start", 2, NULL, 'cn_bkpt' FROM {S} WHERE seg_id % 11 = 0 UNION ALL SELECT chr, cen_start, 3, NULL, 'centromere' FROM {T} UNION ALL SELECT chr, cen_end, 3, NULL, 'centromere' FROM {T}
+ UNION ALL SELECT chr, "start", 2, NULL, 'cn_bkpt' FROM {S} UNION ALL SELECT chr, cen_start, 3, NULL, 'centromere' FROM {T} WHERE cen_start <> 0 UNION ALL SELECT chr, cen_end, 3, NULL, 'centromere' FROM {T}
  UNION ALL SELECT chr, ptel, 0, NULL, chr || '_ptel' FROM {T} UNION ALL SELECT chr, qtel, 4, NULL, chr || '_qtel' FROM {T}),
- g AS (SELECT chr, pos AS start, lead(pos) OVER w AS "end", label AS start_bkpt, lead(label) OVER w AS end_bkpt FROM b WINDOW w AS (PARTITION BY chr ORDER BY rank = 4, rank <> 0, pos, rank, id, label))"""
+ g AS (SELECT chr, rank, pos AS start, lead(pos) OVER w AS "end", label AS start_bkpt, lead(label) OVER w AS end_bkpt FROM b WINDOW w AS (PARTITION BY chr ORDER BY rank = 4, rank <> 0, pos, rank, id, label))"""
 
 
 def bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of all calls and of the starts of some copy-number segments."""
+    """Segments of all calls and of the starts of copy-number segments."""
     calls = view(spark, sf_dir, BEDPE).select("id", "chr1", F.col("start1").alias("pos1"), "chr2", F.col("end2").alias("pos2"))
-    breaks = view(spark, sf_dir, SEGMENTS).filter("seg_id % 11 = 0").select("chr", F.col("start").alias("pos"))
+    breaks = view(spark, sf_dir, SEGMENTS).select("chr", F.col("start").alias("pos"))
     return segments.build_segments(calls, breaks, centtel(spark))
 
 
-@query(f'WITH {BOUNDS} SELECT chr, start, "end", start_bkpt, end_bkpt, false AS no_cn FROM g WHERE "end" IS NOT NULL')
+@query(f'WITH {BOUNDS} SELECT chr, start, "end", start_bkpt, end_bkpt, rank = 0 AND chr = 5 AS no_cn FROM g WHERE "end" IS NOT NULL')
 def m09_build_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bounded(spark, sf_dir)
 
@@ -96,7 +96,7 @@ def g16_arm_cn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.arm_cn(rows.withColumn("cn", F.when(F.col("start") % 7 != 2, (F.col("start") % 9).cast("double"))))
 
 
-@query(f"WITH {ENDS}, {DEPTH} SELECT chr, bin AS start, tumour FROM d WHERE chr IN (2, 4, 5)")
+@query(f"WITH {ENDS}, {DEPTH} SELECT chr, bin AS start, tumour FROM d")
 def c03_merge_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = depths(spark, sf_dir).select("chr", F.col("bin").alias("start"), "tumour")
-    return segments.merge_coverage(parts, spark.createDataFrame([(k, 9 - k) for k in (2, 4, 5)], "chr long, ref_idx int"))
+    return segments.merge_coverage(parts, spark.createDataFrame([(k, 9 - k) for k in range(1, 6)], "chr long, ref_idx int"))
