@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import doc_batches, range_hashes, byte_values, window_hashes
+from .common import byte_values, doc_batches, hand_back_memory, range_hashes, window_hashes
 
 WINDOW, STRIDE = 64, 32
 TRAIN_TOXIC, TRAIN_CLEAN, EPOCHS, BATCH, RATE, SEED = 800, 1600, 7, 64, 0.01, 11
@@ -297,7 +297,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = TRAIN_TOXIC, most_
     chosen = marked.filter("toxic = 1").orderBy(*order).limit(most_toxic).union(marked.filter("toxic = 0").orderBy(*order).limit(most_clean))
     rows = docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("label_id")).select("doc_id", "text", "toxic").toArrow()
     rows = sorted({(i, t or "", y) for i, t, y in zip(*(rows.column(c).to_pylist() for c in range(3)))})
-    return train([t.encode() for _, t, _ in rows], [y for _, _, y in rows])
+    network = train([t.encode() for _, t, _ in rows], [y for _, _, y in rows])
+    del rows
+    hand_back_memory()
+    return network
 
 
 def score(df: DataFrame, network: Network) -> DataFrame:
