@@ -70,6 +70,24 @@ def test_suffix_dedup_of_a_phrase_in_many_contexts(spark, monkeypatch):
     assert key(out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()) == key(brute.byte_dedup(rows, 50))
 
 
+def test_suffix_dedup_merges_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_STRINGS", 4)
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcd ") for _ in range(n))
+    shared = [noise(90) for _ in range(3)]
+    rows = [(k, noise(rng.randint(0, 40)) + rng.choice(shared)[rng.randint(0, 20) :] + noise(rng.randint(0, 40))) for k in range(120)]
+    out = suffix_dedup.suffix_dedup(text_table(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)))
+    assert key(out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()) == key(brute.byte_dedup(rows, 50))
+
+
+def test_jaccard_join_of_null_ids_and_repeated_rows(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = " ".join(base[:30] + ["new"] + base[31:])
+    rows = [(None, " ".join(base)), (7, " ".join(base)), (9, " ".join(base)), (9, " ".join(base)), (11, near), (12, "alone here now"), (None, None), (13, "")]
+    got = key((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(text_table(spark.createDataFrame(rows, "doc_id long, text string")), 3, 90).collect())
+    assert got == key([(None, 58, 7), (7, 58, 7), (9, 58, 7), (9, 58, 7), (11, 58, 7), (12, 1, 12), (None, 0, None), (13, 0, 13)])
+
+
 def test_jaccard_join(spark, docs):
     rows = [(i, t) for k, (i, t) in enumerate(documents()) if i is not None and (i, t) not in documents()[:k]]
     own = spark.createDataFrame(rows, "doc_id long, text string")
