@@ -70,23 +70,24 @@ def attach_breakpoints(segments: DataFrame, calls: DataFrame) -> DataFrame:
     return out
 
 
-def collect_support_reads(calls: DataFrame, reads: DataFrame, names: DataFrame, slop: int = 1000) -> DataFrame:
+def collect_support_reads(calls: DataFrame, reads: DataFrame, names: DataFrame, slop: int = 1000, by: tuple[str, ...] = ("id",), carry: tuple[str, ...] = ()) -> DataFrame:
     """``id, qname, mate`` of a call's own reads (``names``: ``id, qname``) that lie at its first end with mates at its second.
 
     Ends are ``chr1, pos1, strand1, chr2, pos2, strand2``; a read and its mate overlap ``slop`` bases around them on their
     strands, and on one chromosome and strand they lie in the ends' order. Supplementary, unpaired and unmapped reads
-    (``flag``, if there is one) take no part. Reads are found by name, so no interval is searched.
+    (``flag``, if there is one) take no part. Reads are found by name, so no interval is searched. Calls may be told apart by
+    more columns (``by``), and a read's columns ``carry`` come along.
     """
     if "flag" in reads.columns:
         reads = reads.filter(expr.flags_fit(F.col("flag"), expr.PAIRED, expr.UNMAPPED | expr.MATE_UNMAPPED | SUPPLEMENTARY))
-    own = calls.select("id", "chr1", "pos1", "strand1", "chr2", "pos2", "strand2").join(names.select("id", "qname").distinct(), "id")
-    met = own.join(reads.select("qname", "mate", "chr", "pos", "strand", "mate_chr", "mate_pos", "mate_strand", "read_len"), "qname")
+    own = calls.select(*by, "chr1", "pos1", "strand1", "chr2", "pos2", "strand2").join(names.select("id", "qname").distinct(), "id")
+    met = own.join(reads.select("qname", "mate", "chr", "pos", "strand", "mate_chr", "mate_pos", "mate_strand", "read_len", *(x for x in carry if x not in ("pos", "read_len"))), "qname")
     c = F.col
     placed = (c("chr") == c("chr1")) & (c("strand") == c("strand1")) & (c("mate_chr") == c("chr2")) & (c("mate_strand") == c("strand2"))
     near = [(c(p) <= c(e) + slop) & (c(p) + c("read_len") - 1 >= c(e) - slop) for p, e in (("pos", "pos1"), ("mate_pos", "pos2"))]
     apart = (c("chr1") != c("chr2")) | (c("strand1") != c("strand2"))
     ordered = F.when(c("pos1") <= c("pos2"), c("pos") <= c("mate_pos")).otherwise(c("pos") >= c("mate_pos"))
-    return met.filter(placed & near[0] & near[1] & (apart | ordered)).select("id", "qname", "mate").distinct()
+    return met.filter(placed & near[0] & near[1] & (apart | ordered)).select(*by, "qname", "mate", *carry).dropDuplicates([*by, "qname", "mate"])
 
 
 def remap_scores(reads: DataFrame, scores: DataFrame, least: int = 3) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import calls, remap, results
+from ..sources.shared import stored
 from .queries import CALL_COLUMNS
 from .read_queries import ALIGNMENTS
 from .segment_queries import NAMES
@@ -18,13 +19,15 @@ CLASSES = 200
 
 def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles of five chromosomes, each the longest text of a class of documents, begun at another letter in each tile."""
-    texts = sequence_table(spark, sf_dir, "documents", "doc_id").groupBy((F.col("doc_id") % CLASSES).alias("class"))
-    texts = texts.agg(F.max_by("seq", F.struct(F.length("seq"), -F.col("doc_id"))).alias("text"))
+    # lengths alone are compared; only the longest texts move
+    longest = F.max(F.struct(F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[^a-zA-Z]", "")).alias("n"), (-F.col("doc_id")).alias("doc"))).alias("best")
+    best = spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy((F.col("doc_id") % CLASSES).alias("class")).agg(longest).select("class", (-F.col("best.doc")).alias("doc_id"), F.col("best.n").alias("n"))
+    texts = sequence_table(spark, sf_dir, "documents", "doc_id").join(F.broadcast(best), "doc_id").filter(F.length("seq") == F.col("n")).dropDuplicates(["class"]).select("class", F.col("seq").alias("text"))
     per, n = -(-REF_LEN // remap.TILE), F.length("text")
     at = spark.range(5 * per).select((1 + F.floor(F.col("id") / per)).alias("chr"), (F.col("id") % per).alias("tile"), (F.col("id") % CLASSES).alias("class"), "id")
     whole = F.when(n == 0, F.repeat(F.lit("N"), F.lit(remap.TILE))).otherwise(F.repeat("text", F.ceil(F.lit(2 * remap.TILE) / n).cast("int")))
     start = F.when(n == 0, 1).otherwise(F.col("id") * 37 % F.least(n, F.lit(remap.TILE)) + 1).cast("int")
-    return at.join(texts, "class").select("chr", "tile", F.substring(whole, start, F.lit(remap.TILE)).alias("seq"))
+    return stored(at.join(texts, "class").select("chr", "tile", F.substring(whole, start, F.lit(remap.TILE)).alias("seq")), "tiles")
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,15 +39,15 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def remapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of the candidates' tumour reads against 150 bases around each end. Reads whose mapping quality 7 divides were taken at their mates' places."""
-    some, tiles = candidates(spark, sf_dir), reference(spark, sf_dir)
+    some, tiles = stored(candidates(spark, sf_dir), "candidates"), reference(spark, sf_dir)
     # names repeat in the table: with both places they don't
     unique = lambda low, high: F.concat_ws("@", "qname", F.col(low).cast("string"), F.col(high).cast("string"))
     pairs = view(spark, sf_dir, READ_PAIRS).withColumn("qname", unique("pos_l", "pos_h"))
     names = spark.sql(NAMES, pairs=pairs).filter("sample = 'T1'").join(some.select("id"), "id", "left_semi").select("id", "qname").distinct()
     reads = view(spark, sf_dir, ALIGNMENTS).withColumn("qname", F.when(F.col("mate") == 1, unique("pos", "mate_pos")).otherwise(unique("mate_pos", "pos")))
-    reads = reads.filter("sample = 'T1'").join(names.select("qname").distinct(), "qname", "left_semi")
+    reads = reads.filter("sample = 'T1'")
     astray = F.col("mapq") % 7 == 0
-    regions = reads.select(F.when(astray, F.col("mate_chr")).otherwise(F.col("chr")).alias("at_chr"), F.when(astray, F.col("mate_pos")).otherwise(F.col("pos")).alias("lo"), *(c for c in reads.columns if c not in ("tlen", "cigar")))
+    regions = reads.select(F.when(astray, F.col("mate_chr")).otherwise(F.col("chr")).alias("at_chr"), F.when(astray, F.col("mate_pos")).otherwise(F.col("pos")).alias("lo"), *(c for c in reads.columns if c not in ("tlen", "cigar", "sample", "mapq")))
     regions = regions.withColumn("hi", F.col("lo") + F.col("read_len") - 1).withColumnRenamed("chr", "own_chr").withColumnRenamed("at_chr", "chr")
     bodies = remap.fetch_regions(regions, tiles).drop("chr", "lo", "hi").withColumnRenamed("own_chr", "chr")
     return remap.remap_calls(some, bodies, names, tiles, slop=150)

@@ -88,3 +88,28 @@ def test_calls_keep_reads_that_fit_their_own_place(spark):
     kept = results.filter_remap(table.selectExpr("*", "4 AS score"), out.selectExpr("*", "0 AS microbes"))
     assert {r.id for r in kept.collect()} == {"good", "indel"}
     assert np.all([r.low_footprint is None or r.low_footprint > 0 for r in got.values()])
+
+
+def test_equal_texts_of_one_end_are_aligned_once(spark, monkeypatch):
+    """Many reads of one text are one alignment; they count as many reads."""
+    from svweave.operators import remap
+
+    aligned, plain = [], remap.local_scores
+
+    def counted(pairs, **scoring):
+        aligned.append(pairs.count())
+        return plain(pairs, **scoring)
+
+    monkeypatch.setattr(remap, "local_scores", counted)
+    text = "".join("ACGT"[(i * i * 7 + i // 3) % 4] for i in range(2000))
+    tiles = remap.tiles(spark.createDataFrame([(1, text)], "chr long, seq string"), 64)
+    calls = spark.createDataFrame([(7, 1, 300, "+", 1, 1500, "-")], "id long, chr1 long, pos1 long, strand1 string, chr2 long, pos2 long, strand2 string")
+    rows = [(f"r{k}", m, 1, p, s, 1, q, t, 20, text[p - 1 : p + 19]) for k in range(40) for m, p, s, q, t in ((1, 290, "+", 1495, "-"), (2, 1495, "-", 290, "+"))]
+    reads = spark.createDataFrame(rows, "qname string, mate int, chr long, pos long, strand string, mate_chr long, mate_pos long, mate_strand string, read_len long, seq string")
+    names = spark.createDataFrame([(7, f"r{k}") for k in range(40)], "id long, qname string")
+    (out,) = remap.remap_calls(calls, reads, names, tiles, slop=100, size=64).collect()
+    assert (out.low_footprint, out.high_footprint) == (20, 20) and aligned == [2, 2]
+    own = [text[199:400], text[1399:1600]]
+    for k, (score, p) in enumerate(((out.low_score, 290), (out.high_score, 1495))):
+        read = text[p - 1 : p + 19]
+        assert score == 40 - int(remap.batch_scores([read], [own[1 - k]], 2, -2, 6, 1)[0])
