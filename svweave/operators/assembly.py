@@ -27,9 +27,8 @@ def unitigs(seqs: DataFrame, k: int, by: list[str], cutoff: float = 1.001) -> tu
     """
     if k % 2 == 0:
         raise ValueError("k must be odd, or a k-mer could be its own reverse complement")
-    pure = F.col("kmer").rlike("^[ACGT]+$")
-    nodes = stored(oriented(kmers(seqs, k, by, cutoff).filter(pure), by), "kmers")
-    joins = oriented(kmers(seqs, k + 1, by, cutoff).filter(pure), by)
+    nodes = stored(oriented(kmers(seqs, k, by, cutoff, pure=True), by), "kmers")
+    joins = oriented(kmers(seqs, k + 1, by, cutoff, pure=True), by)
     arcs = stored(joins.select(*by, F.expr(f"substring(kmer, 1, {k})").alias("u"), F.expr(f"substring(kmer, 2, {k})").alias("v"), F.col("n").alias("weight")), "arcs")
     # a (k+1)-mer above the cutoff has both its k-mers above it; at most four arcs leave or enter a k-mer
     outs, ins = arcs.groupBy(*by, "u").agg(F.count("*").alias("n_out")), arcs.groupBy(*by, "v").agg(F.count("*").alias("n_in"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import expr
+from . import kmer_counts
 
 #: Letters of a piece: a long sequence is cut into overlapping pieces first, as finding a place in a string costs its offset.
 PIECE = 256
@@ -30,9 +31,20 @@ def kmer_rows(seqs: DataFrame, k: int, seq: str = "seq", strandless: bool = Fals
     return pieces.select("*", places).select(*rest, (F.col("_piece") * PIECE + F.col("_at")).cast("long").alias("pos"), kmer.alias("kmer"))
 
 
-def kmers(seqs: DataFrame, k: int, by: list[str], cutoff: float = 1.001) -> DataFrame:
-    """``*by, kmer, n``: how often each k-mer, or its reverse complement if that is smaller, occurs; above ``cutoff`` times."""
-    return kmer_rows(seqs.select(*by, "seq"), k, strandless=True).groupBy(*by, "kmer").agg(F.count("*").alias("n")).filter(F.col("n") > cutoff)
+def kmers(seqs: DataFrame, k: int, by: list[str], cutoff: float = 1.001, pure: bool = False) -> DataFrame:
+    """``*by, kmer, n``: how often each k-mer, or its reverse complement if that is smaller, occurs; above ``cutoff`` times.
+
+    With ``pure`` those of A, C, G, T alone. These are counted as numbers if ``k`` is 31 at most (:mod:`.kmer_counts`).
+    """
+    if kmer_counts.M <= k <= 31:
+        counted = kmer_counts.pure_kmers(seqs.select(*by, "seq"), k, by, cutoff)
+        if pure:
+            return counted
+        seqs, rest = seqs.filter(F.col("seq").rlike("[^ACGT]")), F.col("kmer").rlike("[^ACGT]")
+    else:
+        counted, rest = None, F.col("kmer").rlike("^[ACGT]+$") if pure else F.lit(True)
+    others = kmer_rows(seqs.select(*by, "seq"), k, strandless=True).filter(rest).groupBy(*by, "kmer").agg(F.count("*").alias("n")).filter(F.col("n") > cutoff)
+    return others if counted is None else counted.unionByName(others)
 
 
 def letters(text: Column, kept: str) -> Column:

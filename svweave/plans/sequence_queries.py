@@ -50,7 +50,7 @@ def kmer_sql(table: str, key: str, k: int) -> str:
 
 @query(f"SELECT source, least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) AS kmer, count(*) AS n FROM {kmer_sql('documents', 'source', 21)} GROUP BY 1, 2 HAVING count(*) > 1")
 def h01_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequences.kmers(sequence_table(spark, sf_dir, "documents", "source"), 21, ["source"])
+    return sequences.kmers(sequence_table(spark, sf_dir, "documents", "source"), 21, ["source"], pure=True)
 
 
 @query(f"""WITH h AS (SELECT doc_id, item_id, r.pos, r.pos - l.pos AS diagonal FROM {kmer_sql('documents', 'doc_id', 40)} r JOIN {kmer_sql('benchmark', 'item_id', 40)} l ON r.kmer = l.kmer),
