@@ -20,11 +20,13 @@ def compare_calls(old: DataFrame, new: DataFrame, slop: int = 500) -> DataFrame:
 
 
 def exclude_overlapping(reads: DataFrame, regions: DataFrame) -> DataFrame:
-    """Reads ``qname, chr, start, end`` that meet none of the regions ``chr, start, end`` (0-based, half-open)."""
-    a = reads.select("qname", "chr", "start", (F.col("end") - 1).alias("last"))
+    """Reads ``qname, chr, start, end`` that meet none of the regions ``chr, start, end`` (0-based, half-open).
+
+    Each stretch that reads cover alike is compared once, so reads themselves aren't multiplied."""
+    a = reads.select("chr", "start", (F.col("end") - 1).alias("last")).distinct()
     b = regions.select("chr", F.col("start").alias("r_start"), (F.col("end") - 1).alias("r_last")).distinct()
-    met = interval_join(a, b, ["chr"], "start", "last", "r_start", "r_last").select("qname", "chr", "start")
-    return reads.join(met, ["qname", "chr", "start"], "left_anti").select(*reads.columns)
+    met = interval_join(a, b, ["chr"], "start", "last", "r_start", "r_last").select("chr", "start", (F.col("last") + 1).alias("end")).distinct()
+    return reads.join(met, ["chr", "start", "end"], "left_anti").select(*reads.columns)
 
 
 def segment_medians(points: DataFrame, segments: DataFrame, value: str, min_bins: int = 10, size: int = 500) -> DataFrame:
