@@ -13,22 +13,22 @@ from . import kmer_counts
 PIECE = 256
 
 
-def kmer_rows(seqs: DataFrame, k: int, seq: str = "seq", strandless: bool = False) -> DataFrame:
-    """A row ``pos, kmer`` (``pos`` from 0) for each place of each sequence; sequences shorter than ``k`` have none.
+def kmer_rows(seqs: DataFrame, k: int, seq: str = "seq", strandless: bool = False, step: int = 1) -> DataFrame:
+    """A row ``pos, kmer`` (``pos`` from 0) for each place, or each ``step``-th, of each sequence; sequences shorter than ``k`` have none.
 
     ``strandless`` gives the smaller of each k-mer and its reverse complement, which is cut from that of the whole piece.
     """
-    rest = [c for c in seqs.columns if c != seq]
+    rest, size = [c for c in seqs.columns if c != seq], max(PIECE // step, 1) * step
     long_enough = seqs.filter(F.length(seq) >= k)
-    starts = F.explode(F.sequence(F.lit(0), F.floor((F.length(seq) - k) / PIECE).cast("int"))).alias("_piece")
-    pieces = long_enough.select(*rest, seq, starts).select(*rest, "_piece", F.substring(F.col(seq), F.col("_piece") * PIECE + 1, F.lit(PIECE + k - 1)).alias("_text"))
+    starts = F.explode(F.sequence(F.lit(0), F.floor((F.length(seq) - k) / size).cast("int"))).alias("_piece")
+    pieces = long_enough.select(*rest, seq, starts).select(*rest, "_piece", F.substring(F.col(seq), F.col("_piece") * size + 1, F.lit(size + k - 1)).alias("_text"))
     n = F.length("_text") - k
     if strandless:
         pieces = pieces.withColumn("_back", expr.revcomp(F.col("_text")))
     at = lambda text, place: F.substring(F.col(text), place + 1, F.lit(k))
-    places = F.explode(F.sequence(F.lit(0), n)).alias("_at")
+    places = F.explode(F.sequence(F.lit(0), n, F.lit(step))).alias("_at")
     kmer = F.least(at("_text", F.col("_at")), at("_back", n - F.col("_at"))) if strandless else at("_text", F.col("_at"))
-    return pieces.select("*", places).select(*rest, (F.col("_piece") * PIECE + F.col("_at")).cast("long").alias("pos"), kmer.alias("kmer"))
+    return pieces.select("*", places).select(*rest, (F.col("_piece") * size + F.col("_at")).cast("long").alias("pos"), kmer.alias("kmer"))
 
 
 def kmers(seqs: DataFrame, k: int, by: list[str], cutoff: float = 1.001, pure: bool = False) -> DataFrame:
@@ -63,8 +63,14 @@ def gc_bins(seqs: DataFrame, size: int = 500) -> DataFrame:
 
 def contaminant_hits(reads: DataFrame, library: DataFrame, min_match: int = 80, k: int = 40) -> DataFrame:
     """``read_id, item_id, score``: the library entry that shares the longest string with each read, of ``min_match`` letters
-    at least; ties go to the smaller entry. Shared k-mers seed the search; seeds in a row on one diagonal are one string."""
+    at least; ties go to the smaller entry. Shared k-mers seed the search; seeds in a row on one diagonal are one string.
+
+    A string of ``min_match`` letters has a k-mer at one of the read's places that ``min_match - k + 1`` divides: reads without a
+    shared one there have none and are left out first."""
     seeds = kmer_rows(library.select("item_id", "seq"), k).withColumnRenamed("pos", "library_pos")
+    sampled = kmer_rows(reads.select("read_id", "seq"), k, step=max(min_match - k + 1, 1))
+    some = sampled.join(seeds.select("kmer").distinct(), "kmer", "left_semi").select("read_id").distinct()
+    reads = reads.join(some, "read_id", "left_semi")
     hits = kmer_rows(reads.select("read_id", "seq"), k).join(seeds, "kmer").select("read_id", "item_id", "pos", (F.col("pos") - F.col("library_pos")).alias("diagonal"))
     line = Window.partitionBy("read_id", "item_id", "diagonal").orderBy("pos")
     runs = hits.withColumn("run", F.col("pos") - F.row_number().over(line)).groupBy("read_id", "item_id", "diagonal", "run").agg((F.count("*") + k - 1).alias("score"))

@@ -53,3 +53,30 @@ def test_regions_and_segments(spark):
     segments = spark.createDataFrame([(1, 1, 0, 5000), (2, 1, 0, 4500), (3, 2, 0, 10)], "seg_id long, chr int, start long, end long")
     got = {r["seg_id"]: (r["n_win"], r["median"]) for r in compare.segment_medians(points, segments, "v").collect()}
     assert got == {1: (10, 4.5), 2: (9, None), 3: (0, None)}
+
+
+def test_a_string_of_the_least_length_is_found_at_every_place(spark):
+    import random
+
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choices("ACGT", k=n))
+    entry = letters(200)
+    long, short = entry[60:140], entry[60:139]
+    # the letters on either side of the string differ from the entry's
+    other = {a: "CGTA"["ACGT".index(a)] for a in "ACGT"}
+    rows = [(2 * p, letters(p) + other[entry[59]] + long + other[entry[140]] + letters(300)) for p in range(90)]
+    rows += [(2 * p + 1, letters(p) + other[entry[59]] + short + other[entry[139]] + letters(300)) for p in range(90)]
+    reads = spark.createDataFrame(rows, "read_id long, seq string")
+    found = sequences.contaminant_hits(reads, spark.createDataFrame([(1, entry)], "item_id long, seq string")).collect()
+    assert {(r.read_id, r.item_id, r.score) for r in found} == {(2 * p, 1, 80) for p in range(90)}
+    every = sequences.kmer_rows(reads, 40, step=41).groupBy("read_id").agg({"pos": "collect_set"}).collect()
+    assert all(sorted(r[1]) == list(range(0, len(rows[r.read_id // 2 + 90 * (r.read_id % 2)][1]) - 39, 41)) for r in every)
+
+
+def test_reads_of_one_name_and_start_are_excluded_by_their_own_ends(spark):
+    from svweave.operators import compare
+
+    reads = spark.createDataFrame([("a", 1, 10, 15), ("a", 1, 10, 25), ("b", 1, 10, 20), ("c", 2, 10, 40), (None, 1, 50, 60)], "qname string, chr long, start long, end long")
+    regions = spark.createDataFrame([(1, 20, 30), (1, 20, 30)], "chr long, start long, end long")
+    left = compare.exclude_overlapping(reads, regions).collect()
+    assert sorted(map(repr, map(tuple, left))) == sorted(map(repr, [("a", 1, 10, 15), ("b", 1, 10, 20), ("c", 2, 10, 40), (None, 1, 50, 60)]))
