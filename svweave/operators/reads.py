@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import expr
-from .interval import interval_join
+from .interval import interval_islands, interval_join
 
 
 def limit_refs(reads: DataFrame, refs: DataFrame) -> DataFrame:
@@ -68,8 +68,19 @@ def segment_mean_depth(reads: DataFrame, segments: DataFrame) -> DataFrame:
     return segments.join(bases, "seg_id", "left").select("seg_id", (F.coalesce("bases", F.lit(0)) / (F.col("end") - F.col("start")) + 0.01).alias("mean_depth"))
 
 
+def united(features: DataFrame) -> DataFrame:
+    """``chr, start, end`` of the islands of overlapping features; empty ones stay as they are."""
+    known = features.select("chr", "start", "end").distinct()
+    islands = interval_islands(known.filter("start < end"), ["chr"], "start", "end", ["start", "end"])
+    whole = islands.groupBy("chr", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return whole.select("chr", "start", "end").unionByName(known.filter("start >= end"))
+
+
 def covered_by(reads: DataFrame, features: DataFrame, max_uncovered: int = 10) -> DataFrame:
-    """Reads ``qname, mate, chr, start, end`` of which the union of features leaves at most ``max_uncovered`` bases free."""
+    """Reads ``qname, mate, chr, start, end`` of which the union of features leaves at most ``max_uncovered`` bases free.
+
+    Features that overlap are joined first, so a read meets their union and not each of them."""
+    features = united(features)
     a = reads.select("qname", "mate", "chr", "start", (F.col("end") - 1).alias("last"))
     b = features.select("chr", F.col("start").alias("f_start"), (F.col("end") - 1).alias("f_last")).distinct()
     met = interval_join(a, b, ["chr"], "start", "last", "f_start", "f_last")

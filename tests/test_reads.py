@@ -45,3 +45,13 @@ def test_running_median(spark):
     points = [(1, k, float(v)) for k, v in enumerate([9, 1, 2, 8, 3, 4, 0])] + [(2, k, float(v)) for k, v in enumerate([5, 1, 7])]
     out = reads.running_median(spark.createDataFrame(points, "chr long, bin long, v double"), "v").orderBy("chr", "bin").collect()
     assert [r.smooth for r in out] == [2, 2, 3, 3, 3, 3, 3, 5, 1, 7]
+
+
+def test_a_read_meets_the_union_of_overlapping_features_once(spark):
+    from svweave.operators import reads
+
+    features = spark.createDataFrame([(1, 100 + k, 160 + k) for k in range(40)] + [(1, 199, 205), (1, 300, 300), (2, 0, 10), (None, 5, 9)], "chr long, start long, end long")
+    whole = {tuple(r) for r in reads.united(features).collect()}
+    assert whole == {(1, 100, 199), (1, 199, 205), (1, 300, 300), (2, 0, 10), (None, 5, 9)}
+    mine = spark.createDataFrame([("a", 1, 1, 110, 210), ("b", 1, 1, 110, 216), ("c", 2, 2, 0, 20), ("d", 1, 1, 296, 304), ("e", 1, 1, 50, 100)], "qname string, mate int, chr long, start long, end long")
+    assert {tuple(r) for r in reads.covered_by(mine, features).collect()} == {("a", 1, 95), ("c", 2, 10), ("d", 1, 0)}
