@@ -9,6 +9,7 @@ from ..functions import expr
 from ..sources.shared import stored
 from .chains import chain_places
 from .sequences import kmers
+from .unitig_parts import LONGEST_K, unitig_parts
 
 
 def oriented(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -27,31 +28,69 @@ def unitigs(seqs: DataFrame, k: int, by: list[str], cutoff: float = 1.001) -> tu
     """
     if k % 2 == 0:
         raise ValueError("k must be odd, or a k-mer could be its own reverse complement")
+    parts = unitig_parts(seqs, k, by, cutoff) if k <= LONGEST_K else _single_parts(seqs, k, by, cutoff)
+    parts = stored(parts, "parts")
+    placed = stored(chain_places(_joined(parts, by), by, rank="rank"), "places")
+    if not placed.filter("cyclic").isEmpty():
+        opened = stored(_opened(parts.join(placed.filter("cyclic").select(*by, "node", F.col("head").alias("smallest")), [*by, "node"]), k), "opened")
+        parts = parts.join(placed.filter("NOT cyclic").select(*by, "node"), [*by, "node"], "left_semi").unionByName(opened)
+        placed = stored(placed.filter("NOT cyclic").unionByName(chain_places(_joined(opened, by), by, rank="rank")), "places")
+    whole = placed.select(*by, "node", "head", "place").join(parts.select(*by, "node", "seq", "n_kmers", "coverage", "outs"), [*by, "node"])
+    rows = whole.groupBy(*by, "head").agg(F.array_sort(F.collect_list(F.struct("place", "seq"))).alias("parts"), F.sum("n_kmers").alias("n_kmers"), F.sum("coverage").alias("coverage"), F.max_by("outs", "place").alias("outs"))
+    seq = F.array_join(F.transform("parts", lambda p: F.when(p["place"] == 0, p["seq"]).otherwise(F.substring(p["seq"], F.lit(k), F.length(p["seq"])))), "")
+    rows = rows.select(*by, seq.alias("seq"), "n_kmers", "coverage", "outs")
+    named = rows.select(*by, F.substring("seq", 1, k).alias("vertex"), expr.revcomp(F.substring("seq", -k, k)).alias("twin"), "seq", "n_kmers", "coverage", "outs")
+    named = stored(named, "vertices")
+    # an arc that doesn't go on inside a vertex leads to the first k-mer of one
+    arcs = named.select(*by, "vertex", "seq", F.explode("outs").alias("out"))
+    edges = arcs.select(*by, F.col("vertex").alias("source"), F.concat(F.substring("seq", 1 - k, k - 1) if k > 1 else F.lit(""), "out.letter").alias("target"), F.col("out.weight").alias("weight"))
+    return named.drop("outs"), stored(edges, "edges")
+
+
+def _joined(parts: DataFrame, by: list[str]) -> DataFrame:
+    """``*by, node, prev, rank``: a part's ``next`` is joined to it if no other arc leads there."""
+    rows = parts.select(*by, "node", "single", F.col("least").alias("rank"))
+    before = parts.filter("next IS NOT NULL").select(*by, F.col("next").alias("node"), F.col("node").alias("prev"))
+    alone = rows.filter("single").join(before, [*by, "node"], "left").select(*by, "node", "prev", "rank")
+    return alone.unionByName(rows.filter("NOT single").select(*by, "node", F.lit(None).cast(parts.schema["node"].dataType).alias("prev"), "rank"))
+
+
+def _opened(parts: DataFrame, k: int) -> DataFrame:
+    """Parts of circles, those with the circle's ``smallest`` k-mer or its reverse complement cut there."""
+    node = parts.schema["node"].dataType
+    here = F.col("least") == F.col("smallest")
+    rest = parts.filter(~here).drop("smallest")
+    cuts = F.filter("cuts", lambda c: (c["at"] > 0) & (c["at"] < F.col("n_kmers")))
+    starts = F.array_sort(F.concat(F.array(F.struct(F.lit(0).alias("at"), F.col("node").alias("node"), F.lit(0).cast("long").alias("before"), F.lit(0).cast("long").alias("weight"))), cuts))
+    stops = F.array_append(F.slice(starts, 2, F.size(starts)), F.struct(F.col("n_kmers").cast("int").alias("at"), F.lit(None).cast(node).alias("node"), F.col("coverage").alias("before"), F.lit(0).cast("long").alias("weight")))
+    at_start, at_end = F.exists("cuts", lambda c: c["at"] == 0), F.exists("cuts", lambda c: c["at"] == F.col("n_kmers"))
+    pieces = parts.filter(here).withColumns({"at_start": at_start, "at_end": at_end}).select("*", F.explode(F.arrays_zip(starts.alias("a"), stops.alias("z"))).alias("p"))
+    low, high, last = F.col("p.a.at"), F.col("p.z.at"), F.col("p.z.node").isNull()
+    changed = {
+        "node": F.col("p.a.node"), "next": F.when(last & ~F.col("at_end"), F.col("next")), "single": F.col("single") & (low == 0) & ~F.col("at_start"),
+        "outs": F.when(last, F.col("outs")).otherwise(F.array(F.struct(F.substring(F.col("seq"), high + k, F.lit(1)).alias("letter"), F.col("p.z.weight").alias("weight")))),
+        "seq": F.substring(F.col("seq"), low + 1, high - low + k - 1), "n_kmers": (high - low).cast("long"), "coverage": F.col("p.z.before") - F.col("p.a.before"),
+    }
+    return rest.unionByName(pieces.select(*(changed.get(c, F.col(c)).alias(c) for c in rest.columns)))
+
+
+def _single_parts(seqs: DataFrame, k: int, by: list[str], cutoff: float) -> DataFrame:
+    """As :func:`unitig_parts`, for a k-mer of any length each, by its text."""
     nodes = stored(oriented(kmers(seqs, k, by, cutoff, pure=True), by), "kmers")
     joins = oriented(kmers(seqs, k + 1, by, cutoff, pure=True), by)
     arcs = stored(joins.select(*by, F.expr(f"substring(kmer, 1, {k})").alias("u"), F.expr(f"substring(kmer, 2, {k})").alias("v"), F.col("n").alias("weight")), "arcs")
     # a (k+1)-mer above the cutoff has both its k-mers above it; at most four arcs leave or enter a k-mer
-    outs, ins = arcs.groupBy(*by, "u").agg(F.count("*").alias("n_out")), arcs.groupBy(*by, "v").agg(F.count("*").alias("n_in"))
-    judged = arcs.join(outs, [*by, "u"]).join(ins, [*by, "v"])
-    links = judged.filter((F.col("n_out") == 1) & (F.col("n_in") == 1) & (F.col("u") != F.col("v")) & (F.col("u") != expr.revcomp(F.col("v")))).select(*by, F.col("v").alias("kmer"), F.col("u").alias("prev"))
-    chained = stored(nodes.join(links, [*by, "kmer"], "left").withColumn("rank", F.least("kmer", expr.revcomp(F.col("kmer")))).withColumnRenamed("kmer", "node"), "chains")
-    placed = stored(chain_places(chained.select(*by, "node", "prev", "rank"), by, rank="rank"), "places")
-    if not placed.filter("cyclic").isEmpty():
-        round_ = placed.filter("cyclic").select(*by, "node", F.col("head").alias("smallest")).join(chained, [*by, "node"])
-        cut = (F.col("node") == F.col("smallest")) | (F.col("prev") == expr.revcomp(F.col("smallest")))
-        opened = round_.withColumn("prev", F.when(~cut, F.col("prev")))
-        placed = stored(placed.filter("NOT cyclic").unionByName(chain_places(opened.select(*by, "node", "prev", "rank"), by, rank="rank")), "places")
-    whole = placed.join(nodes.withColumnRenamed("kmer", "node"), [*by, "node"])
-    parts = F.array_sort(F.collect_list(F.struct("place", "node", "n")))
-    rows = whole.groupBy(*by, F.col("head").alias("vertex")).agg(parts.alias("parts"))
-    tail = F.array_join(F.transform("parts", lambda p: F.substring(p["node"], k, 1)), "")
-    seq = F.concat(F.col("vertex"), F.substring(tail, F.lit(2), F.length(tail)))
-    coverage = F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["n"])
-    vertices = rows.select(*by, "vertex", expr.revcomp(F.element_at("parts", -1)["node"]).alias("twin"), seq.alias("seq"), F.size("parts").cast("long").alias("n_kmers"), coverage.alias("coverage"))
-    vertices = stored(vertices, "vertices")
-    first = placed.filter("place = 0").select(*by, F.col("node").alias("v"), F.col("head").alias("target"))
-    last = vertices.select(*by, expr.revcomp(F.col("twin")).alias("u"), F.col("vertex").alias("source"))
-    return vertices, stored(arcs.join(last, [*by, "u"]).join(first, [*by, "v"]).select(*by, "source", "target", "weight"), "edges")
+    outs = arcs.groupBy(*by, F.col("u").alias("kmer")).agg(F.collect_list(F.struct(F.substring("v", -1, 1).alias("letter"), "weight")).alias("outs"), F.min("v").alias("v"))
+    ins = arcs.groupBy(*by, F.col("v").alias("kmer")).agg(F.count("*").alias("n_in"))
+    rows = nodes.join(outs, [*by, "kmer"], "left").join(ins, [*by, "kmer"], "left")
+    back = expr.revcomp(F.col("kmer"))
+    goes_on = (F.size("outs") == 1) & (F.col("v") != F.col("kmer")) & (F.col("v") != back)
+    at = F.when(F.col("kmer") < back, 0).otherwise(1)
+    cut = F.struct(at.alias("at"), F.when(at == 0, F.col("kmer")).alias("node"), F.when(at == 0, F.lit(0)).otherwise(F.col("n")).cast("long").alias("before"), F.lit(0).cast("long").alias("weight"))
+    return rows.select(
+        *by, F.col("kmer").alias("node"), F.when(goes_on, F.col("v")).alias("next"), F.coalesce(F.col("n_in") == 1, F.lit(False)).alias("single"), F.col("kmer").alias("seq"), F.lit(1).cast("long").alias("n_kmers"),
+        F.col("n").cast("long").alias("coverage"), F.least("kmer", back).alias("least"), F.array(cut).alias("cuts"), F.coalesce("outs", F.array().cast("array<struct<letter: string, weight: bigint>>")).alias("outs"),
+    )
 
 
 def degrees(vertices: DataFrame, edges: DataFrame, by: list[str]) -> DataFrame:

@@ -4,38 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..sources.shared import stored
+from ..sources.shared import folder
 
 
-def _jumped(ptr: DataFrame, by: list[str]) -> DataFrame:
-    """One round: rows that point at a row which points on take over its pointer; ``least`` covers what lies between."""
-    there = ptr.select(*(F.col(c).alias("_" + c) for c in by), F.col("node").alias("_node"), F.col("ptr").alias("_ptr"), F.col("steps").alias("_steps"), F.col("least").alias("_least"))
+def _jumped(ptr: DataFrame, table: DataFrame, by: list[str]) -> DataFrame:
+    """One round: rows that point at a row of ``table`` which points on take over its pointer; ``least`` covers what lies between."""
+    there = table.select(*(F.col(c).alias("_" + c) for c in by), F.col("node").alias("_node"), F.col("ptr").alias("_ptr"), F.col("steps").alias("_steps"), F.col("least").alias("_least"))
     on = F.col("ptr") == F.col("_node")
     for c in by:
         on = on & F.col(c).eqNullSafe(F.col("_" + c))
     moved = F.col("_ptr").isNotNull()
-    met = ptr.join(there, on, "left").select(
-        *by, "node", F.when(moved, F.col("_ptr")).otherwise(F.col("ptr")).alias("ptr"), (F.col("steps") + F.when(moved, F.col("_steps")).otherwise(0)).alias("steps"),
-        F.least("least", "_least").alias("least"), moved.alias("open"), F.coalesce("ptr", "node").alias("head"),
+    return ptr.join(there, on).select(
+        *by, "node", F.when(moved, F.col("_ptr")).otherwise(F.col("ptr")).alias("ptr"), (F.col("steps") + F.when(moved, F.col("_steps")).otherwise(0)).alias("steps"), F.least("least", "_least").alias("least"), moved.alias("open"),
     )
-    return stored(met, "jumps")
 
 
 def chain_places(nodes: DataFrame, by: list[str], rank: str | None = None) -> DataFrame:
     """``*by, node, head, place, cyclic`` of ``nodes`` (``*by, node, prev``): where a chain begins and a row's distance from there.
 
-    ``prev`` is the row before (null at a chain's head); no two rows share one. Rows on a circle are marked and have no place:
-    their ``head`` is the least ``rank`` (default ``node``) on it. Rounds grow with the logarithm of the longest chain.
+    ``prev`` is the row before, one of ``nodes`` (null at a chain's head); no two rows share one. Rows on a circle are marked and have no
+    place: their ``head`` is the least ``rank`` (default ``node``) on it. Rounds grow with the logarithm of the longest chain; each
+    writes the rows alone whose chain's head isn't met yet.
     """
     least = F.col(rank) if rank else F.col("node")
-    start = nodes.select(*by, "node", F.col("prev").alias("ptr"), F.when(F.col("prev").isNull(), 0).otherwise(1).cast("long").alias("steps"), least.alias("least"))
-    ptr, n = stored(start, "jumps"), None
+    met = nodes.select(*by, "node", F.col("prev").alias("ptr"), F.when(F.col("prev").isNull(), 0).otherwise(1).cast("long").alias("steps"), least.alias("least"), F.col("prev").isNotNull().alias("open"))
+    path, rounds, before, circling = folder(nodes.sparkSession, "jumps"), 0, None, False
     while True:
-        ptr = _jumped(ptr, by)
-        left, every = ptr.agg(F.count_if("open"), F.count("*")).first()
-        n = 1 if n is None else 2 * n
-        if not left or n > every:  # what still moves after so many steps runs in circles
+        met.withColumn("round", F.lit(rounds)).write.parquet(f"{path}/{rounds}")
+        # rows that met their head stay as they are, the others are those of the last round
+        read = nodes.sparkSession.read.schema(T.StructType([*met.schema, T.StructField("round", T.IntegerType())]))
+        every = read.parquet(*(f"{path}/{r}" for r in range(rounds + 1))).filter((F.col("round") == rounds) | ~F.col("open"))
+        ptr = read.parquet(f"{path}/{rounds}").filter("open")
+        left = ptr.count()
+        # each round some rows of an open chain meet its head: if none did, all that are left run in circles
+        circling = left == before
+        if not left or (circling and 1 << rounds > left):
             break
+        met, before, rounds = _jumped(ptr, ptr if circling else every, by), left, rounds + 1
     circle = F.col("open")
-    return ptr.select(*by, "node", F.when(circle, F.col("least")).otherwise(F.coalesce("ptr", "node")).alias("head"), F.when(~circle, F.col("steps")).alias("place"), circle.alias("cyclic"))
+    return every.select(*by, "node", F.when(circle, F.col("least")).otherwise(F.coalesce("ptr", "node")).alias("head"), F.when(~circle, F.col("steps")).alias("place"), circle.alias("cyclic"))

@@ -48,17 +48,22 @@ def texts_of(codes: np.ndarray, k: int) -> pa.Array:
     return pa.StringArray.from_buffers(len(codes), pa.py_buffer((np.arange(len(codes) + 1) * k).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(letters)))
 
 
-def pieces(text: bytes, k: int) -> Iterator[tuple[int, bytes]]:
-    """A bucket and its pieces of ``text``, packed: their number, their k-mers' numbers, and letters of two bits. K-mers with other letters are left out."""
+def pieces(text: bytes, k: int, m: int = M, around: bool = False, skip: list[int] = ()) -> Iterator[tuple[int, bytes]]:
+    """A bucket and its pieces of ``text``, packed: their number, their k-mers' numbers, and letters of two bits. K-mers with other letters are left out.
+
+    With ``around`` a piece has the letter before and the letter after it too, and a byte that tells if these count (bits 1 and 2).
+    K-mers at ``skip`` are left out.
+    """
     letters = CODES[np.frombuffer(text, np.uint8)]
     n = len(letters) - k + 1
     if n <= 0:
         return
     wrong = np.concatenate([[0], np.cumsum(letters > 3)])
     fine = wrong[k:] == wrong[:-k]
-    small = canonical(codes_at(letters & 3, M), M).astype(np.uint64)
+    fine[list(skip)] = False
+    small = canonical(codes_at(letters & 3, m), m).astype(np.uint64)
     rank = (small * np.uint64(0x9E3779B97F4A7C15)) ^ (small >> np.uint64(7))
-    width, size, low = k - M + 1, 1, rank
+    width, size, low = k - m + 1, 1, rank
     while 2 * size <= width:  # the least of a window is that of two shorter ones
         low, size = np.minimum(low[:-size], low[size:]), 2 * size
     low = np.minimum(low[:n], low[width - size :][:n])
@@ -76,26 +81,36 @@ def pieces(text: bytes, k: int) -> Iterator[tuple[int, bytes]]:
     bucket = ((low[first] >> np.uint64(33)) % np.uint64(BUCKETS)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     first, count, bucket = first[order], count[order], bucket[order]
-    size = -(-(count + k - 1) // 4)
+    size = -(-(count + k - 1 + 2 * around) // 4)
     upto = np.concatenate([[0], np.cumsum(size)])
-    at = np.arange(4 * upto[-1]) + np.repeat(first - 4 * upto[:-1], 4 * size)
-    four = (letters & 3)[np.minimum(at, len(letters) - 1)].reshape(-1, 4)
+    at = np.arange(4 * upto[-1]) + np.repeat(first - around - 4 * upto[:-1], 4 * size)
+    four = (letters & 3)[np.clip(at, 0, len(letters) - 1)].reshape(-1, 4)
     packed = ((four[:, 0] << 6) | (four[:, 1] << 4) | (four[:, 2] << 2) | four[:, 3]).astype(np.uint8).tobytes()
-    numbers = count.astype(np.uint8).tobytes()
+    numbers, sides = count.astype(np.uint8).tobytes(), b""
+    if around:
+        ended = np.concatenate([letters, [4]])  # the last stands for what is before and after the text, too
+        sides = ((ended[first - 1] < 4) | ((ended[np.minimum(first + count + k - 1, len(letters))] < 4) << 1)).astype(np.uint8).tobytes()
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)]):
-        yield int(bucket[a]), (b - a).to_bytes(4, "little") + numbers[a:b] + packed[upto[a] : upto[b]]
+        yield int(bucket[a]), (b - a).to_bytes(4, "little") + numbers[a:b] + sides[a:b] + packed[upto[a] : upto[b]]
 
 
-def unpacked(rows: list[bytes], k: int) -> np.ndarray:
-    """Numbers of the canonical k-mers of packed pieces."""
+def letters_of(rows: list[bytes], k: int, around: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Letters of packed pieces, the place of each k-mer in them, and the pieces' numbers of k-mers and bytes for their sides."""
     counts = [np.frombuffer(r, np.uint8, int.from_bytes(r[:4], "little"), 4) for r in rows]
-    raw = np.frombuffer(b"".join(r[4 + len(c) :] for r, c in zip(rows, counts)), np.uint8)
+    sides = [np.frombuffer(r, np.uint8, len(c), 4 + len(c)) for r, c in zip(rows, counts)] if around else [np.zeros(0, np.uint8)]
+    raw = np.frombuffer(b"".join(r[4 + (1 + around) * len(c) :] for r, c in zip(rows, counts)), np.uint8)
     count = np.concatenate(counts).astype(np.int64)
     letters = np.stack([raw >> 6, (raw >> 4) & 3, (raw >> 2) & 3, raw & 3], 1).reshape(-1)
-    size = 4 * (-(-(count + k - 1) // 4))
-    first = np.cumsum(size) - size
+    size = 4 * (-(-(count + k - 1 + 2 * around) // 4))
+    first = np.cumsum(size) - size + around
     at = np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)
+    return letters, at, count, np.concatenate(sides)
+
+
+def unpacked(rows: list[bytes], k: int) -> np.ndarray:
+    """Numbers of the canonical k-mers of packed pieces."""
+    letters, at, _, _ = letters_of(rows, k)
     return canonical(codes_at(letters, k)[at], k)
 
 
@@ -111,43 +126,58 @@ def merged(known: tuple[np.ndarray, np.ndarray] | None, codes: np.ndarray) -> tu
     return every, total
 
 
-def pure_kmers(seqs: DataFrame, k: int, by: list[str], cutoff: float) -> DataFrame:
-    """``*by, kmer, n`` of canonical k-mers of A, C, G, T above ``cutoff`` times.
-
-    A k-mer and its reverse complement have one minimizer, so each is counted in one of ``BUCKETS`` buckets. Rows of a bucket come one
-    after another, and a task keeps the bucket's different k-mers alone.
-    """
+def packs(texts: list[bytes], k: int, around: bool = False) -> Iterator[tuple[bytes, list[int]]]:
+    """Texts together, with a letter between them that no k-mer has, and the k-mers that stand in another part of a long text."""
+    pack, filled, skip = [], 0, []
+    for text in texts:
+        for a in range(0, max(len(text) - k + 1, 0), PACK):
+            low = max(a - around, 0)
+            part = text[low : a + PACK + k - 1 + around]
+            if pack and filled + len(part) > PACK:
+                yield b"-".join(pack), skip
+                pack, filled, skip = [], 0, []
+            if around:
+                skip += [filled] * (a > 0) + [filled + a + PACK - low] * (a + PACK + k <= len(text))
+            pack.append(part)
+            filled += len(part) + 1
+    if pack:
+        yield b"-".join(pack), skip
+
+
+def dealt_pieces(seqs: DataFrame, k: int, by: list[str], m: int = M, around: bool = False) -> tuple[DataFrame, str]:
+    """``*by, _bucket, _packed`` of ``seqs`` (:func:`pieces`), a bucket's rows one after another in one task, and the types of ``by``."""
     rows = seqs.select(*by, F.encode("seq", "UTF-8").alias("seq")).filter(F.length("seq") >= k)
     schema = rows.select(*by).schema
     names = [f.name for f in schema]
-    sent = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    head = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            # texts of one collection together, with a letter between them that no k-mer has
+            # texts of one collection together
             keys = list(zip(*(b.column(c).to_pylist() for c in names))) if names else [()] * len(b)
             held: dict[tuple, list[int]] = {}
             for i, key in enumerate(keys):
                 held.setdefault(key, []).append(i)
-            texts, out, size = b.column("seq"), [], 0
-            for own in held.values():
-                pack, filled = [], 0
-                for i in [*own, None]:
-                    text = None if i is None else texts[i].as_py()
-                    if pack and (text is None or filled + len(text) > PACK):
-                        out += [(own[0], *p) for p in pieces(b"-".join(pack), k)]
-                        pack, filled = [], 0
-                    for a in range(0, max(len(text) - k + 1, 0), PACK) if text else ():
-                        part = text[a : a + PACK + k - 1]
-                        if filled + len(part) > PACK and pack:
-                            out += [(own[0], *p) for p in pieces(b"-".join(pack), k)]
-                            pack, filled = [], 0
-                        pack.append(part)
-                        filled += len(part)
+            texts = b.column("seq")
+            out = [(own[0], *p) for own in held.values() for pack, skip in packs((texts[i].as_py() for i in own), k, around) for p in pieces(pack, k, m, around, skip)]
             for a in range(0, len(out), 50_000):
                 index, bucket, packed = zip(*out[a : a + 50_000])
                 yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(index)) for c in names), pa.array(bucket, pa.int32()), pa.array(packed, pa.binary())], [*names, "_bucket", "_packed"])
 
+    # few bytes but seconds of work: a number given keeps them from being gathered into few tasks
+    dealt = rows.mapInArrow(cut, f"{head}_bucket int, _packed binary").repartition(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, "_bucket")
+    return dealt.sortWithinPartitions(*by, "_bucket"), head
+
+
+def pure_kmers(seqs: DataFrame, k: int, by: list[str], cutoff: float) -> DataFrame:
+    """``*by, kmer, n`` of canonical k-mers of A, C, G, T above ``cutoff`` times.
+
+    A k-mer and its reverse complement have one minimizer, so each is counted in one of ``BUCKETS`` buckets. Rows of a bucket come one
+    after another, and a task keeps the bucket's different k-mers alone.
+    """
+    dealt, head = dealt_pieces(seqs, k, by)
+    names = [f.name for f in dealt.select(*by).schema]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, known, waiting, held, kept, rows_kept, kinds = None, None, [], 0, [], 0, []
 
@@ -185,7 +215,4 @@ def pure_kmers(seqs: DataFrame, k: int, by: list[str], cutoff: float) -> DataFra
             close()
             yield from flushed()
 
-    # few bytes but seconds of work: a number given keeps them from being gathered into few tasks
-    head = sent + ", " if sent else ""
-    dealt = rows.mapInArrow(cut, f"{head}_bucket int, _packed binary").repartition(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, "_bucket").sortWithinPartitions(*by, "_bucket")
     return dealt.mapInArrow(count, f"{head}kmer string, n long")

@@ -5,21 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet under ``spark.checkpoint.dir`` and read back: it is computed once, and lineage ends here.
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path under ``spark.checkpoint.dir``.
 
     Without that setting, Spark on this machine alone gets a temporary folder; a cluster without it is an error.
     """
-    spark = df.sparkSession
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         root = spark.sparkContext.getCheckpointDir()
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in a new :func:`folder` and read back: it is computed once, and lineage ends here."""
+    path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

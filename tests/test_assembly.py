@@ -1,7 +1,7 @@
 import random
 from collections import Counter
 
-from svweave.operators import assembly, chains
+from svweave.operators import assembly, chains, kmer_counts, unitig_parts
 
 
 def back(s):
@@ -206,3 +206,54 @@ def test_junctions(spark):
     rows = [("AAACGT", "CGTGGTTC", "TTCAA"), ("AAACGT", "CGTTTC", "TTCAA"), ("AAACGT", "CGTTC", "TTCAA"), ("AAACGT", "CGT", "CGTAA"), ("AAACGT", "CGT", "AGTAA")]
     got = assembly.junction(spark.createDataFrame(rows, "left string, middle string, right string"), 4).select("gap", "kind", "bases").collect()
     assert [tuple(r) for r in got] == [(2, "non-template", "GG"), (0, "clean", None), (-1, "micro-homology", "T"), (-3, "micro-homology", "CGT"), (-3, "micro-homology", None)]
+
+
+def test_unitigs_over_many_buckets_circles_and_long_kmers(spark):
+    """Chains and circles of more than one bucket's parts, circles with a k-mer and its reverse complement, and k-mers beyond 29 letters."""
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    around = lambda c, size: [(c * (2 + 2 * size // len(c)))[i : i + size] for i in range(len(c))]
+    stem = noise(60)
+    groups = {
+        "long": [noise(3000)] * 2, "circle": around(noise(400), 80), "small": around(noise(30), 80), "turned": around(stem + "ACGTA" + back(stem) + "CCATG", 90),
+        "own": ["ACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGT"] * 2, "one": ["A" * 60] * 2, "mixed": [s + noise(1) for s in around(noise(120), 70)] + around(noise(50), 60) * 2,
+    }
+    for k in (11, 21, 31):
+        check(spark, groups, k)
+
+
+def test_parts_are_far_fewer_than_kmers(spark):
+    """Each round of pointer jumping moved a row for each k-mer."""
+    text = "".join(random.Random(3).choices("ACGT", k=60_000))
+    parts = unitig_parts.unitig_parts(spark.createDataFrame([("g", text), ("g", text)], "g string, seq string"), 21, ["g"], 1.001)
+    sizes = [r.n_kmers for r in parts.collect()]
+    assert sum(sizes) == 2 * (60_000 - 20) and 4 * len(sizes) < sum(sizes)
+
+
+def test_sides_of_kmers_in_cut_texts(monkeypatch):
+    rng, k = random.Random(4), 11
+    texts = ["".join(rng.choice("ACGTACGTACGTN") for _ in range(n)) for n in (5, 11, 12, 74, 75, 76, 400)]
+    want = Counter()
+    for t in texts:
+        for i in range(len(t) - k + 1):
+            x, sides = t[i : i + k], (t[i - 1] if i else "", t[i + k] if i + k < len(t) else "")
+            if set(x) <= set("ACGT"):
+                y, (before, after) = (x, sides) if x < back(x) else (back(x), (back(sides[1]), back(sides[0])))
+                code = int("".join(str("ACGT".index(c)) for c in y), 4) << 4
+                want[code | ("ACGT".index(after) if after and after in "ACGT" else 8)] += 1
+                if before and before in "ACGT":
+                    want[code | 4 + "ACGT".index(before)] += 1
+    for size in (1 << 21, 64, 20):
+        monkeypatch.setattr(kmer_counts, "PACK", size)
+        packed = [p for pack, skip in kmer_counts.packs([t.encode() for t in texts], k, True) for _, p in kmer_counts.pieces(pack, k, 6, True, skip)]
+        assert Counter(unitig_parts.sided(packed, k).tolist()) == want
+
+
+def test_rounds_write_only_rows_that_have_not_met_their_head(spark, monkeypatch):
+    paths = []
+    monkeypatch.setattr(chains, "folder", lambda s, name, of=chains.folder: paths.append(of(s, name)) or paths[-1])
+    rows = [(f"s{i}", None) for i in range(500)] + [(f"c{i:03}", f"c{i - 1:03}" if i else None) for i in range(100)] + [("o", "o")]
+    got = chains.chain_places(spark.createDataFrame(rows, "node string, prev string"), []).collect()
+    assert len(got) == 601 and {(r.head, r.cyclic) for r in got if r.node >= "c" and r.node < "s"} == {("c000", False), ("o", True)}
+    written = spark.read.parquet(f"{paths[0]}/*").count()
+    assert written < 601 + 100 * 8
