@@ -32,21 +32,24 @@ def augment_original(reads: DataFrame, original: DataFrame, pairwise: bool = Fal
     Reads meet one to one: a read without an original mapping and a key that either side repeats are errors; with
     ``pairwise``, so is a name of which ``reads`` lacks a mate.
     """
-    key = ["qname", "mate"]
-    x1 = F.first("x1") if "x1" in original.columns else F.lit(None).cast("int")
-    old = original.groupBy(*(F.col(c).alias("_" + c) for c in key)).agg(F.count("*").alias("_old"), F.first("mapq").alias("_zm"), x1.alias("_z1"))
-    mine = reads.withColumn("_own", F.count("*").over(Window.partitionBy(*key)))
+    x1 = F.col("x1") if "x1" in original.columns else F.lit(None).cast("int")
+    old = original.select("qname", "mate", F.col("mapq").alias("_zm"), x1.alias("_z1"), F.lit(False).alias("_read"))
+    # reads and originals move once, by name, and meet in windows
+    both = reads.withColumn("_read", F.lit(True)).unionByName(old, allowMissingColumns=True).repartition("qname")
+    own, name = Window.partitionBy("qname", "mate"), Window.partitionBy("qname")
+    of = lambda c, side: F.when(F.col("_read") == F.lit(side), F.col(c))
+    met = both.withColumns({"_own": F.count(of("_read", True)).over(own), "_old": F.count(of("_read", False)).over(own), "_zm": F.max("_zm").over(own), "_z1": F.max("_z1").over(own)})
     if pairwise:
-        mine = mine.withColumn("_mates", F.size(F.collect_set("mate").over(Window.partitionBy("qname"))))
-    met = mine.join(old, (F.col("qname") == F.col("_qname")) & (F.col("mate") == F.col("_mate")), "left")
+        met = met.withColumn("_mates", F.size(F.collect_set(of("mate", True)).over(name)))
 
     def wrong(text: str) -> Column:
         return F.raise_error(F.concat(F.lit(text + ": "), F.coalesce("qname", F.lit("null"))))
 
-    zm = F.when(F.col("_qname").isNull(), wrong("a read has no original mapping")).when((F.col("_own") > 1) | (F.col("_old") > 1), wrong("a read is there more than once"))
+    unknown = (F.col("_old") == 0) | F.col("qname").isNull() | F.col("mate").isNull()
+    zm = F.when(unknown, wrong("a read has no original mapping")).when((F.col("_own") > 1) | (F.col("_old") > 1), wrong("a read is there more than once"))
     if pairwise:
         zm = zm.when(F.col("_mates") < 2, wrong("a read has no mate"))
-    return met.select(*(F.col(c) for c in reads.columns), zm.otherwise(F.col("_zm")).alias("zm"), F.col("_z1").alias("z1"))
+    return met.filter("_read").select(*(F.col(c) for c in reads.columns), zm.otherwise(F.col("_zm")).alias("zm"), F.col("_z1").alias("z1"))
 
 
 def groups_to_bedpe(groups: DataFrame, members: DataFrame) -> DataFrame:

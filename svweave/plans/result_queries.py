@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from ..operators import compare, results
 from ..operators.calls import annotate
 from ..operators.vcf import combine_vcf
+from ..sources.shared import stored
 from .queries import C, CALL, CALL_COLUMNS, P, S
 from .read_queries import A, ALIGNMENTS
 from .views import BEDPE, READ_PAIRS, SEGMENTS, view
@@ -54,7 +55,8 @@ def b09_lesser_mate(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT r.qname || '/' || r.k AS qname, r.mate, r.mapq, o.zm, o.z1 FROM a r JOIN o ON r.qname = o.qname AND r.mate = o.mate AND r.k = o.k""")
 def b11_augment_original(spark: SparkSession, sf_dir: str) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("qname", "mate").orderBy("chr", "pos", "strand", "mate_chr", "mate_pos", "mate_strand", "sample", "mapq"))
-    reads = view(spark, sf_dir, ALIGNMENTS).withColumn("qname", F.concat_ws("/", "qname", nth.cast("string")))
+    # both sides are made from one table, whose rows are numbered once
+    reads = stored(view(spark, sf_dir, ALIGNMENTS).select(F.concat_ws("/", "qname", nth.cast("string")).alias("qname"), "mate", "mapq", "pos"), "numbered")
     original = reads.withColumn("x1", F.when(F.col("mapq") % 4 != 0, F.col("pos") % 5)).withColumn("mapq", F.col("mapq") * 3 % 61)
     return results.augment_original(reads, original, pairwise=True).select("qname", "mate", "mapq", "zm", "z1")
 
