@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import expr
+from ..sources.shared import tasks_for
 from .interval import interval_islands, interval_join
 
 
@@ -29,9 +30,12 @@ def prep_pairs(reads: DataFrame, min_mapq: int = 6) -> DataFrame:
 
 
 def exclude_by_qname(reads: DataFrame, *selected: DataFrame) -> DataFrame:
-    """Reads whose name no row of ``selected`` carries; with none selected all stay."""
+    """Reads whose name no row of ``selected`` carries; with none selected all stay. Tasks grow with the reads."""
+    n = tasks_for(reads.sparkSession, reads.count()) if selected else 0
     for rows in selected:
-        reads = reads.join(rows.select("qname"), "qname", "left_anti").select(*reads.columns)
+        names = rows.select("qname").distinct().repartition(n, "qname").withColumn("_out", F.lit(True))
+        # an anti join would move below the shuffle, to one of as few tasks as its bytes ask for
+        reads = reads.repartition(n, "qname").join(names, "qname", "left").filter("_out IS NULL").select(*reads.columns)
     return reads
 
 

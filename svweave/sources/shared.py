@@ -27,3 +27,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tasks_for(spark: SparkSession, rows: int, each: int = 500_000) -> int:
+    """Tasks that a shuffle of ``rows`` is dealt to: as many as the session's setting, more if a task had more than ``each``."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))
