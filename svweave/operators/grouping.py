@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import expr
-from ..sources.shared import stored
-from .interval import interval_islands
+from ..sources.shared import stored, tasks_for
+from .interval import interval_islands, met
 
 ORDER = ["pos_l", "flag", "qname"]
 #: Neighbouring islands whose groups are numbered together.
@@ -107,21 +107,12 @@ def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flushed()
 
 
-def met(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join in which null keys are equal."""
-    right = right.select(*(F.col(c).alias("_" + c if c in keys else c) for c in right.columns))
-    same = F.lit(True)
-    for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col("_" + c))
-    return left.join(right, same).drop(*("_" + c for c in keys))
-
-
 def group_members(pairs: DataFrame, ref_len: int) -> DataFrame:
     """Long form of the groups: a row for each member. The step that depends on order is a stream in order of islands.
 
     Groups are numbered as they close, in ``ISLANDS`` neighbouring islands together.
     """
-    some = islands(with_windows(pairs, ref_len)).select(*ISLAND_KEY, *ORDER, *TIES)
+    some = islands(with_windows(pairs, ref_len).select(*ISLAND_KEY[:-1], *ORDER, *TIES))
     swept = stored(some.repartition(*ISLAND_KEY).sortWithinPartitions(*ISLAND_KEY, *ORDER, *TIES).mapInArrow(sweep, SWEPT_SCHEMA), "swept")
     pack = F.floor(F.col("island") / ISLANDS)
     ended = swept.filter("number IS NOT NULL").select(*ISLAND_KEY, "opened", "number", "l5", "l3", "h5", "h3")
@@ -136,19 +127,23 @@ def group_members(pairs: DataFrame, ref_len: int) -> DataFrame:
 GROUP_KEY = ["chr_l", "strand_l", "chr_h", "strand_h", "island", "number", "l5", "l3", "h5", "h3"]
 
 
-def sample_counts(members: DataFrame, by: list[str], tumour: str, normal: str, panel_prefix: str = "NP") -> DataFrame:
-    """Distinct read names of the tumour, the normal and the panel, and the panel's samples, for each group."""
-    q, s = F.col("qname"), F.col("sample")
-    return members.groupBy(*by).agg(
-        F.count_distinct(F.when(s == tumour, q)).alias("tumour_count"), F.count_distinct(F.when(s == normal, q)).alias("normal_count"),
-        F.count_distinct(F.when(s.startswith(panel_prefix), q)).alias("np_count"), F.count_distinct(F.when(s.startswith(panel_prefix), s)).alias("np_sample_count"),
-        F.count("*").alias("total"),
-    )
+def sample_counts(members: DataFrame, by: list[str], tumour: str, normal: str, panel_prefix: str = "NP", rows: int | None = None) -> DataFrame:
+    """Distinct read names of the tumour, the normal and the panel, and the panel's samples, for each group.
+
+    Members move once, by group and name, to as many tasks as ``rows`` (about their number; default: counted) ask for.
+    """
+    n = tasks_for(members.sparkSession, members.count() if rows is None else rows)
+    pairs = members.repartition(n, *by, "qname").groupBy(*by, "qname", "sample").agg(F.count("*").alias("total"))
+    named, s, zero = F.col("qname").isNotNull(), F.col("sample"), F.lit(0).cast("long")
+    some = lambda test: F.max(F.when(named & test, 1).otherwise(0)).cast("long")
+    names = pairs.groupBy(*by, "qname").agg(some(s == tumour).alias("tumour_count"), some(s == normal).alias("normal_count"), some(s.startswith(panel_prefix)).alias("np_count"), zero.alias("np_sample_count"), F.sum("total").alias("total")).drop("qname")
+    panel = pairs.filter(s.startswith(panel_prefix)).select(*by, "sample").distinct().select(*by, *(zero.alias(c) for c in ("tumour_count", "normal_count", "np_count")), F.lit(1).cast("long").alias("np_sample_count"), zero.alias("total"))
+    return names.unionByName(panel).groupBy(*by).agg(*(F.sum(c).alias(c) for c in ("tumour_count", "normal_count", "np_count", "np_sample_count", "total")))
 
 
 def group_pairs(pairs: DataFrame, ref_len: int, tumour: str, normal: str, min_count: int = 2) -> DataFrame:
     """Groups of at least ``min_count`` pairs with their counts."""
-    return sample_counts(group_members(pairs, ref_len), GROUP_KEY, tumour, normal).filter(F.col("total") >= min_count)
+    return sample_counts(group_members(pairs, ref_len), GROUP_KEY, tumour, normal, rows=pairs.count()).filter(F.col("total") >= min_count)
 
 
 def join_panel(groups: DataFrame, panel: DataFrame) -> DataFrame:
