@@ -1,7 +1,7 @@
 """Operator 8, n-gram Jaccard join with set-relation skipping.
 
-Sets of shingles are ordered by one global order, those of rare words first (a count sketch of fixed size tells the frequent
-words), and index lists hold each set's prefix with the place in it. Equal sets are one class from the start. Lists are read
+Sets of shingles are ordered by one global order, rare shingles first (a count sketch of fixed size tells the frequent ones, so
+that passages which many texts share leave the prefixes), and index lists hold each set's prefix with the place in it. Equal sets are one class from the start. Lists are read
 in blocks of set sizes, and blocks or entries whose sizes or places rule out the wanted overlap are skipped. A first round
 verifies neighbours in the lists; sets that become connected need no further answer. In the second round pairs of sets in
 different components remain. A component's hub answers first, from whole texts; the answers of a set ``x`` at the hub ``h``
@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from .common import NO_ID, PACK_BYTES, discard, doc_batches, mixed, range_hashes, stored, stored_by, word_values, words_of
 
-SKETCH_BITS, SLICES = 20, 16
+SKETCH_BITS, SLICES = 22, 16
 #: Bits of a shingle's value that are its hash; the ones above are its level.
 HASH_BITS = 54
 SET_SCHEMA = "doc_id long, n int, block int, d1 long, d2 long, s0 long, s1 long, s2 long, s3 long, wide binary, prefix array<bigint>, text_md5 binary, body binary"
@@ -30,7 +30,7 @@ SET_SCHEMA = "doc_id long, n int, block int, d1 long, d2 long, s0 long, s1 long,
 def shingle_sets(texts: list[bytes], shingle: int, level: np.ndarray | None = None) -> list[np.ndarray]:
     """Sorted values of each text's distinct shingles; a shorter text is one, one without words none.
 
-    A value is a hash; with ``level``, the mean level of the shingle's words stands above it, so that low levels come first.
+    A value is a hash; with ``level``, the shingle's own level stands above it, so that low levels come first.
     """
     ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
     body = b"".join(texts).lower()
@@ -44,11 +44,15 @@ def shingle_sets(texts: list[bytes], shingle: int, level: np.ndarray | None = No
     hi = np.minimum(lo + shingle, counts[owner])
     h = range_hashes(values, lo, hi) >> np.uint64(64 - HASH_BITS)
     if level is not None:
-        upto = np.concatenate([[0], np.cumsum(level[(values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], dtype=np.int64)])
-        h |= ((3 * (upto[hi] - upto[lo])) // np.maximum(hi - lo, 1)).astype(np.uint64) << np.uint64(HASH_BITS)
+        h |= level[counters(h)].astype(np.uint64) << np.uint64(HASH_BITS)
     return [np.unique(x) for x in np.split(h, np.cumsum(number)[:-1])]
 
 
+def counters(h: np.ndarray) -> np.ndarray:
+    """The counter of each shingle's hash in the sketch."""
+    return (h >> np.uint64(HASH_BITS - SKETCH_BITS)).astype(np.int64)
+
+
 def needed(a: Column, b: Column, percent: int) -> Column:
     """Smallest overlap of sets of sizes ``a`` and ``b`` that links them."""
     return F.ceil(percent * (a + b) / F.lit(100 + percent)).cast("long")
@@ -64,8 +68,8 @@ def size_blocks(percent: int) -> np.ndarray:
     return np.array(bounds, np.int64)
 
 
-def word_levels(docs: DataFrame) -> np.ndarray:
-    """A level for each of ``2^SKETCH_BITS`` counters of words: eight more for each doubling of the count.
+def shingle_levels(docs: DataFrame, shingle: int) -> np.ndarray:
+    """A level for each of ``2^SKETCH_BITS`` counters of shingles: 32 more for each doubling of the number of sets.
 
     Counts come from every document; the table has the same size for any corpus.
     """
@@ -75,15 +79,14 @@ def word_levels(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        total = np.zeros(size, np.int64)
+        total = np.zeros(size, np.int32)
         for _, texts in doc_batches(batches):
-            body = b"".join(texts).lower()
-            starts, stops, _ = words_of(body, np.cumsum([len(t) for t in texts], dtype=np.int64))
-            total += np.bincount((word_values(body, starts, stops) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
+            at, many = np.unique(counters(np.concatenate(shingle_sets(texts, shingle))), return_counts=True)
+            total[at] += many.astype(np.int32)
         press = zstandard.ZstdCompressor(level=1)
         for k in range(SLICES):
             if (part := total[k * width : (k + 1) * width]).any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([press.compress(part.astype("<i8").tobytes())])], ["slice", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([press.compress(part.astype("<i4").tobytes())])], ["slice", "counts"])
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -91,13 +94,14 @@ def word_levels(docs: DataFrame) -> np.ndarray:
         total = np.zeros(width, np.int64)
         for b in batches:
             for raw in b.column(b.schema.get_field_index("counts")).to_pylist():
-                total += np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "<i8")
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(8 * np.log2(total + 1.0), 255).astype(np.uint8).tobytes()])], ["slice", "level"])
+                total += np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "<i4")
+        level = np.minimum(32 * np.log2(total + 1.0), 1023).astype("<u2")
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([level.tobytes()])], ["slice", "level"])
 
     sums = docs.mapInArrow(count, "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, level binary")
-    level = np.zeros(size, np.uint8)
-    for k, raw in sums.collect():  # 2^SKETCH_BITS bytes
-        level[k * width : (k + 1) * width] = np.frombuffer(raw, np.uint8)
+    level = np.zeros(size, np.uint16)
+    for k, raw in sums.collect():  # 2 * 2^SKETCH_BITS bytes
+        level[k * width : (k + 1) * width] = np.frombuffer(raw, "<u2")
     return level
 
 
@@ -250,7 +254,7 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFr
     id counts as the largest and comes back as null. Rows that share an id are nodes of their own. ``kept`` marks one row of
     each component: the smallest id's, any one of those that share it. An empty input gives no row.
     """
-    sets = set_table(docs, word_levels(docs), shingle, percent)
+    sets = set_table(docs, shingle_levels(docs, shingle), shingle, percent)
     key = ["d1", "d2", "n"]
     classes = stored(sets.filter("n > 0").groupBy(*key).agg(F.min("row").alias("rep")), "classes")
     marks = ["n", "block", "s0", "s1", "s2", "s3"]

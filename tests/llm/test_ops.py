@@ -97,6 +97,25 @@ def test_jaccard_join(spark, docs):
     assert jaccard_join.jaccard_join(own.limit(0)).count() == 0
 
 
+def test_jaccard_lists_of_a_shared_passage(spark, monkeypatch):
+    """A passage that many texts share is no list of all of them: they'd meet pair by pair."""
+    rng, stored, longest = random.Random(5), jaccard_join.stored, []
+
+    def seen(df, name):
+        out = stored(df, name)
+        if name == "lists":
+            longest.append(out.groupBy("token").count().agg({"count": "max"}).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", seen)
+    passage = " ".join(f"passage{k}" for k in range(8))
+    texts = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 for _ in range(60)) + " " + passage for _ in range(200)]
+    rows = list(enumerate(texts)) + [(1000, texts[7] + " aa")]
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(text_table(spark.createDataFrame(rows, "doc_id long, text string")), 5, 80).collect()}
+    assert got == {k: k for k in range(200)} | {1000: 7}
+    assert longest[0] < 20
+
+
 def test_exact_dedup(spark, docs):
     got_rows = exact_dedup.exact_dedup(docs, keep="largest").collect()
     got = {(r.id, r.text_sha256): r for r in got_rows}
