@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import NO_ID, PACK_BYTES, discard, doc_batches, mixed, range_hashes, stored, stored_by, word_values, words_of
+from .common import NO_ID, PACK_BYTES, discard, doc_batches, hand_back_memory, mixed, range_hashes, stored, stored_by, word_values, words_of
 
 SKETCH_BITS, SLICES = 22, 16
 #: Bits of a shingle's value that are its hash; the ones above are its level.
@@ -87,6 +87,8 @@ def shingle_levels(docs: DataFrame, shingle: int) -> np.ndarray:
         for k in range(SLICES):
             if (part := total[k * width : (k + 1) * width]).any():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([press.compress(part.astype("<i4").tobytes())])], ["slice", "counts"])
+        del total, part
+        hand_back_memory()
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
