@@ -248,6 +248,18 @@ def components(edges: DataFrame) -> DataFrame:
     return stored(out, "components")
 
 
+def partnered(entries: DataFrame, percent: int) -> DataFrame:
+    """``row, place, token`` of the entries ``row, n, place, token`` that may meet another one of their token's list.
+
+    Sets that link are of like sizes, and what follows an entry's place must suffice for the larger one: the neighbours by size tell
+    whether any set of the list is of such a size. Most lists of two or three sets hold none, and nothing else of a set moves here.
+    """
+    n, by_size = F.col("n").cast("long"), Window.partitionBy("token").orderBy("n")
+    smaller = F.lag(n).over(by_size) * 100 >= n * percent
+    larger = (n + F.lead(n).over(by_size)) * percent <= (n - F.col("place")) * (100 + percent)
+    return entries.withColumn("_met", F.coalesce(smaller, F.lit(False)) | F.coalesce(larger, F.lit(False))).filter("_met").select("row", "place", "token")
+
+
 def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept, text_md5`` for each row of ``doc_id, text``: links are sets with
     ``100 * |x & y| >= percent * |x | y|``, components the rows that links reach, named by their smallest id.
@@ -261,9 +273,7 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFr
     classes = stored(sets.filter("n > 0").groupBy(*key).agg(F.min("row").alias("rep")), "classes")
     marks = ["n", "block", "s0", "s1", "s2", "s3"]
     reps = sets.join(classes.select(F.col("rep").alias("row")), "row", "left_semi")
-    entries = reps.select("row", *marks, F.posexplode("prefix").alias("place", "token"))
-    count = F.count("*").over(Window.partitionBy("token"))
-    lists = stored(entries.withColumn("many", count).filter("many > 1").drop("many"), "lists")
+    lists = stored(partnered(reps.select("row", "n", F.posexplode("prefix").alias("place", "token")), percent).join(sets.select("row", *marks), "row"), "lists")
 
     def fits(a: str, b: str) -> Column:
         """Neither sizes nor places rule the pair out; a skipped pair's first common token says the same elsewhere."""

@@ -116,6 +116,34 @@ def test_jaccard_lists_of_a_shared_passage(spark, monkeypatch):
     assert longest[0] < 20
 
 
+def test_jaccard_lists_hold_sets_of_like_sizes_alone(spark, monkeypatch):
+    """Sets that share a rare shingle but are of unlike sizes, or share it too late, leave the lists before these are joined."""
+    rng, stored, rows_of = random.Random(8), jaccard_join.stored, []
+
+    def seen(df, name):
+        out = stored(df, name)
+        if name == "lists":
+            rows_of.append({r.row for r in out.select("row").collect()})
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", seen)
+    own = lambda n: " ".join(f"w{rng.getrandbits(40)}" for _ in range(n))
+    shared = own(12)
+    texts = [f"{shared} {own(12 * 2**k)}" for k in range(8)]
+    near = own(100)
+    rows = list(enumerate(texts)) + [(50, near), (51, near + " a"), (52, near + " a b c")]
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(text_table(spark.createDataFrame(rows, "doc_id long, text string")), 3, 90).collect()}
+    assert got == {k: k for k in range(8)} | {50: 50, 51: 50, 52: 50}
+    assert len(rows_of[0]) == 3
+    # the neighbours by size tell the same as all pairs do
+    entries = [(row, rng.randint(1, 60)) for row in range(600)]
+    entries = [(row, n, rng.randint(0, n - -(-90 * n // 100)), rng.randint(0, 60)) for row, n in entries]
+    kept = {r.row for r in jaccard_join.partnered(spark.createDataFrame(entries, "row long, n int, place int, token long"), 90).collect()}
+    fits = lambda a, b: min(a[1], b[1]) * 100 >= max(a[1], b[1]) * 90 and min(a[1] - a[2], b[1] - b[2]) >= -(-90 * (a[1] + b[1]) // 190)
+    pairs = [(a[0], b[0]) for a in entries for b in entries if a[0] < b[0] and a[3] == b[3] and fits(a, b)]
+    assert pairs and {row for pair in pairs for row in pair} <= kept and len(kept) < len(entries)
+
+
 def test_exact_dedup(spark, docs):
     got_rows = exact_dedup.exact_dedup(docs, keep="largest").collect()
     got = {(r.id, r.text_sha256): r for r in got_rows}
