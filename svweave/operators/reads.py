@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import expr
-from ..sources.shared import tasks_for
+from ..sources.shared import stored, tasks_for
 from .interval import interval_islands, interval_join
 
 
@@ -39,6 +39,21 @@ def exclude_by_qname(reads: DataFrame, *selected: DataFrame) -> DataFrame:
     return reads
 
 
+def keys_with_names(rows: DataFrame, keys: list[str], name: str, least: int) -> DataFrame:
+    """Different ``keys`` (none of them null) beside which at least ``least`` different values of ``name`` stand; null is no value.
+
+    Each value sets one bit of 64: a key with ``least`` bits set has as many values, and of its rows no name moves. Only rows of
+    keys with fewer bits, though with rows enough, are counted by value.
+    """
+    known = rows.filter(F.col(name).isNotNull())
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(name), F.lit(64)).cast("int"))
+    marks = stored(known.groupBy(*keys).agg(F.bit_or(bit).alias("_bits"), F.count("*").alias("_rows")).filter(F.col("_rows") >= least), "marks")
+    enough = F.bit_count("_bits") >= least
+    unsure = stored(marks.filter(~enough).select(*keys), "unsure")
+    counted = known.join(unsure, keys, "left_semi").groupBy(*keys).agg(F.count_distinct(name).alias("_names")).filter(F.col("_names") >= least)
+    return marks.filter(enough).select(*keys).unionByName(counted.select(*keys))
+
+
 def footprint(reads: DataFrame, keys: list[str]) -> DataFrame:
     """Reference bases from the first to the last that reads of each key cover."""
     last = expr.ref_end(F.col("pos"), F.col("cigar"))

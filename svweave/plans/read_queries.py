@@ -60,11 +60,15 @@ FOLD = f"f AS (SELECT chr, unnest(range((pos - 1) // 500, (pos + 98) // 500 + 1)
 BOTH = f"b AS (SELECT d.chr, d.bin, d.tumour AS depth, coalesce(n.n, 0) AS fb_depth FROM d LEFT JOIN n ON d.chr = n.chr AND d.bin = n.bin)"
 
 
+def foldback_coverage(spark: SparkSession, sf_dir: str, depth: DataFrame) -> DataFrame:
+    """Windows of ``depth`` with their foldback reads."""
+    fold = placed(view(spark, sf_dir, ALIGNMENTS).filter("sample = 'T1' AND chr = mate_chr AND strand = mate_strand"))
+    return coverage.coverage(depth.select("chr", "bin", F.col("tumour").alias("depth")), fold, out="fb_depth")
+
+
 @query(f"WITH {ENDS}, {DEPTH}, {FOLD}, {BOTH} SELECT * FROM b")
 def c02_foldback_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fold = placed(view(spark, sf_dir, ALIGNMENTS).filter("sample = 'T1' AND chr = mate_chr AND strand = mate_strand"))
-    windows = depths(spark, sf_dir).select("chr", "bin", F.col("tumour").alias("depth"))
-    return coverage.coverage(windows, fold, out="fb_depth")
+    return foldback_coverage(spark, sf_dir, depths(spark, sf_dir))
 
 
 @query(f"""WITH {ENDS}, {DEPTH}, {FOLD}, {BOTH}, r AS (SELECT *, (fb_depth + (SELECT avg(fb_depth / (depth + fb_depth)) FROM b WHERE depth + fb_depth > 0)) / (depth + fb_depth + 1) AS raw FROM b)

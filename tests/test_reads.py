@@ -1,5 +1,7 @@
 """Read preparation, support and smoothing: known answers."""
 
+import random
+
 from svweave.operators import reads
 
 ALIGNED = "qname string, mate int, chr long, pos long, strand string, mate_chr long, mate_pos long, mate_strand string, mapq int, read_len long, tlen long, cigar string"
@@ -55,3 +57,29 @@ def test_a_read_meets_the_union_of_overlapping_features_once(spark):
     assert whole == {(1, 100, 199), (1, 199, 205), (1, 300, 300), (2, 0, 10), (None, 5, 9)}
     mine = spark.createDataFrame([("a", 1, 1, 110, 210), ("b", 1, 1, 110, 216), ("c", 2, 2, 0, 20), ("d", 1, 1, 296, 304), ("e", 1, 1, 50, 100)], "qname string, mate int, chr long, start long, end long")
     assert {tuple(r) for r in reads.covered_by(mine, features).collect()} == {("a", 1, 95), ("c", 2, 10), ("d", 1, 0)}
+
+
+def test_keys_with_names_count_different_names(spark):
+    rng = random.Random(4)
+    rows = [(k, f"n{rng.randint(0, k)}") for k in range(40) for _ in range(30)] + [(50, None)] * 9 + [(51, "a"), (51, "b"), (51, None), (51, None)]
+    # names of one bit are told apart all the same
+    many = [r.v for r in spark.range(4000).selectExpr("'x' || id AS v").filter("pmod(xxhash64(v), 64) = 7").limit(20).collect()]
+    rows += [(60, v) for v in many[:4]] + [(61, v) for v in many[:3] * 5]
+    names = {}
+    for k, v in rows:
+        names.setdefault(k, set()).update({v} - {None})
+    df = spark.createDataFrame(rows, "id long, qname string").repartition(3)
+    for least in (1, 4, 20):
+        got = sorted(r.id for r in reads.keys_with_names(df, ["id"], "qname", least).collect())
+        assert got == sorted(k for k, v in names.items() if len(v) >= least), least
+    assert len(many) == 20 and reads.keys_with_names(df.limit(0), ["id"], "qname", 4).count() == 0
+
+
+def test_calls_of_a_support_move_no_names(spark):
+    from svweave.plans import copy_number_queries as by_copy
+    from svweave.plans.views import BEDPE, view
+
+    data = "/root/testdata/sf0.01"
+    got = by_copy.supported_calls(spark, data, 4)
+    want = view(spark, data, BEDPE).filter("tumour_count >= 4").selectExpr("id", "chr1", "start1 AS pos1", "chr2", "end2 AS pos2")
+    assert 0 < want.count() == got.count() and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
