@@ -117,7 +117,7 @@ def test_jaccard_lists_of_a_shared_passage(spark, monkeypatch):
 
 
 def test_jaccard_lists_hold_sets_of_like_sizes_alone(spark, monkeypatch):
-    """Sets that share a rare shingle but are of unlike sizes, or share it too late, leave the lists before these are joined."""
+    """Sets that share rare shingles but are of unlike sizes leave the lists before these are joined."""
     rng, stored, rows_of = random.Random(8), jaccard_join.stored, []
 
     def seen(df, name):
@@ -128,12 +128,12 @@ def test_jaccard_lists_hold_sets_of_like_sizes_alone(spark, monkeypatch):
 
     monkeypatch.setattr(jaccard_join, "stored", seen)
     own = lambda n: " ".join(f"w{rng.getrandbits(40)}" for _ in range(n))
-    shared = own(12)
-    texts = [f"{shared} {own(12 * 2**k)}" for k in range(8)]
+    halves = [own(100) for _ in range(8)]  # all shingles of half a text stand in the whole one too, so its prefix holds as rare ones
+    texts = halves + [f"{x} {y}" for x, y in zip(halves[::2], halves[1::2])]
     near = own(100)
     rows = list(enumerate(texts)) + [(50, near), (51, near + " a"), (52, near + " a b c")]
     got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(text_table(spark.createDataFrame(rows, "doc_id long, text string")), 3, 90).collect()}
-    assert got == {k: k for k in range(8)} | {50: 50, 51: 50, 52: 50}
+    assert got == {k: k for k in range(12)} | {50: 50, 51: 50, 52: 50}
     assert len(rows_of[0]) == 3
     # the neighbours by size tell the same as all pairs do
     entries = [(row, rng.randint(1, 60)) for row in range(600)]
