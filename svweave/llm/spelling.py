@@ -136,12 +136,13 @@ def near_words(vocabulary: DataFrame, symbols: int | None = None) -> DataFrame:
     by_key = stored(words.select("word", "n").mapInArrow(keyed, "key long, word string, n long"), "reduced")
     classes = by_key.groupBy("key").agg(F.min("word").alias("word"))
     wanted = classes.select("word").mapInArrow(neighbours, "key long, near_key long")
-    pairs = stored(wanted.join(classes.select(F.col("key").alias("near_key")), "near_key"), "classes")
+    # Spark sizes what a Python step gives by what it takes: without a hint it may broadcast whole neighbourhoods or vocabularies
+    pairs = stored(wanted.join(classes.select(F.col("key").alias("near_key")).hint("merge"), "near_key"), "classes")
     ours = by_key.select("key", F.col("word").alias("a"), F.col("n").alias("an"))
     theirs = by_key.select(F.col("key").alias("near_key"), F.col("word").alias("b"), F.col("n").alias("bn"))
     once = (F.col("key") != F.col("near_key")) | (F.col("a") < F.col("b"))
     fits = F.abs(F.length("a") - F.length("b")) <= 1
-    met = pairs.join(ours, "key").join(theirs, "near_key").filter(once & fits).filter(F.levenshtein("a", "b", 1) == 1)
+    met = pairs.join(ours.hint("merge"), "key").join(theirs.hint("merge"), "near_key").filter(once & fits).filter(F.levenshtein("a", "b", 1) == 1)
     there = met.select(F.col("a").alias("word"), F.col("an").alias("n"), F.col("b").alias("near"), F.col("bn").alias("near_n"))
     ways = [F.struct(*(F.col(c).alias(name) for c, name in zip(order, there.columns))) for order in (there.columns, ["near", "near_n", "word", "n"])]
     return there.select(F.explode(F.array(*ways)).alias("p")).select("p.*")
@@ -152,7 +153,7 @@ def follow(forms: DataFrame) -> DataFrame:
     roots, left = stored(forms.select("word", F.col("form").alias("root")), "roots"), 1
     while left:
         on = roots.select(F.col("word").alias("at"), F.col("root").alias("beyond"))
-        step = roots.join(on, roots["root"] == on["at"], "left")
+        step = roots.join(on.hint("merge"), roots["root"] == on["at"], "left")
         roots = stored(step.select("word", F.coalesce("beyond", "root").alias("root"), F.col("beyond").isNotNull().alias("moved")), "roots")
         left = roots.filter("moved").count()
     return roots.select("word", "root")
@@ -168,10 +169,10 @@ def group_variants(vocabulary: DataFrame, ratio: int = 2, symbols: int | None =
     vocabulary = stored(vocabulary.select("word", "n"), "vocabulary")
     best = F.min_by(F.struct("near", "near_n"), F.struct(-F.col("near_n"), "near"))
     found = stored(near_words(vocabulary, symbols).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best")).select("word", "n_near", "best.*"), "near")
-    judged = vocabulary.join(found, "word", "left").withColumn("fits", F.coalesce(F.col("near_n") >= ratio * F.col("n"), F.lit(False)))
+    judged = vocabulary.join(found.hint("merge"), "word", "left").withColumn("fits", F.coalesce(F.col("near_n") >= ratio * F.col("n"), F.lit(False)))
     judged = stored(judged.select("word", "n", F.expr("IF(fits, near, NULL)").alias("form"), F.coalesce("n_near", F.lit(0)).alias("n_near"), F.expr("IF(fits, near_n, NULL)").alias("form_n")), "judged")
     roots = follow(judged.filter("form IS NOT NULL").select("word", "form"))
-    return judged.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return judged.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def spelling_variants(docs: DataFrame, min_chars: int = 5, min_count: int = 3, ratio: int = 2, typo_modulus: int = 0, symbols: int | None = None) -> DataFrame:

@@ -144,6 +144,20 @@ def test_chains_of_forms_and_every_alphabet(spark):
         assert key(out.collect()) == key(brute.variants(counts))
 
 
+def test_no_step_broadcasts_words_or_neighbourhoods(spark, monkeypatch):
+    plans, plain = [], spelling.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name)
+
+    monkeypatch.setattr(spelling, "stored", seen)
+    out = spelling.group_variants(spark.createDataFrame([("aaaaa", 9), ("aaaab", 3), ("zzzzz", 3)], "word string, n long"))
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sorted(r.root for r in out.collect()) == ["aaaaa", "aaaaa", "zzzzz"]
+    assert sum("SortMergeJoin" in p for p in plans) >= 5 and not any("Broadcast" in p for p in plans)
+
+
 def test_neighbourhoods_hold_every_edit_once():
     words = ["abca", "x", "éé"]
     for key_, near in spelling.neighbourhoods(words, 3):
