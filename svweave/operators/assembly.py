@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr
-from ..sources.shared import stored
+from ..sources.shared import freed, stored
 from .chains import chain_places
 from .sequences import kmers
 from .unitig_parts import LONGEST_K, unitig_parts
@@ -28,19 +28,26 @@ def unitigs(seqs: DataFrame, k: int, by: list[str], cutoff: float = 1.001) -> tu
     """
     if k % 2 == 0:
         raise ValueError("k must be odd, or a k-mer could be its own reverse complement")
+    spark = seqs.sparkSession
     parts = unitig_parts(seqs, k, by, cutoff) if k <= LONGEST_K else _single_parts(seqs, k, by, cutoff)
     parts = stored(parts, "parts")
-    placed = stored(chain_places(_joined(parts, by), by, rank="rank"), "places")
-    if not placed.filter("cyclic").isEmpty():
-        opened = stored(_opened(parts.join(placed.filter("cyclic").select(*by, "node", F.col("head").alias("smallest")), [*by, "node"]), k), "opened")
-        parts = parts.join(placed.filter("NOT cyclic").select(*by, "node"), [*by, "node"], "left_semi").unionByName(opened)
-        placed = stored(placed.filter("NOT cyclic").unionByName(chain_places(_joined(opened, by), by, rank="rank")), "places")
-    whole = placed.select(*by, "node", "head", "place").join(parts.select(*by, "node", "seq", "n_kmers", "coverage", "outs"), [*by, "node"])
+    freed(spark)
+    placed = chain_places(_joined(parts, by), by, rank="rank")
+    # parts move once, those of circles with where they would be cut
+    kept = [F.when(F.col("cyclic"), F.col(c)).alias(c) for c in ("next", "single", "least", "cuts")]
+    whole = stored(placed.join(parts, [*by, "node"]).select(*by, "node", "head", "place", "cyclic", "seq", "n_kmers", "coverage", "outs", *kept), "whole")
+    freed(spark, parts)
+    columns = [*by, "head", "place", "seq", "n_kmers", "coverage", "outs"]
+    circles, whole = whole.filter("cyclic"), whole.filter("NOT cyclic").select(*columns)
+    if not circles.isEmpty():
+        opened = stored(_opened(circles.withColumnRenamed("head", "smallest").select(*parts.columns, "smallest"), k), "opened")
+        whole = whole.unionByName(chain_places(_joined(opened, by), by, rank="rank").join(opened, [*by, "node"]).select(*columns))
     rows = whole.groupBy(*by, "head").agg(F.array_sort(F.collect_list(F.struct("place", "seq"))).alias("parts"), F.sum("n_kmers").alias("n_kmers"), F.sum("coverage").alias("coverage"), F.max_by("outs", "place").alias("outs"))
     seq = F.array_join(F.transform("parts", lambda p: F.when(p["place"] == 0, p["seq"]).otherwise(F.substring(p["seq"], F.lit(k), F.length(p["seq"])))), "")
     rows = rows.select(*by, seq.alias("seq"), "n_kmers", "coverage", "outs")
     named = rows.select(*by, F.substring("seq", 1, k).alias("vertex"), expr.revcomp(F.substring("seq", -k, k)).alias("twin"), "seq", "n_kmers", "coverage", "outs")
     named = stored(named, "vertices")
+    freed(spark)
     # an arc that doesn't go on inside a vertex leads to the first k-mer of one
     arcs = named.select(*by, "vertex", "seq", F.explode("outs").alias("out"))
     edges = arcs.select(*by, F.col("vertex").alias("source"), F.concat(F.substring("seq", 1 - k, k - 1) if k > 1 else F.lit(""), "out.letter").alias("target"), F.col("out.weight").alias("weight"))
@@ -108,15 +115,21 @@ def bubbles(vertices: DataFrame, edges: DataFrame, by: list[str]) -> DataFrame:
     ``kept`` is the side of most coverage (ties: smaller sequence in either direction); each other side costs 1, or the
     difference of lengths. No vertex of a bubble may be another's twin.
     """
-    known = degrees(vertices, edges, by)
-    side = known.filter("n_in = 1 AND n_out = 1").select(*by, "vertex", F.least("vertex", "twin").alias("name"), "coverage", "n_kmers", F.least("seq", expr.revcomp(F.col("seq"))).alias("text"))
+    return _bubbles(vertices, edges, degrees(vertices.select(*by, "vertex", "twin", "n_kmers"), edges, by), by)
+
+
+def _bubbles(vertices: DataFrame, edges: DataFrame, known: DataFrame, by: list[str]) -> DataFrame:
+    """:func:`bubbles`, with the ``degrees`` of the vertices; sequences are those of sides whose numbers fit alone."""
+    side = known.filter("n_in = 1 AND n_out = 1").select(*by, "vertex", F.least("vertex", "twin").alias("name"), "n_kmers")
     through = edges.select(*by, F.col("source").alias("base"), F.col("target").alias("vertex")).join(side, [*by, "vertex"])
     through = through.join(edges.select(*by, F.col("source").alias("vertex"), F.col("target").alias("end")), [*by, "vertex"])
-    every = F.array_sort(F.collect_list(F.struct((-F.col("coverage")).alias("rank"), "text", "vertex", "n_kmers", "name")))
-    met = through.groupBy(*by, "base", "end").agg(every.alias("sides")).filter(F.size("sides") >= 2)
+    met = through.groupBy(*by, "base", "end").agg(F.collect_list(F.struct("vertex", "n_kmers", "name")).alias("sides")).filter(F.size("sides") >= 2)
     at = known.select(*by, F.col("vertex").alias("base"), F.col("n_out").alias("leaving"), F.least("vertex", "twin").alias("base_name"))
     to = known.select(*by, F.col("vertex").alias("end"), F.col("n_in").alias("entering"), F.least("vertex", "twin").alias("end_name"))
     met = met.join(at, [*by, "base"]).join(to, [*by, "end"]).filter((F.size("sides") == F.col("leaving")) & (F.size("sides") == F.col("entering")))
+    texts = vertices.select(*by, "vertex", "coverage", F.least("seq", expr.revcomp(F.col("seq"))).alias("text"))
+    every = F.array_sort(F.collect_list(F.struct((-F.col("coverage")).alias("rank"), "text", "vertex", "n_kmers", "name")))
+    met = met.select(*by, "base", "end", "base_name", "end_name", F.inline("sides")).join(texts, [*by, "vertex"]).groupBy(*by, "base", "end", "base_name", "end_name").agg(every.alias("sides"))
     names = F.concat(F.transform("sides", lambda s: s["name"]), F.array("base_name", "end_name"))
     met = met.filter(F.size(F.array_distinct(names)) == F.size(names))
     apart = F.transform(F.slice("sides", 2, F.size("sides") - 1), lambda s: F.abs(s["n_kmers"] - F.col("sides")[0]["n_kmers"]))
@@ -132,10 +145,10 @@ def smooth_bubbles(vertices: DataFrame, edges: DataFrame, k: int, by: list[str])
     their twins one with the name of the last end's twin. A run of bubbles pops at once: its bubbles don't touch each other's
     sides, and a run and its twin are one, told from the source with the smaller name.
     """
-    found = stored(bubbles(vertices, edges, by), "bubbles")
+    known = stored(degrees(vertices.select(*by, "vertex", "twin", "n_kmers"), edges, by).select(*by, "vertex", "twin", "n_kmers", "n_in", "n_out"), "known")
+    found = stored(_bubbles(vertices, edges, known, by), "bubbles")
     before = found.select(*by, F.col("end").alias("base"), F.col("base").alias("prev"))
     runs = chain_places(found.select(*by, "base").join(before, [*by, "base"], "left").withColumnRenamed("base", "node"), by).filter("NOT cyclic")
-    known = stored(degrees(vertices, edges, by).select(*by, "vertex", "twin", "seq", "n_kmers", "coverage", "n_in", "n_out"), "known")
     sources = known.filter("n_in = 0").select(*by, F.col("vertex").alias("head"))
     popped = runs.join(sources, [*by, "head"], "left_semi").withColumnRenamed("node", "base").join(found, [*by, "base"])
     ends = popped.groupBy(*by, "head").agg(F.max_by("end", "place").alias("last"))
@@ -145,7 +158,7 @@ def smooth_bubbles(vertices: DataFrame, edges: DataFrame, k: int, by: list[str])
     # what a run is made of, in order: its head, then each bubble's side and end
     pieces = popped.select(*by, "head", "last_twin", "cost", F.explode(F.array(F.struct((2 * F.col("place") + 1).alias("at"), F.col("kept").alias("vertex")), F.struct((2 * F.col("place") + 2).alias("at"), F.col("end").alias("vertex")))).alias("p")).select(*by, "head", "last_twin", F.when(F.col("p.at") % 2 == 1, F.col("cost")).otherwise(0).alias("cost"), "p.*")
     pieces = pieces.unionByName(popped.filter("place = 0").select(*by, "head", "last_twin", F.lit(0).cast("long").alias("cost"), F.lit(0).cast("long").alias("at"), F.col("head").alias("vertex")))
-    joined = pieces.join(known, [*by, "vertex"]).groupBy(*by, "head", "last_twin").agg(F.array_sort(F.collect_list(F.struct("at", "seq"))).alias("parts"), F.sum("n_kmers").alias("n_kmers"), F.sum("coverage").alias("coverage"), F.sum("cost").alias("bubble"))
+    joined = pieces.join(vertices.select(*by, "vertex", "seq", "n_kmers", "coverage"), [*by, "vertex"]).groupBy(*by, "head", "last_twin").agg(F.array_sort(F.collect_list(F.struct("at", "seq"))).alias("parts"), F.sum("n_kmers").alias("n_kmers"), F.sum("coverage").alias("coverage"), F.sum("cost").alias("bubble"))
     text = F.array_join(F.transform("parts", lambda p: F.when(p["at"] == 0, p["seq"]).otherwise(F.substring(p["seq"], F.lit(k), F.length(p["seq"])))), "")
     merged = joined.select(*by, "head", "last_twin", text.alias("seq"), "n_kmers", "coverage", "bubble")
     ways = F.array(F.struct(F.col("head").alias("vertex"), F.col("last_twin").alias("twin"), F.col("seq").alias("seq")), F.struct(F.col("last_twin").alias("vertex"), F.col("head").alias("twin"), expr.revcomp(F.col("seq")).alias("seq")))
@@ -153,10 +166,13 @@ def smooth_bubbles(vertices: DataFrame, edges: DataFrame, k: int, by: list[str])
     touched = popped.select(*by, F.explode(F.concat("sides", F.array("base", "end"))).alias("vertex")).distinct()
     touched = stored(touched.join(known.select(*by, "vertex", "twin"), [*by, "vertex"]).select(*by, F.explode(F.array("vertex", "twin")).alias("vertex")).distinct(), "touched")
     rest = vertices.join(touched, [*by, "vertex"], "left_anti").withColumn("bubble", F.lit(0).cast("long"))
-    out = stored(rest.select(*by, "vertex", "twin", "seq", "n_kmers", "coverage", "bubble").unionByName(merged), "smoothed")
+    merged = stored(merged, "merged")
+    out = rest.select(*by, "vertex", "twin", "seq", "n_kmers", "coverage", "bubble").unionByName(merged)
+    freed(vertices.sparkSession)
     # arcs out of a run's last vertex leave the merged one; into its twin's name they stay as they are
     moved = edges.join(told.select(*by, F.col("last").alias("source"), "head"), [*by, "source"], "left").withColumn("source", F.coalesce("head", "source")).drop("head")
-    left = moved.join(out.select(*by, F.col("vertex").alias("source")), [*by, "source"], "left_semi").join(out.select(*by, F.col("vertex").alias("target")), [*by, "target"], "left_semi")
+    lost = stored(touched.join(merged.select(*by, "vertex"), [*by, "vertex"], "left_anti"), "lost")
+    left = moved.join(lost.withColumnRenamed("vertex", "source"), [*by, "source"], "left_anti").join(lost.withColumnRenamed("vertex", "target"), [*by, "target"], "left_anti")
     inner = popped.select(*by, F.col("head").alias("source"), F.explode("sides").alias("target"))
     return out, stored(left.join(inner, [*by, "source", "target"], "left_anti").select(*by, "source", "target", "weight"), "arcs")
 
@@ -167,7 +183,12 @@ def quintets(vertices: DataFrame, edges: DataFrame, k: int, by: list[str]) -> Da
     ``v1`` has two arcs out and ``v3`` two in, both have ``k`` k-mers at least, ``v0`` and ``v4`` differ and aren't joined. Of a path and
     its twin the one with at most two vertices named by the larger of their two names is given.
     """
-    known = degrees(vertices, edges, by).select(*by, "vertex", (F.col("vertex") > F.col("twin")).cast("int").alias("minus"), "n_in", "n_out", "n_kmers")
+    return _quintets(degrees(vertices.select(*by, "vertex", "twin", "n_kmers"), edges, by), edges, k, by)
+
+
+def _quintets(known: DataFrame, edges: DataFrame, k: int, by: list[str]) -> DataFrame:
+    """:func:`quintets`, with the ``degrees`` of the vertices."""
+    known = known.select(*by, "vertex", (F.col("vertex") > F.col("twin")).cast("int").alias("minus"), "n_in", "n_out", "n_kmers")
     e = edges.select(*by, "source", "target")
     one = known.filter((F.col("n_out") == 2) & (F.col("n_kmers") >= k)).select(*by, F.col("vertex").alias("v1"), F.col("minus").alias("m1"))
     three = known.filter((F.col("n_in") == 2) & (F.col("n_kmers") >= k)).select(*by, F.col("vertex").alias("v3"), F.col("minus").alias("m3"))
@@ -193,8 +214,8 @@ def quintet_scores(vertices: DataFrame, edges: DataFrame, k: int, by: list[str])
     (:func:`_loops`) at its ends, 5 for each other vertex with arcs that isn't met exactly once, 1 for each isolated vertex
     and half of its vertices' bubble costs, rounded up. No score is negative.
     """
-    known = stored(degrees(vertices, edges, by), "known")
-    found = stored(quintets(vertices, edges, k, by), "quintets")
+    known = stored(degrees(vertices.select(*by, "vertex", "twin", "n_kmers", "bubble"), edges, by), "known")
+    found = stored(_quintets(known, edges, k, by), "quintets")
     plus = known.filter("vertex < twin").withColumn("alone", ((F.col("n_in") == 0) & (F.col("n_out") == 0)).cast("int"))
     counts = plus.groupBy(*by).agg(F.sum("alone").alias("isolated")).join(found.groupBy(*by).agg(F.count("*").alias("n")), by, "left").withColumn("n", F.coalesce("n", F.lit(0)))
     single = found.join(counts.filter("n = 1").select(*by), by, "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -26,7 +27,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in a new :func:`folder` and read back: it is computed once, and lineage ends here."""
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def deleted(spark: SparkSession, *paths: str) -> None:
+    """Folders that nothing will read any more are deleted."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def freed(spark: SparkSession, *tables: DataFrame) -> None:
+    """:func:`stored` ``tables`` that nothing will read any more are deleted; shuffles of earlier steps that nothing refers to may be cleaned
+    from the executors' disks."""
+    deleted(spark, *(t.stored_path for t in tables))
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def tasks_for(spark: SparkSession, rows: int, each: int = 500_000) -> int:

@@ -257,3 +257,17 @@ def test_rounds_write_only_rows_that_have_not_met_their_head(spark, monkeypatch)
     assert len(got) == 601 and {(r.head, r.cyclic) for r in got if r.node >= "c" and r.node < "s"} == {("c000", False), ("o", True)}
     written = spark.read.parquet(f"{paths[0]}/*").count()
     assert written < 601 + 100 * 8
+
+
+def test_links_are_drawn_together_before_pointers_jump(spark, monkeypatch):
+    """Chains, circles and rows that point at themselves, with nulls in the keys; all rounds together write a few times the rows."""
+    rows = [(g, f"{g}{n}.{i}", f"{g}{n}.{i - 1}" if i else None) for g in ("a", None) for n in (1, 2, 3, 9, 64, 700) for i in range(n)]
+    rows += [("c", f"o{i:03}", f"o{(i - 1) % 150:03}") for i in range(150)] + [("c", "self", "self")]
+    table, levels, drawn = spark.createDataFrame(rows, "g string, node string, prev string"), [], chains._drawn
+    plain = {tuple(r) for r in chains.chain_places(table, ["g"]).collect()}
+    monkeypatch.setattr(chains, "JUMPED", 40)
+    monkeypatch.setattr(chains, "_drawn", lambda rows, *a: levels.append(rows.count()) or drawn(rows, *a))
+    got = chains.chain_places(table, ["g"])
+    assert {tuple(r) for r in got.collect()} == plain and got.count() == len(rows) == len(plain)
+    assert {(r.head, r.place, r.cyclic) for r in got.collect() if r.g == "c"} == {("o000", None, True), ("self", None, True)}
+    assert len(levels) > 4 and sum(levels) < 5 * len(rows) and levels[-1] < len(rows) // 8
