@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import expr
-from ..sources.shared import stored
+from ..sources.shared import freed, stored
 from .segments import collect_support_reads
 
 #: Bases of a tile of the reference, and cells of one anti-diagonal that are worked on together.
@@ -128,8 +128,8 @@ def remap_calls(calls: DataFrame, reads: DataFrame, names: DataFrame, reference:
     """Scores and footprints for each call ``id, chr1, pos1, strand1, chr2, pos2, strand2``: ``id, low_score, high_score,
     low_footprint, high_footprint, has_n, small_indel``, what :func:`..results.filter_remap` takes.
 
-    An end's reads (``reads`` as for :func:`..segments.collect_support_reads`, with ``seq``; their ``names`` by ``id``) are
-    aligned to ``slop`` bases around their own breakpoint and around the other one, which is reversed if the strands are equal.
+    An end's reads (``reads`` as for :func:`..segments.collect_support_reads`, with ``seq``, or with ``body_chr, body_lo, body_hi``, the
+    place in ``reference`` whose bases they are; their ``names`` by ``id``) are aligned to ``slop`` bases around their own breakpoint and around the other one, which is reversed if the strands are equal.
     The score is the most by which a read fits its own place better; null with fewer than ``least`` reads. Calls with an N in
     either window (``has_n``) and +/- calls of one chromosome of at most ``small`` bases (``small_indel``) are not aligned.
     Footprints run from the first base of an end's reads to the last; without enough reads they are null.
@@ -141,10 +141,19 @@ def remap_calls(calls: DataFrame, reads: DataFrame, names: DataFrame, reference:
     windows = windows.withColumn("has_n", F.coalesce(F.col("seq1").contains("N") | F.col("seq2").contains("N"), F.lit(False)))
     places = lambda x, y: [F.col(f"{c}{s}").alias(f"{c}{t}") for c in ("chr", "pos", "strand") for s, t in ((x, "1"), (y, "2"))]
     ways = F.explode(F.array(F.struct(F.lit(1).alias("side"), *places("1", "2")), F.struct(F.lit(2).alias("side"), *places("2", "1")))).alias("w")
-    own = collect_support_reads(calls.select("id", ways).select("id", "w.*"), reads, names, read_slop, by=("id", "side"), carry=("pos", "read_len", "seq"))
-    # equal texts of one end align alike: each is aligned once
+    placed = "seq" not in reads.columns
+    body = ("body_chr", "body_lo", "body_hi")
+    own = collect_support_reads(calls.select("id", ways).select("id", "w.*"), reads, names, read_slop, by=("id", "side"), carry=("pos", "read_len", *(body if placed else ("seq",))))
     last = F.col("pos") + F.col("read_len") - 1
-    texts = stored(own.groupBy("id", "side", F.upper("seq").alias("read")).agg(F.count("*").alias("n"), F.min("pos").alias("first"), F.max(last).alias("last")), "texts")
+    counted, again = [F.count("*").alias("n"), F.min("pos").alias("first"), F.max(last).alias("last")], [F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")]
+    if placed:
+        # reads with one place are counted together before bases move
+        places = stored(own.groupBy("id", "side", *(F.col(c).alias(c[5:]) for c in body)).agg(*counted), "places")
+        freed(calls.sparkSession)
+        own, counted = fetch_regions(places, reference, size), again
+    # equal texts of one end align alike: each is aligned once
+    texts = stored(own.groupBy("id", "side", F.upper("seq").alias("read")).agg(*counted), "texts")
+    freed(calls.sparkSession, *([places] if placed else []))
     footprints = texts.groupBy("id", "side").agg((F.max("last") - F.min("first") + 1).alias("footprint"), F.sum("n").alias("n"))
     windows = stored(windows, "windows")
     # rows are few bytes but seconds of work: dealt anew, as they would else be gathered into few tasks by their size

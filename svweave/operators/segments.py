@@ -80,8 +80,10 @@ def collect_support_reads(calls: DataFrame, reads: DataFrame, names: DataFrame,
     """
     if "flag" in reads.columns:
         reads = reads.filter(expr.flags_fit(F.col("flag"), expr.PAIRED, expr.UNMAPPED | expr.MATE_UNMAPPED | SUPPLEMENTARY))
-    own = calls.select(*by, "chr1", "pos1", "strand1", "chr2", "pos2", "strand2").join(names.select("id", "qname").distinct(), "id")
-    met = own.join(reads.select("qname", "mate", "chr", "pos", "strand", "mate_chr", "mate_pos", "mate_strand", "read_len", *(x for x in carry if x not in ("pos", "read_len"))), "qname")
+    # names and reads move once, by name; calls, which are fewer, come to what has met
+    named = names.select("id", "qname").repartition("qname").distinct()
+    met = named.join(reads.select("qname", "mate", "chr", "pos", "strand", "mate_chr", "mate_pos", "mate_strand", "read_len", *(x for x in carry if x not in ("pos", "read_len"))), "qname")
+    met = met.join(calls.select(*by, "chr1", "pos1", "strand1", "chr2", "pos2", "strand2"), "id")
     c = F.col
     placed = (c("chr") == c("chr1")) & (c("strand") == c("strand1")) & (c("mate_chr") == c("chr2")) & (c("mate_strand") == c("strand2"))
     near = [(c(p) <= c(e) + slop) & (c(p) + c("read_len") - 1 >= c(e) - slop) for p, e in (("pos", "pos1"), ("mate_pos", "pos2"))]

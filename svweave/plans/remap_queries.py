@@ -37,29 +37,29 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return some.withColumns(middle).withColumn("score", F.col("tumour_count") + F.col("normal_count"))
 
 
-def remapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of the candidates' tumour reads against 150 bases around each end. Reads whose mapping quality 7 divides were taken at their mates' places."""
-    some, tiles = stored(candidates(spark, sf_dir), "candidates"), reference(spark, sf_dir)
+def remapped(spark: SparkSession, sf_dir: str, some: DataFrame) -> DataFrame:
+    """Scores of the :func:`candidates`' tumour reads against 150 bases around each end. Reads whose mapping quality 7 divides were taken at their mates' places."""
+    tiles = reference(spark, sf_dir)
     # names repeat in the table: with both places they don't
     unique = lambda low, high: F.concat_ws("@", "qname", F.col(low).cast("string"), F.col(high).cast("string"))
     pairs = view(spark, sf_dir, READ_PAIRS).withColumn("qname", unique("pos_l", "pos_h"))
-    names = spark.sql(NAMES, pairs=pairs).filter("sample = 'T1'").join(some.select("id"), "id", "left_semi").select("id", "qname").distinct()
+    names = spark.sql(NAMES, pairs=pairs).filter("sample = 'T1'").join(some.select("id"), "id", "left_semi").select("id", "qname")
     reads = view(spark, sf_dir, ALIGNMENTS).withColumn("qname", F.when(F.col("mate") == 1, unique("pos", "mate_pos")).otherwise(unique("mate_pos", "pos")))
     reads = reads.filter("sample = 'T1'")
     astray = F.col("mapq") % 7 == 0
-    regions = reads.select(F.when(astray, F.col("mate_chr")).otherwise(F.col("chr")).alias("at_chr"), F.when(astray, F.col("mate_pos")).otherwise(F.col("pos")).alias("lo"), *(c for c in reads.columns if c not in ("tlen", "cigar", "sample", "mapq")))
-    regions = regions.withColumn("hi", F.col("lo") + F.col("read_len") - 1).withColumnRenamed("chr", "own_chr").withColumnRenamed("at_chr", "chr")
-    bodies = remap.fetch_regions(regions, tiles).drop("chr", "lo", "hi").withColumnRenamed("own_chr", "chr")
+    at = F.when(astray, F.col("mate_pos")).otherwise(F.col("pos"))
+    bodies = reads.select("*", F.when(astray, F.col("mate_chr")).otherwise(F.col("chr")).alias("body_chr"), at.alias("body_lo"), (at + F.col("read_len") - 1).alias("body_hi")).drop("tlen", "cigar", "sample", "mapq")
     return remap.remap_calls(some, bodies, names, tiles, slop=150)
 
 
 def f02_remap_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remapped(spark, sf_dir)
+    return remapped(spark, sf_dir, stored(candidates(spark, sf_dir), "candidates"))
 
 
 def b20_filter_remapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = remapped(spark, sf_dir).withColumn("microbes", F.lit(0))
-    return results.filter_remap(candidates(spark, sf_dir), scores).select(*CALL_COLUMNS)
+    some = stored(candidates(spark, sf_dir), "candidates")
+    scores = remapped(spark, sf_dir, some).withColumn("microbes", F.lit(0))
+    return results.filter_remap(some, scores).select(*CALL_COLUMNS)
 
 
 QUERIES |= {"f02_remap_scores": f02_remap_scores, "b20_filter_remapped": b20_filter_remapped}

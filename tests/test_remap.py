@@ -113,3 +113,35 @@ def test_equal_texts_of_one_end_are_aligned_once(spark, monkeypatch):
     for k, (score, p) in enumerate(((out.low_score, 290), (out.high_score, 1495))):
         read = text[p - 1 : p + 19]
         assert score == 40 - int(remap.batch_scores([read], [own[1 - k]], 2, -2, 6, 1)[0])
+
+
+def test_bases_are_fetched_for_places_not_for_reads(spark, monkeypatch):
+    """Reads that give their place in the reference score as those that bring its bases; equal places of one end are fetched as one row."""
+    fetched, plain_fetch = [], remap.fetch_regions
+
+    def counted(regions, *args):
+        fetched.append((regions.count(), "qname" in regions.columns))
+        return plain_fetch(regions, *args)
+
+    text = "".join("ACGT"[(i * i * 7 + i // 3) % 4] for i in range(2000))
+    tiles = remap.tiles(spark.createDataFrame([(1, text)], "chr long, seq string"), 64)
+    calls = spark.createDataFrame([(7, 1, 300, "+", 1, 1500, "-"), (8, 1, 310, "+", 1, 1490, "-")], "id long, chr1 long, pos1 long, strand1 string, chr2 long, pos2 long, strand2 string")
+    ends = ((1, 290, "+", 1495, "-"), (2, 1495, "-", 290, "+"))
+    rows = [(f"r{k}", m, 1, p + k % 2, s, 1, q + k % 2, t, 20, 1, (q if k % 5 == 0 else p + k % 2)) for k in range(40) for m, p, s, q, t in ends]
+    reads = spark.createDataFrame([(*r, r[-1] + 19) for r in rows], "qname string, mate int, chr long, pos long, strand string, mate_chr long, mate_pos long, mate_strand string, read_len long, body_chr long, body_lo long, body_hi long")
+    names = spark.createDataFrame([(i, f"r{k}") for i in (7, 8) for k in range(40) for _ in range(2)], "id long, qname string")
+    bases = reads.join(spark.createDataFrame([(1, text)], "body_chr long, text string"), "body_chr").selectExpr("* except (body_chr, body_lo, body_hi, text)", "substring(text, int(body_lo), 20) AS seq")
+    want = {tuple(r) for r in remap.remap_calls(calls, bases, names, tiles, slop=100, size=64).collect()}
+    monkeypatch.setattr(remap, "fetch_regions", counted)
+    got = {tuple(r) for r in remap.remap_calls(calls, reads, names, tiles, slop=100, size=64).collect()}
+    assert got == want and len(got) == 2
+    assert fetched == [(4, False), (2 * 2 * 3, False)]
+
+
+def test_candidates_are_found_once(spark, monkeypatch):
+    from svweave.plans import remap_queries
+
+    asked, plain_candidates = [], remap_queries.candidates
+    monkeypatch.setattr(remap_queries, "candidates", lambda *a: asked.append(a) or plain_candidates(*a))
+    remap_queries.b20_filter_remapped(spark, "/root/testdata/sf0.001")
+    assert len(asked) == 1
