@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -124,12 +124,12 @@ def local_scores(pairs: DataFrame, match: int = 2, mismatch: int = -2, gap_open:
     return pairs.select(*rest, "read", "window").mapInArrow(score, schema)
 
 
-def remap_calls(calls: DataFrame, reads: DataFrame, names: DataFrame, reference: DataFrame, slop: int = 1000, read_slop: int = 1000, least: int = 3, small: int = 1000, size: int = TILE, **scoring: int) -> DataFrame:
+def remap_calls(calls: DataFrame, reads: DataFrame, names: DataFrame, reference: DataFrame, slop: int = 1000, read_slop: int = 1000, least: int = 3, small: int = 1000, size: int = TILE, unfold: Callable[[DataFrame], DataFrame] | None = None, **scoring: int) -> DataFrame:
     """Scores and footprints for each call ``id, chr1, pos1, strand1, chr2, pos2, strand2``: ``id, low_score, high_score,
     low_footprint, high_footprint, has_n, small_indel``, what :func:`..results.filter_remap` takes.
 
     An end's reads (``reads`` as for :func:`..segments.collect_support_reads`, with ``seq``, or with ``body_chr, body_lo, body_hi``, the
-    place in ``reference`` whose bases they are; their ``names`` by ``id``) are aligned to ``slop`` bases around their own breakpoint and around the other one, which is reversed if the strands are equal.
+    place in ``reference`` whose bases they are, or as pairs that ``unfold`` makes such reads of; their ``names`` by ``id``) are aligned to ``slop`` bases around their own breakpoint and around the other one, which is reversed if the strands are equal.
     The score is the most by which a read fits its own place better; null with fewer than ``least`` reads. Calls with an N in
     either window (``has_n``) and +/- calls of one chromosome of at most ``small`` bases (``small_indel``) are not aligned.
     Footprints run from the first base of an end's reads to the last; without enough reads they are null.
@@ -143,7 +143,7 @@ def remap_calls(calls: DataFrame, reads: DataFrame, names: DataFrame, reference:
     ways = F.explode(F.array(F.struct(F.lit(1).alias("side"), *places("1", "2")), F.struct(F.lit(2).alias("side"), *places("2", "1")))).alias("w")
     placed = "seq" not in reads.columns
     body = ("body_chr", "body_lo", "body_hi")
-    own = collect_support_reads(calls.select("id", ways).select("id", "w.*"), reads, names, read_slop, by=("id", "side"), carry=("pos", "read_len", *(body if placed else ("seq",))))
+    own = collect_support_reads(calls.select("id", ways).select("id", "w.*"), reads, names, read_slop, by=("id", "side"), carry=("pos", "read_len", *(body if placed else ("seq",))), unfold=unfold)
     last = F.col("pos") + F.col("read_len") - 1
     counted, again = [F.count("*").alias("n"), F.min("pos").alias("first"), F.max(last).alias("last")], [F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")]
     if placed:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -70,19 +72,21 @@ def attach_breakpoints(segments: DataFrame, calls: DataFrame) -> DataFrame:
     return out
 
 
-def collect_support_reads(calls: DataFrame, reads: DataFrame, names: DataFrame, slop: int = 1000, by: tuple[str, ...] = ("id",), carry: tuple[str, ...] = ()) -> DataFrame:
+def collect_support_reads(calls: DataFrame, reads: DataFrame, names: DataFrame, slop: int = 1000, by: tuple[str, ...] = ("id",), carry: tuple[str, ...] = (), unfold: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``id, qname, mate`` of a call's own reads (``names``: ``id, qname``) that lie at its first end with mates at its second.
 
     Ends are ``chr1, pos1, strand1, chr2, pos2, strand2``; a read and its mate overlap ``slop`` bases around them on their
     strands, and on one chromosome and strand they lie in the ends' order. Supplementary, unpaired and unmapped reads
     (``flag``, if there is one) take no part. Reads are found by name, so no interval is searched. Calls may be told apart by
-    more columns (``by``), and a read's columns ``carry`` come along.
+    more columns (``by``), and a read's columns ``carry`` come along. If a row of ``reads`` stands for a pair, ``unfold`` makes reads of the
+    rows that have met, whose ``id`` and ``qname`` stay.
     """
     if "flag" in reads.columns:
         reads = reads.filter(expr.flags_fit(F.col("flag"), expr.PAIRED, expr.UNMAPPED | expr.MATE_UNMAPPED | SUPPLEMENTARY))
     # names and reads move once, by name; calls, which are fewer, come to what has met
     named = names.select("id", "qname").repartition("qname").distinct()
-    met = named.join(reads.select("qname", "mate", "chr", "pos", "strand", "mate_chr", "mate_pos", "mate_strand", "read_len", *(x for x in carry if x not in ("pos", "read_len"))), "qname")
+    columns = ["qname", "mate", "chr", "pos", "strand", "mate_chr", "mate_pos", "mate_strand", "read_len", *(x for x in carry if x not in ("pos", "read_len"))]
+    met = unfold(named.join(reads, "qname")).select("id", *columns) if unfold else named.join(reads.select(*columns), "qname")
     met = met.join(calls.select(*by, "chr1", "pos1", "strand1", "chr2", "pos2", "strand2"), "id")
     c = F.col
     placed = (c("chr") == c("chr1")) & (c("strand") == c("strand1")) & (c("mate_chr") == c("chr2")) & (c("mate_strand") == c("strand2"))

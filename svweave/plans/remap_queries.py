@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import calls, remap, results
-from ..sources.shared import stored
+from ..sources.shared import freed, stored
 from .queries import CALL_COLUMNS
-from .read_queries import ALIGNMENTS
 from .segment_queries import NAMES
 from .sequence_queries import sequence_table
 from .views import BEDPE, READ_PAIRS, REF_LEN, view
@@ -37,6 +36,18 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return some.withColumns(middle).withColumn("score", F.col("tumour_count") + F.col("normal_count"))
 
 
+def alignments(pairs: DataFrame) -> DataFrame:
+    """Both reads of each pair, as the view of alignments has them, with the places that their bases are taken from."""
+    ways = []
+    for mate, own, other, quality in ((1, "l", "h", F.col("mapq") % 61), (2, "h", "l", (F.col("mapq") + F.col("pos_h")) % 61)):
+        here = {c: F.col(f"{c}_{own}") for c in ("chr", "pos", "strand")} | {f"mate_{c}": F.col(f"{c}_{other}") for c in ("chr", "pos", "strand")}
+        astray = quality % 7 == 0
+        at = F.when(astray, here["mate_pos"]).otherwise(here["pos"])
+        body = {"body_chr": F.when(astray, here["mate_chr"]).otherwise(here["chr"]), "body_lo": at, "body_hi": at + F.col("read_len") - 1}
+        ways.append(F.struct(F.lit(mate).alias("mate"), *(x.alias(c) for c, x in (here | body).items())))
+    return pairs.select("id", "qname", "read_len", F.inline(F.array(*ways)))
+
+
 def remapped(spark: SparkSession, sf_dir: str, some: DataFrame) -> DataFrame:
     """Scores of the :func:`candidates`' tumour reads against 150 bases around each end. Reads whose mapping quality 7 divides were taken at their mates' places."""
     tiles = reference(spark, sf_dir)
@@ -44,12 +55,9 @@ def remapped(spark: SparkSession, sf_dir: str, some: DataFrame) -> DataFrame:
     unique = lambda low, high: F.concat_ws("@", "qname", F.col(low).cast("string"), F.col(high).cast("string"))
     pairs = view(spark, sf_dir, READ_PAIRS).withColumn("qname", unique("pos_l", "pos_h"))
     names = spark.sql(NAMES, pairs=pairs).filter("sample = 'T1'").join(some.select("id"), "id", "left_semi").select("id", "qname")
-    reads = view(spark, sf_dir, ALIGNMENTS).withColumn("qname", F.when(F.col("mate") == 1, unique("pos", "mate_pos")).otherwise(unique("mate_pos", "pos")))
-    reads = reads.filter("sample = 'T1'")
-    astray = F.col("mapq") % 7 == 0
-    at = F.when(astray, F.col("mate_pos")).otherwise(F.col("pos"))
-    bodies = reads.select("*", F.when(astray, F.col("mate_chr")).otherwise(F.col("chr")).alias("body_chr"), at.alias("body_lo"), (at + F.col("read_len") - 1).alias("body_hi")).drop("tlen", "cigar", "sample", "mapq")
-    return remap.remap_calls(some, bodies, names, tiles, slop=150)
+    tumour = pairs.filter("sample = 'T1'").select("qname", *(f"{c}_{e}" for c in ("chr", "pos", "strand") for e in "lh"), "mapq", "read_len")
+    freed(spark)
+    return remap.remap_calls(some, tumour, names, tiles, slop=150, unfold=alignments)
 
 
 def f02_remap_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from svweave.operators import remap, results
 
@@ -145,3 +146,14 @@ def test_candidates_are_found_once(spark, monkeypatch):
     monkeypatch.setattr(remap_queries, "candidates", lambda *a: asked.append(a) or plain_candidates(*a))
     remap_queries.b20_filter_remapped(spark, "/root/testdata/sf0.001")
     assert len(asked) == 1
+
+
+def test_pairs_unfold_as_the_view_of_alignments(spark):
+    from svweave.plans.read_queries import ALIGNMENTS
+    from svweave.plans.remap_queries import alignments
+    from svweave.plans.views import READ_PAIRS, view
+
+    d = "/root/testdata/sf0.001"
+    want = view(spark, d, ALIGNMENTS).selectExpr("qname", "mate", "chr", "pos", "strand", "mate_chr", "mate_pos", "mate_strand", "read_len", "IF(mapq % 7 = 0, mate_chr, chr) AS body_chr", "IF(mapq % 7 = 0, mate_pos, pos) AS body_lo")
+    got = alignments(view(spark, d, READ_PAIRS).withColumn("id", F.lit(1))).filter("body_hi = body_lo + read_len - 1").select(want.columns)
+    assert got.count() > 10_000 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
